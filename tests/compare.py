@@ -20,6 +20,9 @@ TABLES = (
 ).split()
 
 
+TIMES: dict[str, tuple[float, ...]] = {}  # build, run, SQL twin
+
+
 def duck(folder: str):
     connection = duckdb.connect()
     for table in TABLES:
@@ -44,12 +47,17 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
 
 def compare(spark, connection, name: str, run, sql: str, folder: str) -> str | None:
     """None when equal, otherwise a description of the first difference."""
+    clock = [time.time()]
     df = run(spark, folder)
     got_columns = df.columns
+    clock.append(time.time())
     got = rows_of(got_columns, df.collect())
+    clock.append(time.time())
     cursor = connection.execute(sql)
     want_columns = [d[0] for d in cursor.description]
     want = rows_of(want_columns, cursor.fetchall())
+    clock.append(time.time())
+    TIMES[name] = tuple(round(b - a, 2) for a, b in zip(clock, clock[1:]))
     if sorted(got_columns) != sorted(want_columns):
         return f"columns {sorted(got_columns)} != {sorted(want_columns)}"
     if len(got) != len(want):
@@ -95,7 +103,7 @@ def main() -> None:
         except Exception as error:  # noqa: BLE001
             problem, label = str(error)[:1500], "FAIL"
         bad += problem is not None
-        print(f"{label} {time.time() - start:6.2f}s {name}" + (f"\n  {problem}" if problem else ""), flush=True)
+        print(f"{label} {time.time() - start:6.2f}s {TIMES.get(name, '')} {name}" + (f"\n  {problem}" if problem else ""), flush=True)
     print(f"{len(chosen)} queries, {bad} bad")
 
 

@@ -1 +1,106 @@
-"""To be filled."""
+"""Topic queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.catalog.messages import messages, texts
+from tidewire.catalog.registry import query, view
+from tidewire.operators import models, topics
+
+LABELS = [label for label, _, _ in topics.ONTOLOGY] + ["other"]
+view(
+    "v_keywords",
+    " UNION ALL ".join(
+        f"SELECT {i} AS ord, '{label}' AS label, '{' '.join(k.lower().split())}' AS keyword"
+        for i, (label, words, _) in enumerate(topics.ONTOLOGY)
+        for k in words
+    ),
+)
+view(
+    "v_topic_hits",
+    """SELECT msg_id, unnest(list_concat(toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1])))
+    AS keyword FROM v_tokens""",
+)
+view(
+    "v_topic_shares",
+    """SELECT msg_id, label, ord, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY msg_id) AS share
+    FROM v_topic_hits JOIN v_keywords USING (keyword) GROUP BY msg_id, label, ord""",
+)
+view(
+    "v_topics",
+    """SELECT t.msg_id, coalesce(s.label, 'other') AS primary_topic, coalesce(s.share, 0.0) AS confidence,
+    coalesce(s.n, 0) AS topic_count FROM v_texts t LEFT JOIN (
+      SELECT *, count(*) OVER (PARTITION BY msg_id) AS n,
+        row_number() OVER (PARTITION BY msg_id ORDER BY share DESC, ord) AS r
+      FROM v_topic_shares WHERE share >= 0.3) s ON s.msg_id = t.msg_id AND s.r = 1""",
+)
+
+
+@query(
+    "P01 P03 S11",
+    "SELECT msg_id, primary_topic, round(confidence, 6) AS confidence, topic_count FROM v_topics",
+)
+def message_topics(spark: SparkSession, folder: str) -> DataFrame:
+    return topics.ontology_topics(texts(spark, folder)).select(
+        "msg_id", "primary_topic", F.round("primary_topic_confidence", 6).alias("confidence"), "topic_count"
+    )
+
+
+@query(
+    "P04 A11",
+    """SELECT primary_topic, count(*) AS count FROM v_topics GROUP BY primary_topic
+    ORDER BY count DESC, primary_topic LIMIT 15""",
+)
+def topic_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    return topics.topic_distribution(topics.ontology_topics(texts(spark, folder)))
+
+
+@query(
+    "P04",
+    """SELECT count(*) AS total_messages, count(DISTINCT primary_topic) AS unique_topics_found,
+    round(avg(confidence), 6) AS avg_confidence, count(*) FILTER (confidence >= 0.3) AS confident_classifications,
+    round(count(*) FILTER (confidence >= 0.3)::DOUBLE / count(*) * 100, 6) AS confident_percentage,
+    count(*) FILTER (topic_count > 1) AS multi_topic_messages,
+    round(count(*) FILTER (topic_count > 1)::DOUBLE / count(*) * 100, 6) AS multi_topic_percentage FROM v_topics""",
+)
+def topic_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return topics.topic_stats(topics.ontology_topics(texts(spark, folder)))
+
+
+_COUNTS = ", ".join(f"count(*) FILTER (primary_topic = '{x}') AS {x}" for x in LABELS)
+_SHARES = ", ".join(
+    f"round_even(count(*) FILTER (primary_topic = '{x}')::DOUBLE / count(*) * 100, 2) AS {x}_pct" for x in LABELS
+)
+
+
+@query(
+    "P05",
+    f"""SELECT CAST(date AS DATE) AS day, {_COUNTS}, count(*) AS total_messages, {_SHARES}
+    FROM v_topics JOIN v_messages USING (msg_id) GROUP BY 1""",
+)
+def topic_trends(spark: SparkSession, folder: str) -> DataFrame:
+    return topics.topic_trends(topics.ontology_topics(messages(spark, folder)), LABELS)
+
+
+@query(
+    "P02 F02",
+    """SELECT msg_id, CASE WHEN length(text) % 3 = 0 THEN 'economy' WHEN length(text) % 3 = 1 THEN 'climate' ELSE 'other' END
+    AS primary_topic, CAST(CASE WHEN length(text) % 3 = 2 THEN 0 WHEN length(text) % 3 = 1 THEN 2 ELSE 1 END AS BIGINT)
+    AS topic_count FROM v_texts""",
+)
+def topics_from_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    def make():
+        def predict(bodies):
+            by_kind = (
+                [("economy", 0.8), ("climate", 0.1)],
+                [("economy", 0.35), ("climate", 0.6)],
+                [("economy", 0.2), ("climate", 0.2)],
+            )
+            return [by_kind[len(b) % 3] for b in bodies]
+
+        return predict
+
+    scored = models.score_texts(texts(spark, folder), make)
+    return topics.topics_from_scores(scored).select("msg_id", "primary_topic", "topic_count")
