@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewire.catalog.messages import texts
 from tidewire.catalog.registry import query, view
 from tidewire.operators import language
+from tidewire.sources.tables import work_folder
 
 view(
     "v_grams",
@@ -32,7 +33,9 @@ view(
 
 
 def detected(df: DataFrame) -> DataFrame:
-    return language.detect_language(df, language.learn_profiles(df, "lang_true"))
+    learnt = language.learn_profiles(df, "lang_true")
+    stored = language.save_profiles(learnt, work_folder(df.sparkSession, "language-profiles"))
+    return language.detect_language(df, stored)
 
 
 @query("L01", "SELECT msg_id, language, round(score, 4) AS language_score FROM v_language")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -33,6 +33,16 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def unnest(df: DataFrame, array: Column | str, name: str, *keep: Column | str) -> DataFrame:
+    """``keep`` columns and one row per element of ``array``, as column ``name``.
+
+    A plain ``explode`` makes the optimizer infer "array is not empty" and push it
+    below the projection that computes the array, which then runs twice. The outer
+    form followed by a null filter does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def strip(c: Column | str) -> Column:
     return F.trim(col(c), F.lit(WHITESPACE))
 

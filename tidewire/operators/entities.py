@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions import lexicons as lex
-from tidewire.functions.text import NOT_BEFORE_WORD, WORD, bind, col
+from tidewire.functions.text import NOT_BEFORE_WORD, WORD, bind, col, unnest
 
 # (surface form, canonical name, type, order), surface forms lower-cased
 Alias = tuple[str, str, str, int]
@@ -195,7 +195,7 @@ def entity_summary(df: DataFrame) -> DataFrame:
 
 
 def entity_rows(df: DataFrame, *keep: str) -> DataFrame:
-    return df.select(*keep, F.explode("entities").alias("_e")).select(*keep, "_e.*")
+    return unnest(df, "entities", "_e", *keep).select(*keep, "_e.*")
 
 
 # --- clean-up of mentions found by a model -----------------------------------

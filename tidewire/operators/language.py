@@ -41,6 +41,16 @@ def learn_profiles(df: DataFrame, lang: str, text: str = "text", size: int = PRO
     )
 
 
+def save_profiles(profiles: DataFrame, path: str) -> DataFrame:
+    """Write learnt profiles and read them back.
+
+    A stored table has a known size, so Spark checks it against the broadcast
+    threshold before choosing the join; the learning job is not repeated either.
+    """
+    profiles.coalesce(1).write.mode("overwrite").parquet(path)
+    return profiles.sparkSession.read.parquet(path)
+
+
 def detect_language(df: DataFrame, profiles: DataFrame, key: str = "msg_id", text: str = "text") -> DataFrame:
     """(key, language, score) per message; ``unknown`` for short or unmatched text.
 
@@ -55,6 +65,8 @@ def detect_language(df: DataFrame, profiles: DataFrame, key: str = "msg_id", tex
     )
     weights = profiles.select("lang", "gram", (F.col("log_p") - F.col("log_floor")).alias("w"))
     floors = profiles.groupBy("lang").agg(F.max("log_floor").alias("log_floor"))
+    # One scan of the text: with a small profile the join, and the sum per
+    # (message, language), happen in the task that produced the trigrams.
     scores = grams.join(weights, "gram").groupBy(key, "lang").agg(
         F.sum("w").alias("w"), F.first("grams").alias("grams")
     )

@@ -123,7 +123,8 @@ def domain_table(df: DataFrame, top_k: int | None = 50) -> DataFrame:
     are counted from the per-message map, one row per (message, domain), so no
     distinct-count shuffle over message ids is needed.
     """
-    per_message = df.select(F.to_date("date").alias("day"), F.explode("domain_counts").alias("domain", "n"))
+    per_message = df.select(F.to_date("date").alias("day"), F.explode_outer("domain_counts").alias("domain", "n"))
+    per_message = per_message.filter("n IS NOT NULL")
     per_day = per_message.groupBy("domain", "day").agg(F.sum("n").alias("n"), F.count("*").alias("messages"))
     table = per_day.groupBy("domain").agg(
         F.sum("n").alias("count"),
@@ -157,7 +158,7 @@ def domain_sidecar(df: DataFrame, top_k: int = 50) -> DataFrame:
 
 def domains_by_category(df: DataFrame, exact: bool = False) -> DataFrame:
     """Category, domain and count over the corpus."""
-    table = df.select(F.explode("domain_counts").alias("domain", "n")).groupBy("domain").agg(
+    table = df.select(F.explode_outer("domain_counts").alias("domain", "n")).filter("n IS NOT NULL").groupBy("domain").agg(
         F.sum("n").alias("count")
     )
     names = {"social": "social_media", "news": "news_media"}
@@ -193,7 +194,8 @@ def weekday_links(df: DataFrame) -> DataFrame:
 
 def corpus_domain_counts(df: DataFrame) -> DataFrame:
     return (
-        df.select(F.explode("domain_counts").alias("domain", "n"))
+        df.select(F.explode_outer("domain_counts").alias("domain", "n"))
+        .filter("n IS NOT NULL")
         .groupBy("domain")
         .agg(F.sum("n").alias("count"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import lexicons as lex
 from tidewire.functions.spans import SPANS, fill_gaps, find_all, span
-from tidewire.functions.text import bind, col, count_char, count_literal, is_blank, strip
+from tidewire.functions.text import bind, col, count_char, count_literal, is_blank, strip, unnest
 
 MAX_QUOTE_LENGTH = 2048
 # A quote has to begin within this many characters after the attribution.
@@ -226,7 +226,8 @@ def author_text(spans: Column | str = "quote_spans") -> Column:
 
 
 def span_rows(df: DataFrame, *keep: str) -> DataFrame:
-    return df.select(*keep, F.posexplode("quote_spans").alias("pos", "_s")).select(*keep, "pos", "_s.*")
+    rows = df.select(*keep, F.posexplode_outer("quote_spans").alias("pos", "_s")).filter("_s IS NOT NULL")
+    return rows.select(*keep, "pos", "_s.*")
 
 
 def quote_stats(df: DataFrame) -> DataFrame:
@@ -238,7 +239,7 @@ def quote_stats(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum("span_count"), F.lit(0)).alias("total_spans"),
     )
     speakers = (
-        df.select(F.explode("quote_spans.speaker").alias("s"))
+        unnest(df, "quote_spans.speaker", "s")
         .filter("s <> 'author'")
         .agg(F.countDistinct("s").alias("unique_quoted_speakers"))
     )
@@ -251,7 +252,7 @@ def quote_stats(df: DataFrame) -> DataFrame:
 
 
 def span_type_counts(df: DataFrame) -> DataFrame:
-    return df.select(F.explode("quote_spans.span_type").alias("span_type")).groupBy("span_type").agg(
+    return unnest(df, "quote_spans.span_type", "span_type").groupBy("span_type").agg(
         F.count("*").alias("count")
     )
 

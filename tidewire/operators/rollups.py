@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewire.functions.text import unnest
+
 DAY = F.to_date
 
 
@@ -38,7 +40,7 @@ def daily_summary_extended(df: DataFrame) -> DataFrame:
         F.bround(F.max("toxicity_score"), 3).alias("max_toxicity"),
         F.sum("stance_edge_count").alias("stance_edges_count"),
     )
-    names = df.select(day, F.explode("entities.text").alias("e")).groupBy("day").agg(
+    names = unnest(df, "entities.text", "e", day).groupBy("day").agg(
         F.countDistinct("e").alias("unique_entities")
     )
     topics = (
@@ -52,7 +54,7 @@ def daily_summary_extended(df: DataFrame) -> DataFrame:
 
 
 def _stance(df: DataFrame, *keep: Column | str) -> DataFrame:
-    return df.select(*keep, F.explode("stance_edges").alias("e")).select(
+    return unnest(df, "stance_edges", "e", *keep).select(
         *[k if isinstance(k, str) else "day" for k in keep],
         F.col("e.target").alias("entity"), F.col("e.target_type").alias("entity_type"),
         F.col("e.label").alias("stance"), F.col("e.score").alias("score"),
@@ -114,21 +116,30 @@ def topic_of(df: DataFrame) -> Column:
     return F.coalesce(*[F.col(c) for c in TOPIC_COLUMNS if c in df.columns])
 
 
+def _topic_days(df: DataFrame) -> DataFrame:
+    """Topical messages per day and topic.
+
+    The empty topic is dropped by its count, because a predicate on the topic
+    would be pushed down and compute the topic a second time.
+    """
+    named = df.select(DAY("date").alias("day"), topic_of(df).alias("topic"))
+    counts = named.groupBy("day", "topic").agg(F.count_if(F.col("topic") != "").alias("n"))
+    return counts.filter("n > 0")
+
+
 def topic_share_daily(df: DataFrame) -> DataFrame:
     """Messages per day and topic and their share of the day's topical messages.
 
     The window runs over the aggregated (day, topic) rows, not over messages.
     """
-    labelled = df.select(DAY("date").alias("day"), topic_of(df).alias("topic")).filter("topic <> ''")
-    counts = labelled.groupBy("day", "topic").agg(F.count("*").alias("count"))
+    counts = _topic_days(df).withColumnRenamed("n", "count")
     total = F.sum("count").over(W.partitionBy("day"))
     return counts.withColumn("percentage", F.bround(F.col("count") / total * 100, 2))
 
 
 def topic_share_extended(df: DataFrame) -> DataFrame:
     """Topic share with the day's topic entropy and a flag for a topic's first day."""
-    labelled = df.select(DAY("date").alias("day"), topic_of(df).alias("topic")).filter("topic <> ''")
-    counts = labelled.groupBy("day", "topic").agg(F.count("*").alias("message_count"))
+    counts = _topic_days(df).withColumnRenamed("n", "message_count")
     day, topic = W.partitionBy("day"), W.partitionBy("topic")
     share = F.col("message_count") / F.sum("message_count").over(day)
     first = F.min("day").over(topic)

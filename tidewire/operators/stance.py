@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import lexicons as lex
 from tidewire.functions.spans import split_with_offsets, sql_text
-from tidewire.functions.text import preview
+from tidewire.functions.text import preview, unnest
 
 TOKEN_WITH_APOSTROPHE = r"[\p{L}\p{N}_']+"
 SENTENCE_END = r"[.!?]+\s+"
@@ -195,14 +195,15 @@ def stance_columns(
 
 def speaker_stance(df: DataFrame, distance_penalty: float = 0.1) -> DataFrame:
     """Edges per speaker: every quote span with a known speaker is read on its own."""
-    spans = df.select("msg_id", "entities", F.inline("quote_spans")).filter("speaker <> 'unknown'")
+    spans = unnest(df, "quote_spans", "_s", "msg_id", "entities").select("msg_id", "entities", "_s.*")
+    spans = spans.filter("speaker <> 'unknown'")
     return stance_columns(
         spans, text="text", speaker=F.col("speaker"), distance_penalty=distance_penalty
-    ).select("msg_id", "start", F.explode("stance_edges").alias("e")).select("msg_id", "start", "e.*")
+    ).transform(stance_rows, "msg_id", "start")
 
 
 def stance_rows(df: DataFrame, *keep: str) -> DataFrame:
-    return df.select(*keep, F.explode("stance_edges").alias("_e")).select(*keep, "_e.*")
+    return unnest(df, "stance_edges", "_e", *keep).select(*keep, "_e.*")
 
 
 def hypothesis_pairs(df: DataFrame) -> DataFrame:

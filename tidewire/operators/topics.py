@@ -142,7 +142,7 @@ def topic_stats(df: DataFrame, threshold: float = 0.3) -> DataFrame:
 def topic_trends(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Day by topic counts with totals and percentages; ``labels`` fixes the columns,
     so no extra pass is needed to find them."""
-    wide = df.groupBy(F.to_date("date").alias("day")).pivot("primary_topic", list(labels)).agg(F.count("*"))
+    wide = df.groupBy(F.to_date("date").alias("day")).pivot("primary_topic", list(labels)).agg(F.count(F.lit(1)))
     wide = wide.fillna(0, subset=list(labels))
     total = F.lit(0).cast("long")
     for label in labels:
