@@ -1 +1,139 @@
-"""To be filled."""
+"""Page queries. Pages carry no contact data, so a contact block made from the page
+number is appended, in SQL as well."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.catalog.registry import query, view
+from tidewire.functions.text import clean_text, first_present, split_list
+from tidewire.operators import pages
+from tidewire.sources.tables import read_table
+
+view(
+    "v_pages",
+    """SELECT page_id, url, html || CASE page_id % 4
+      WHEN 0 THEN '<h2>Contact</h2><p>Jane Doe</p><a href="mailto:jane' || page_id || '@example.org">mail</a><a href="tel:+47 22 33 ' || (page_id % 90 + 10) || ' 44">call</a>'
+      WHEN 1 THEN '<h2>Contact</h2><div>write to  info' || page_id || '@example.org </div><p>tel 900 10 ' || (page_id % 900 + 100) || '</p>'
+      WHEN 2 THEN '<h2>Openings</h2><p>' || page_id || ' places, remote work not possible</p><ul><li>one, two</li><li>three</li></ul>'
+      ELSE '<h2>Openings</h2><p>some places / remote work is possible</p>' END AS html FROM pages""",
+)
+_STRIP = r"nullif(trim(regexp_replace({}, '\s+', ' ', 'g')), '')"
+_VISIBLE = _STRIP.format(
+    r"regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g')"
+)
+
+
+def contact_pages(spark: SparkSession, folder: str) -> DataFrame:
+    df = read_table(spark, folder, "pages", spread_by="page_id")
+    n = F.col("page_id")
+    text = n.cast("string")
+    extra = (
+        F.when(n % 4 == 0, F.concat(
+            F.lit('<h2>Contact</h2><p>Jane Doe</p><a href="mailto:jane'), text,
+            F.lit('@example.org">mail</a><a href="tel:+47 22 33 '), (n % 90 + 10).cast("string"), F.lit(' 44">call</a>')))
+        .when(n % 4 == 1, F.concat(
+            F.lit("<h2>Contact</h2><div>write to  info"), text, F.lit("@example.org </div><p>tel 900 10 "),
+            (n % 900 + 100).cast("string"), F.lit("</p>")))
+        .when(n % 4 == 2, F.concat(
+            F.lit("<h2>Openings</h2><p>"), text,
+            F.lit(" places, remote work not possible</p><ul><li>one, two</li><li>three</li></ul>")))
+        .otherwise(F.lit("<h2>Openings</h2><p>some places / remote work is possible</p>"))
+    )
+    return df.select("page_id", "url", F.concat("html", extra).alias("html"))
+
+
+@query("S14 H01", f"SELECT page_id, {_VISIBLE} AS body FROM v_pages")
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return contact_pages(spark, folder).select("page_id", pages.visible_text("html").alias("body"))
+
+
+@query(
+    "H02 H12",
+    f"""SELECT page_id, coalesce({_STRIP.format(r"regexp_replace(regexp_extract(html, '(?is)<h5[^>]*>(.*?)</h5>', 1), '<[^>]*>', ' ', 'g')")},
+    {_STRIP.format(r"regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g')")}) AS title FROM v_pages""",
+)
+def page_titles(spark: SparkSession, folder: str) -> DataFrame:
+    missing = clean_text(F.regexp_extract("html", r"(?is)<h5[^>]*>(.*?)</h5>", 1))
+    return contact_pages(spark, folder).select("page_id", first_present(missing, pages.title("html")).alias("title"))
+
+
+@query(
+    "H05",
+    rf"""SELECT page_id, i AS pos, item FROM (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) AS i FROM (
+    SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1),
+      lambda x: {_STRIP.format("regexp_replace(x, '<[^>]*>', ' ', 'g')")}), lambda x: x IS NOT NULL) AS items FROM v_pages))""",
+)
+def page_list_items(spark: SparkSession, folder: str) -> DataFrame:
+    rows = contact_pages(spark, folder).select("page_id", F.posexplode(pages.list_items("html")).alias("p", "item"))
+    return rows.select("page_id", (F.col("p") + 1).cast("long").alias("pos"), "item")
+
+
+@query(
+    "H06",
+    f"""SELECT page_id, coalesce(nullif(regexp_extract(html, '(?i)href=["'']mailto:([^"''?]*)', 1), ''),
+    {_STRIP.format("regexp_extract(html, '>([^<>]*@[^<>]*)<', 1)")}) AS mail FROM v_pages""",
+)
+def page_mail(spark: SparkSession, folder: str) -> DataFrame:
+    return contact_pages(spark, folder).select("page_id", pages.mail("html").alias("mail"))
+
+
+@query(
+    "H07",
+    rf"""SELECT page_id, coalesce(nullif(regexp_replace(regexp_extract(html, '(?i)href=["'']tel:([^"'']*)', 1), '[^0-9+]', '', 'g'), ''),
+    nullif(regexp_replace(regexp_extract({_VISIBLE}, '(\+?\d[\d \-]{{6,}}\d)', 1), '[^\d+]', '', 'g'), '')) AS phone FROM v_pages""",
+)
+def page_phone(spark: SparkSession, folder: str) -> DataFrame:
+    return contact_pages(spark, folder).select("page_id", pages.phone("html").alias("phone"))
+
+
+@query(
+    "H08 H09 H10",
+    rf"""SELECT page_id, CASE WHEN regexp_matches(html, '(?i)remote.*not possible') THEN false
+    WHEN regexp_matches(html, '(?i)remote.*possible') THEN true END AS remote,
+    try_cast(nullif(regexp_extract(regexp_extract(html, '<h2>Openings</h2><p>(.*?)</p>', 1), '\d+'), '') AS BIGINT) AS openings,
+    coalesce(nullif(regexp_extract(url, '/(\d+)(?:\?|$)', 1), ''), nullif(regexp_extract(html, 'info\d+'), '')) AS code FROM v_pages""",
+)
+def page_fields(spark: SparkSession, folder: str) -> DataFrame:
+    section = F.regexp_extract("html", r"<h2>Openings</h2><p>(.*?)</p>", 1)
+    return contact_pages(spark, folder).select(
+        "page_id",
+        pages.tri_state("html", "remote.*not possible", "remote.*possible").alias("remote"),
+        pages.first_integer(section).alias("openings"),
+        pages.page_identifier("url", "html", r"/(\d+)(?:\?|$)", r"info\d+").alias("code"),
+    )
+
+
+@query(
+    "H03",
+    """SELECT page_id, i AS pos, part FROM (SELECT page_id, unnest(ps) AS part, generate_subscripts(ps, 1) AS i FROM (
+    SELECT page_id, list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '<h2>Openings</h2><p>(.*?)</p>', 1),
+      '(?i)[,\\n•/]| og | eller '), lambda x: nullif(trim(x), '')), lambda x: x IS NOT NULL) AS ps FROM v_pages))""",
+)
+def page_split_fields(spark: SparkSession, folder: str) -> DataFrame:
+    section = F.regexp_extract("html", r"<h2>Openings</h2><p>(.*?)</p>", 1)
+    rows = contact_pages(spark, folder).select("page_id", F.posexplode(split_list(section)).alias("p", "part"))
+    return rows.select("page_id", (F.col("p") + 1).cast("long").alias("pos"), "part")
+
+
+@query(
+    "H04",
+    f"""SELECT page_id, {_STRIP.format("regexp_extract(html, '<h2>(?:Contact|Openings)</h2><(?:p|div)>(.*?)</', 1)")} AS block FROM v_pages""",
+)
+def page_heading_texts(spark: SparkSession, folder: str) -> DataFrame:
+    df = contact_pages(spark, folder)
+    exact = pages.section_after("html", "h2", "Contact")["text"]
+    loose = pages.section_after("html", "h2", "opening", lenient=True)["text"]
+    return df.select("page_id", first_present(exact, loose).alias("block"))
+
+
+@query("H04 H05 H11")
+def page_sections(spark: SparkSession, folder: str) -> DataFrame:
+    df = contact_pages(spark, folder).select("page_id", pages.section_after("html", "h1").alias("s"))
+    return df.select("page_id", "s.text", F.size("s.items").alias("items"), "s.link", "s.name")
+
+
+@query("H12 N18")
+def page_records(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.page_records(contact_pages(spark, folder))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import unnest
+from tidewire.sources.tables import cut_lineage
 
 QUOTED = ("quoted", "forwarded")
 STANCES = ("support", "oppose", "neutral")
@@ -295,8 +296,13 @@ def system_stats(predictions: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 def full_report(predictions: DataFrame, gold: DataFrame) -> DataFrame:
-    """All sections as (section, metric, value)."""
-    aligned = align(predictions, gold)
+    """All sections as (section, metric, value).
+
+    Eight sections read the same enriched rows, so these are stored once.
+    """
+    needed = ["msg_id", "quote_spans", "entities", "stance_edges", "has_quotes", "multi_speaker"]
+    predictions = cut_lineage(predictions.select(*needed))
+    aligned = cut_lineage(align(predictions, gold))
     parts = [
         span_metrics(aligned), message_metrics(aligned), quote_metrics(aligned), attribution_errors(aligned),
         entity_metrics(aligned), stance_metrics(aligned), system_stats(predictions, gold),
