@@ -112,7 +112,7 @@ def run_catalogue(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.format_string("test-run-209913%02d-0000", n % 5 + 1))
     )
     paths = spark.read.parquet(f"{folder}/documents.parquet").select(
-        F.concat(F.lit("s3://bucket/out/"), run, F.lit("/part-0.parquet")).alias("path")
+        F.concat(F.lit("/out/"), run, F.lit("/part-0.parquet")).alias("path")
     )
     runs = reports.run_catalogue(paths)
     return runs.withColumn("run_time", F.col("run_time").cast("timestamp_ntz"))
