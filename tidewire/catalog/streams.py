@@ -1 +1,82 @@
-"""To be filled."""
+"""Streaming queries over the given tables, run to completion with availableNow."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.catalog.entities import ALIASES
+from tidewire.catalog.messages import PHRASES, _project
+from tidewire.catalog.reduction import windows_sql
+from tidewire.catalog.registry import query
+from tidewire.catalog.text_scores import sql_list
+from tidewire.operators import reduction, sentiment, toxicity
+from tidewire.sources.tables import work_folder
+from tidewire.streaming import jobs
+
+
+def _run(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    folder = work_folder(spark, "stream")
+    return jobs.run_available(stream, f"{folder}/out", f"{folder}/checkpoint")
+
+
+@query(
+    "M01",
+    """SELECT msg_id, sentiment, round(sentiment_score, 6) AS sentiment_score, round(toxicity_score, 6) AS toxicity_score
+    FROM v_scores""",
+)
+def streamed_scores(spark: SparkSession, folder: str) -> DataFrame:
+    def step(df: DataFrame) -> DataFrame:
+        scored = toxicity.score_toxicity(sentiment.score_sentiment(_project(df)))
+        return scored.select(
+            "msg_id", "sentiment", F.round("sentiment_score", 6).alias("sentiment_score"),
+            F.round("toxicity_score", 6).alias("toxicity_score"),
+        )
+
+    return _run(spark, jobs.enrich_stream(jobs.stream_table(spark, folder, "documents"), step))
+
+
+@query("M02", "SELECT DISTINCT event_id // 2 AS pair FROM events")
+def streamed_first_per_id(spark: SparkSession, folder: str) -> DataFrame:
+    events = jobs.stream_table(spark, folder, "events").select(
+        F.floor(F.col("event_id") / 2).alias("pair"), F.col("ts").cast("timestamp").alias("date")
+    )
+    return _run(spark, jobs.first_per_id(events, "pair", "date")).select("pair")
+
+
+@query(
+    "M03",
+    """SELECT CAST(ts AS DATE) AS day, count(*) AS message_count, round(sum(value), 4) AS value_sum FROM events
+    GROUP BY 1 HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""",
+)
+def streamed_daily_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    events = jobs.stream_table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("date"), "value")
+    rows = _run(spark, jobs.daily_rollup(events))
+    return rows.withColumn("value_sum", F.round("value_sum", 4))
+
+
+@query(
+    "M04",
+    f"""WITH RECURSIVE ev AS (SELECT event_id, ts, event_type AS k0 FROM events),
+    {windows_sql('ev', 'k0', 'ts', 'event_id', 6 * 3600)}
+    SELECT k0 AS event_type, event_id FROM ranked WHERE r <= 3
+    AND ts < date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR""",
+)
+def streamed_rate_cap(spark: SparkSession, folder: str) -> DataFrame:
+    events = jobs.stream_table(spark, folder, "events")
+    capped = jobs.cap_rate_stream(events, "event_type", "ts", "event_id", 6 * reduction.HOUR, 3)
+    return _run(spark, capped).select(F.col("key").alias("event_type"), F.col("row_id").alias("event_id"))
+
+
+@query(
+    "M05 J01",
+    f"""SELECT d.doc_id, a.canonical, a.alias_type FROM (SELECT doc_id, lower(regexp_extract(([{sql_list(PHRASES)}])[doc_id % 12 + 1],
+      '(Obama|Biden|Trump|CNN)')) AS mention FROM documents) d LEFT JOIN v_aliases a ON a.alias_key = d.mention""",
+)
+def streamed_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _project(jobs.stream_table(spark, folder, "documents"))
+    last_line = F.substring_index("text", "\n", -1)
+    mention = F.lower(F.regexp_extract(last_line, "(Obama|Biden|Trump|CNN)", 1))
+    dictionary = spark.createDataFrame(list(ALIASES), "mention string, canonical string, alias_type string, ord int").drop("ord")
+    rows = documents.select(F.col("msg_id").cast("long").alias("doc_id"), mention.alias("mention"))
+    return _run(spark, jobs.with_dictionary(rows, dictionary, "mention")).select("doc_id", "canonical", "alias_type")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidewire.catalog.messages import messages, texts
 from tidewire.catalog.registry import query, view
-from tidewire.operators import models, topics
+from tidewire.catalog.text_scores import sql_list
+from tidewire.operators import discovery, models, topics
+from tidewire.sources.tables import read_table
 
 LABELS = [label for label, _, _ in topics.ONTOLOGY] + ["other"]
 view(
@@ -104,3 +106,131 @@ def topics_from_model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
     scored = models.score_texts(texts(spark, folder), make)
     return topics.topics_from_scores(scored).select("msg_id", "primary_topic", "topic_count")
+
+
+# Discovery queries on fixed topic ids: the embeddings' labels, 0 taken as outlier.
+view(
+    "v_clustered",
+    """SELECT t.msg_id, t.text, CASE WHEN e.label = 0 THEN -1 ELSE e.label END AS topic, length(t.text) AS distance
+    FROM v_texts t JOIN embeddings e ON e.vec_id = t.doc_id""",
+)
+view(
+    "v_terms",
+    rf"""SELECT topic, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS word FROM (
+    SELECT topic, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), lambda x: length(x) > 1 AND x NOT IN ({sql_list(discovery.STOP_WORDS)})) AS w
+    FROM v_clustered)""",
+)
+view("v_term_counts", "SELECT topic, word, count(*) AS n FROM v_terms GROUP BY ALL")
+view(
+    "v_features",
+    """SELECT word, f FROM (SELECT word, sum(n) AS f, count(*) AS df FROM v_term_counts GROUP BY word)
+    WHERE df >= 2 ORDER BY f DESC, word LIMIT 500""",
+)
+view(
+    "v_topic_words",
+    """SELECT topic, rank, word, round(weight, 6) AS weight FROM (
+    SELECT topic, word, weight, row_number() OVER (PARTITION BY topic ORDER BY round(weight, 9) DESC, word) AS rank FROM (
+      SELECT topic, word, n * ln(1 + (SELECT avg(s) FROM (SELECT sum(n) AS s FROM v_term_counts JOIN v_features USING (word) GROUP BY topic)) / f) AS weight
+      FROM v_term_counts JOIN v_features USING (word)) WHERE topic <> -1) WHERE rank <= 10""",
+)
+view(
+    "v_topic_labels",
+    """SELECT DISTINCT c.topic, CASE WHEN c.topic = -1 THEN 'outliers' ELSE coalesce(w.label, 'topic_' || c.topic) END AS label
+    FROM v_clustered c LEFT JOIN (SELECT topic, string_agg(word, '_' ORDER BY rank) AS label FROM v_topic_words
+      WHERE rank <= 3 GROUP BY topic) w ON w.topic = c.topic""",
+)
+
+
+def clustered(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings").select(
+        F.col("vec_id").cast("string").alias("msg_id"), F.when(F.col("label") == 0, -1).otherwise(F.col("label")).alias("discovery_topic_id")
+    )
+    return texts(spark, folder).join(vectors, "msg_id").withColumns(
+        {"distance": F.length("text"), "discovery_topic_probability": (F.col("discovery_topic_id") + 1) / 10}
+    )
+
+
+def _labels(df: DataFrame) -> DataFrame:
+    ids = df.select(F.col("discovery_topic_id").alias("topic")).distinct()
+    return discovery.topic_labels(discovery.topic_words(df), ids)
+
+
+@query("P09", "SELECT topic, rank, word, weight FROM v_topic_words")
+def topic_words(spark: SparkSession, folder: str) -> DataFrame:
+    rows = discovery.topic_words(clustered(spark, folder))
+    return rows.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("P10", "SELECT c.msg_id, l.label AS discovery_topic_label FROM v_clustered c JOIN v_topic_labels l ON l.topic = c.topic")
+def discovery_labels(spark: SparkSession, folder: str) -> DataFrame:
+    df = clustered(spark, folder)
+    return discovery.add_labels(df, _labels(df)).select("msg_id", "discovery_topic_label")
+
+
+@query(
+    "P12",
+    """SELECT c.topic, any_value(l.label) AS label, count(*) AS size,
+    coalesce(string_agg(CASE WHEN length(c.text) > 200 THEN c.text[1:200] || '...' ELSE c.text END, '|' ORDER BY c.r)
+      FILTER (c.r <= 3 AND c.topic <> -1), '') AS docs
+    FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY distance, msg_id) AS r FROM v_clustered) c
+    JOIN v_topic_labels l ON l.topic = c.topic GROUP BY c.topic""",
+)
+def topic_details(spark: SparkSession, folder: str) -> DataFrame:
+    df = clustered(spark, folder)
+    rows = discovery.topic_details(df, _labels(df))
+    return rows.select("topic", "label", "size", F.array_join("representative_docs", "|").alias("docs"))
+
+
+@query(
+    "P13",
+    """SELECT t.topic, CASE WHEN b.share >= 0.05 THEN b.label WHEN t.topic = -1 THEN 'other' ELSE 'NEW_TOPIC_' || t.topic END AS ontology_topic
+    FROM (SELECT DISTINCT topic FROM v_clustered) t LEFT JOIN (
+      SELECT topic, label, share, row_number() OVER (PARTITION BY topic ORDER BY share DESC, ord) AS r FROM (
+        SELECT w.topic, k.label, k.ord, round(sum(w.weight) / any_value(x.total), 9) AS share FROM v_topic_words w
+        JOIN v_keywords k ON k.keyword = w.word JOIN (SELECT topic, sum(weight) AS total FROM v_topic_words GROUP BY topic) x ON x.topic = w.topic
+        GROUP BY w.topic, k.label, k.ord)) b ON b.topic = t.topic AND b.r = 1""",
+)
+def discovery_to_ontology(spark: SparkSession, folder: str) -> DataFrame:
+    df = clustered(spark, folder)
+    rows = [(i, label, k) for i, (label, words, _) in enumerate(topics.ONTOLOGY) for k in words]
+    keywords = spark.createDataFrame(rows, "ord int, label string, keyword string")
+    ids = df.select(F.col("discovery_topic_id").alias("topic")).distinct()
+    return discovery.map_to_ontology(discovery.topic_words(df), ids, keywords, threshold=0.05, number_new=True)
+
+
+@query(
+    "P14",
+    """SELECT count(*) AS total_messages, count(*) FILTER (topic <> -1) AS messages_with_topics,
+    count(*) FILTER (topic = -1) AS outlier_messages, count(DISTINCT CASE WHEN topic <> -1 THEN topic END) AS unique_topics,
+    round(avg((topic + 1) / 10.0::DOUBLE), 6) AS avg_topic_probability,
+    round(count(*) FILTER (topic <> -1)::DOUBLE / count(*) * 100, 6) AS topic_coverage FROM v_clustered""",
+)
+def discovery_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return discovery.discovery_stats(clustered(spark, folder))
+
+
+@query(
+    "P06",
+    """SELECT n AS messages, greatest(10, n // 50) AS min_cluster_size, least(15, n // 10) AS n_neighbors,
+    CASE WHEN n > 100 THEN least(20, n // 30) END AS nr_topics, greatest(5, n // 100) AS min_topic_size
+    FROM (SELECT count(*) AS n FROM documents)""",
+)
+def discovery_parameters(spark: SparkSession, folder: str) -> DataFrame:
+    rows = discovery.adaptive_parameters(read_table(spark, folder, "documents"))
+    return rows.select(*[F.col(c).cast("long").alias(c) for c in rows.columns])
+
+
+@query(
+    "P06",
+    """SELECT msg_id, CASE WHEN length(text) > 10 THEN text[1:1000] END AS discovery_text FROM v_texts""",
+)
+def discovery_inputs(spark: SparkSession, folder: str) -> DataFrame:
+    return discovery.discovery_input(texts(spark, folder)).select("msg_id", "discovery_text")
+
+
+@query("P07 P08 P11 P15")
+def embedding_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = discovery.cluster_embeddings(read_table(spark, folder, "embeddings", spread_by="vec_id"))
+    return discovery.reduce_topics(found, 15).groupBy("discovery_topic_id", "discovery_status").agg(
+        F.count("*").alias("size"), F.round(F.avg("discovery_topic_probability"), 4).alias("mean_probability")
+    )
