@@ -81,8 +81,8 @@ def with_entities(df: DataFrame) -> DataFrame:
 )
 def entity_mentions(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_entities(texts(spark, folder)).select(
-        "msg_id", F.posexplode("entities").alias("rank", "e")
-    )
+        "msg_id", F.posexplode_outer("entities").alias("rank", "e")
+    ).filter("e IS NOT NULL")
     return rows.select(
         "msg_id", (F.col("rank") + 1).cast("long").alias("rank"),
         *[F.col("e")[c].alias(c) for c in ("text", "type", "confidence", "start", "end")],

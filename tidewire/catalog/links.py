@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewire.catalog.messages import messages, texts
 from tidewire.catalog.registry import query, view
 from tidewire.functions import lexicons as lex
+from tidewire.functions.text import unnest
 from tidewire.operators import links
 
 _URL = (
@@ -58,7 +59,7 @@ view(
 
 @query("K01 K02 K03 K04", "SELECT msg_id, url, domain, subdomain, path, query, fragment FROM v_links")
 def link_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return links.link_columns(texts(spark, folder)).select("msg_id", F.inline("links"))
+    return unnest(links.link_columns(texts(spark, folder)), "links", "l", "msg_id").select("msg_id", "l.*")
 
 
 @query(
@@ -85,7 +86,8 @@ def link_statistics(spark: SparkSession, folder: str) -> DataFrame:
 )
 def message_domain_counts(spark: SparkSession, folder: str) -> DataFrame:
     rows = links.link_columns(texts(spark, folder))
-    return rows.select("msg_id", F.explode("domain_counts").alias("domain", "links"))
+    rows = rows.select("msg_id", F.explode_outer("domain_counts").alias("domain", "links"))
+    return rows.filter("links IS NOT NULL")
 
 
 @query(

@@ -11,6 +11,7 @@ from tidewire.catalog.quotes import with_quotes
 from tidewire.catalog.registry import query, view
 from tidewire.catalog.text_scores import sql_list
 from tidewire.functions import lexicons as lex
+from tidewire.functions.text import unnest
 from tidewire.operators import models, stance
 
 _TOK = r"[\p{L}\p{N}_'']+"
@@ -77,7 +78,7 @@ def with_stance(df: DataFrame) -> DataFrame:
 )
 def stance_rules(spark: SparkSession, folder: str) -> DataFrame:
     ruled = stance.rule_stance(with_entities(texts(spark, folder)))
-    rows = ruled.select("msg_id", F.explode("rule_stance").alias("r")).filter("r.label <> 'unclear'")
+    rows = unnest(ruled, "rule_stance", "r", "msg_id").filter("r.label <> 'unclear'")
     return rows.select(
         "msg_id", "r.target", "r.target_type", "r.label", F.round("r.score", 6).alias("score"),
         F.size("r.evidence").cast("long").alias("signals"),

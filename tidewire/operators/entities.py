@@ -37,19 +37,6 @@ def _dictionary_hits(text: Column, aliases: Sequence[Alias], confidence: float)
     shape = "array<struct<name:string,type:string,confidence:double,key:string>>"
     if not aliases:
         return F.array().cast(shape)
-    if len(aliases) > LITERAL_DICTIONARY_LIMIT:
-        keys = [a[0] for a in aliases]
-        by_position = F.array(*[F.struct(F.lit(a[1]).alias("name"), F.lit(a[2]).alias("type")) for a in aliases])
-        found = _substring_positions(keys)(F.lower(text))
-        return F.transform(
-            found,
-            lambda f: F.struct(
-                F.get(by_position, f["position"])["name"].alias("name"),
-                F.get(by_position, f["position"])["type"].alias("type"),
-                F.lit(confidence).alias("confidence"),
-                f["key"].alias("key"),
-            ),
-        )
     known = F.array(
         *[
             F.struct(
@@ -62,24 +49,29 @@ def _dictionary_hits(text: Column, aliases: Sequence[Alias], confidence: float)
     return bind(F.lower(text), lambda low: F.filter(known, lambda a: F.contains(low, a["key"])))
 
 
-def _substring_positions(keys: list[str]):
-    """Arrow function: positions of the keys contained in each text, ascending."""
+def _dictionary_lookup(aliases: Sequence[Alias], confidence: float):
+    """Arrow function with the same result as :func:`_dictionary_hits`, reading each
+    text once however many aliases there are."""
 
-    @F.pandas_udf("array<struct<position:int,key:string>>")
-    def found(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<struct<name:string,type:string,confidence:double,key:string>>")
+    def hits(texts: pd.Series) -> pd.Series:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
-        for position, key in enumerate(keys):
-            automaton.add_word(key, position)
+        for position, alias in enumerate(aliases):
+            automaton.add_word(alias[0], position)
         automaton.make_automaton()
-        return texts.map(
-            lambda t: [
-                {"position": p, "key": keys[p]} for p in sorted({p for _, p in automaton.iter(t or "")})
+
+        def find(text: str) -> list[dict]:
+            positions = sorted({p for _, p in automaton.iter(text)})
+            return [
+                {"name": aliases[p][1], "type": aliases[p][2], "confidence": confidence, "key": aliases[p][0]}
+                for p in positions
             ]
-        )
 
-    return found
+        return texts.map(find)
+
+    return hits
 
 
 def mark_capitalised(text: Column) -> Column:
@@ -139,9 +131,11 @@ def rule_entities(
     """
     built_in = [(k, n, t, i) for i, (k, n, t) in enumerate(lex.BUILT_IN_ENTITIES)]
     body = F.coalesce(F.col(text), F.lit(""))
-    named = _first_by_key(
-        F.concat(_dictionary_hits(body, aliases, 0.85), _dictionary_hits(body, built_in, 0.8))
-    )
+    if len(aliases) > LITERAL_DICTIONARY_LIMIT:
+        df = df.withColumn("_listed", _dictionary_lookup(aliases, 0.85)(F.lower(body)))
+    else:
+        df = df.withColumn("_listed", _dictionary_hits(body, aliases, 0.85))
+    named = _first_by_key(F.concat("_listed", _dictionary_hits(body, built_in, 0.8)))
     df = df.withColumns({"_named": named, "_marked": mark_capitalised(body)})
 
     def misc_runs(taken: Column) -> Column:
@@ -174,7 +168,7 @@ def rule_entities(
             e["start"].alias("start"), (e["start"] + e["size"]).alias("end"), e["text"].alias("original_text"),
         ),
     )
-    return df.withColumn("entities", entities).drop("_named", "_marked")
+    return df.withColumn("entities", entities).drop("_listed", "_named", "_marked")
 
 
 def entity_summary(df: DataFrame) -> DataFrame:
