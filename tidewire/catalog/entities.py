@@ -9,7 +9,7 @@ from tidewire.catalog.messages import texts
 from tidewire.catalog.registry import query, view
 from tidewire.catalog.text_scores import sql_list
 from tidewire.functions import lexicons as lex
-from tidewire.operators import entities
+from tidewire.operators import entities, models
 from tidewire.sources.dictionaries import alias_entries
 
 # A small dictionary of this library's own; two people share a last name.
@@ -217,3 +217,31 @@ def byline_mentions(spark: SparkSession, folder: str) -> DataFrame:
     )
     flag = entities.is_byline_mention(F.col("word"), line, "Barack Obama", "CNN")
     return rows.select("msg_id", "word", flag.alias("is_byline"))
+
+
+@query(
+    "E12 F02",
+    """SELECT msg_id, name AS text, CASE WHEN name = 'CNN' THEN 'ORG' ELSE 'PERSON' END AS type, instr(text, name) - 1 AS start
+    FROM (SELECT msg_id, text, unnest(['Barack Obama', 'Joe Biden', 'Donald Trump', 'CNN']) AS name FROM v_texts)
+    WHERE contains(text, name) AND NOT contains(text, 'Trump')""",
+)
+def entities_from_model(spark: SparkSession, folder: str) -> DataFrame:
+    """A stand-in model that knows four names and fails on texts about one of them."""
+
+    def make():
+        names = {"Barack Obama": "PER", "Joe Biden": "per", "CNN": "ORGANIZATION"}
+
+        def predict(text: str):
+            if "Trump" in text:
+                raise ValueError("model failure")
+            return [
+                {"word": n, "entity_group": g, "score": 0.9, "start": text.index(n), "end": text.index(n) + len(n)}
+                for n, g in names.items()
+                if n in text
+            ]
+
+        return predict
+
+    mentions = models.extract_mentions(texts(spark, folder), make)
+    rows = entities.clean_mentions(mentions, entities.alias_frame(spark, ALIASES), max_entities=5)
+    return rows.select("msg_id", "text", "type", "start")

@@ -57,7 +57,7 @@ view(
 )
 
 
-@query("K01 K02 K03 K04", "SELECT msg_id, url, domain, subdomain, path, query, fragment FROM v_links")
+@query("K01 K02 K03 K04 F05", "SELECT msg_id, url, domain, subdomain, path, query, fragment FROM v_links")
 def link_rows(spark: SparkSession, folder: str) -> DataFrame:
     return unnest(links.link_columns(texts(spark, folder)), "links", "l", "msg_id").select("msg_id", "l.*")
 

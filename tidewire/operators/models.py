@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.functions.text import unnest
+
 
 def score_texts(
     df: DataFrame,
@@ -62,3 +64,33 @@ def score_pairs(
             yield pd.Series(np.asarray(model(a.tolist(), b.tolist()), dtype="float64"))
 
     return pairs.withColumn(output, predict(F.col(first), F.col(second)))
+
+
+def extract_mentions(
+    df: DataFrame,
+    make_predict: Callable[[], Callable[[str], Sequence[dict]]],
+    key: str = "msg_id",
+    text: str = "text",
+) -> DataFrame:
+    """Mentions of a caller's entity model as rows (msg_id, word, entity_group, score,
+    start, end, message_text), ready for ``entities.clean_mentions``.
+
+    A text the model fails on has no mentions.
+    """
+
+    @F.pandas_udf("array<struct<word:string,entity_group:string,score:double,start:long,end:long>>")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = make_predict()
+
+        def one(value: str) -> list[dict]:
+            try:
+                return [dict(m) for m in model(value)]
+            except Exception:  # noqa: BLE001 - any model error means "no mentions" for this row
+                return []
+
+        for batch in batches:
+            yield batch.fillna("").map(one)
+
+    found = df.withColumn("_found", predict(F.col(text)))
+    rows = unnest(found, "_found", "_m", key, F.col(text).alias("message_text"))
+    return rows.select(key, "_m.*", "message_text")
