@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Work folder of local sessions that name none.
+LOCAL_FOLDER = "/tmp/checkpoints/tidewire"
+
 
 def read_table(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
     """Read ``folder/name.parquet``.
@@ -26,7 +28,7 @@ def read_table(spark: SparkSession, folder: str, name: str, spread_by: str | Non
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder.
+    Only a local session may leave it unset; it then uses ``LOCAL_FOLDER``.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -34,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not configured:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            configured = tempfile.mkdtemp(prefix="tidewire-")
+            configured = LOCAL_FOLDER
         context.setCheckpointDir(configured)
     return (configured or context.getCheckpointDir()).rstrip("/")
 
