@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontamination, lines, mixing, sharding
+from tidewire.llm import decontamination, lines, mixing, quality, sharding, tokens, toxicity
+from tidewire.llm.keys import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    rows = toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -55,6 +61,13 @@ def op4_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = tokens.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 def op9_systematic_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.systematic_mix(_table(spark, folder, "documents"))
     return taken.select(
@@ -81,8 +94,14 @@ SELECT doc_id, size, source_size, target,
 FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source JOIN o ON r.source IS NOT DISTINCT FROM o.source
 """
 
+def op10_fourier_ridge_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards, op9_systematic_mixing,
+    op1_nnpu_toxicity, op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards,
+    op8_two_tier_token_counts, op9_systematic_mixing, op10_fourier_ridge_quality,
 )}
 
 ORACLE: dict[str, str] = {
