@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontamination, lines, mixing, quality, sharding, tokens, toxicity
+from tidewire.llm import decontamination, lines, mixing, neighbours, pages, quality, sharding, tokens, toxicity
 from tidewire.llm.keys import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,15 @@ def op4_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_crf_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pages.main_text(_table(spark, folder, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_adaptive_dimension_search(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -101,6 +110,7 @@ def op10_fourier_ridge_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards,
+    op5_crf_main_text, op6_adaptive_dimension_search,
     op8_two_tier_token_counts, op9_systematic_mixing, op10_fourier_ridge_quality,
 )}
 
