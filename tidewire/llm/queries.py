@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontamination, lines, mixing, neighbours, pages, quality, sharding, tokens, toxicity
+from tidewire.llm import decontamination, lines, mixing, near_duplicates, neighbours, pages, quality, sharding, tokens, toxicity
 from tidewire.llm.keys import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op6_adaptive_dimension_search(spark: SparkSession, folder: str) -> DataFrame
     return neighbours.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op7_odd_sketch_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op8_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -110,7 +114,7 @@ def op10_fourier_ridge_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards,
-    op5_crf_main_text, op6_adaptive_dimension_search,
+    op5_crf_main_text, op6_adaptive_dimension_search, op7_odd_sketch_near_duplicates,
     op8_two_tier_token_counts, op9_systematic_mixing, op10_fourier_ridge_quality,
 )}
 
