@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.components import components
-from tidewire.llm.keys import join_counted, stored
+from tidewire.llm.keys import join_counted, row_keys, stored
 
 WORDS = 5
 #: MinHash bands: BANDS bands of ROWS values. A pair with Jaccard 0.75 shares no band with probability (1 - 0.75**4)**40 = 2.5e-7.
@@ -191,33 +191,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, salts: int = 16)
     return both.select("a", "b", common.alias("_i"), (F.size("_x") + F.size("_y")).alias("_n")).select("a", "b", (F.col("_i") * 100 >= (F.col("_n") - F.col("_i")) * percent).alias("linked"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024, partners: int = 2) -> DataFrame:
-    """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the smallest id of its group) and ``kept`` (it is that id).
-
-    Two documents are linked when their sets of five-word shingles (A-Z lower-cased) have a Jaccard similarity of ``percent`` hundredths.
-
-    1. Equal sets are one class from here on, so copies cost one comparison in all.
-    2. Classes that share a MinHash band share a bucket. Each bucket first
-       proposes its members to its smallest member.
-    3. Proposals pass the odd sketches: the population count of the XOR of two
-       parity bitmaps tells how many samples differ. What passes is confirmed
-       by exact intersection, and confirmed links are joined to components.
-    4. Buckets that still hold several components compare the sketches of all
-       members outside the largest with everybody, in blocks of ``block_rows``
-       squared, once for the ``partners`` likeliest of each member and, with
-       the components that makes, once more for every pair that the sketches let pass and no earlier step refuted.
+def _place(id_col: str, text_col: str) -> Column:
+    """Where a row is found again: its id, or else a number from its text."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61)))
 
-    So a group of m near copies takes about m confirmations, not m squared, and
-    no pair that shares a bucket is given up. Only the sketches (512 bytes) travel to blocks; full
-    sets exist only for classes that share a bucket.
 
-    Empty and null texts have no shingles and are linked with nothing. Rows that share an id but not a text are documents of their own. A row
-    with a null id takes part but never names a component: it is kept only when no row with an id is in its own (``component_id`` is then null).
-    Repeated rows get equal results. No rows give no rows. Classes are named by 64-bit digests of their sets.
-    """
+def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, block_rows: int = 1024, partners: int = 2) -> DataFrame:
+    """``place, n, first`` for every row: its own place, the size of its set and the smallest place of its component."""
     similarity = percent / 100
-    # where a row is found again: its id, or else a number from its text
-    place = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61)))
+    place = _place(id_col, text_col)
     texts = docs.select(place.alias("place"), F.col(text_col).alias("text"))
     signed = stored(texts.mapInPandas(_signatures, "place long, n int, node long, bands array<long>, sketch binary, samples int"), "signatures")
     groups = signed.filter("n > 0").groupBy("node").agg(
@@ -261,14 +243,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = join_counted(signed.filter("n > 0").select("place", "n", "node"), firsts, ["node"], "copies").select("place", "n", "first")
     rows = rows.unionByName(signed.filter("n = 0").select("place", "n", F.col("place").alias("first")))
 
+    return rows
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024, partners: int = 2) -> DataFrame:
+    """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the smallest id of its group) and ``kept`` (it is that id).
+
+    Two documents are linked when their sets of five-word shingles (A-Z lower-cased) have a Jaccard similarity of ``percent`` hundredths.
+
+    1. Equal sets are one class from here on, so copies cost one comparison in all.
+    2. Classes that share a MinHash band share a bucket. Each bucket first
+       proposes its members to its smallest member.
+    3. Proposals pass the odd sketches: the population count of the XOR of two
+       parity bitmaps tells how many samples differ. What passes is confirmed
+       by exact intersection, and confirmed links are joined to components.
+    4. Buckets that still hold several components compare the sketches of all
+       members outside the largest with everybody, in blocks of ``block_rows``
+       squared, once for the ``partners`` likeliest of each member and, with
+       the components that makes, once more for every pair that the sketches let pass and no earlier step refuted.
+
+    So a group of m near copies takes about m confirmations, not m squared, and
+    no pair that shares a bucket is given up. Only the sketches (512 bytes) travel to blocks; full
+    sets exist only for classes that share a bucket.
+
+    Empty and null texts have no shingles and are linked with nothing. Rows that share an id but not a text are documents of their own. A row
+    with a null id takes part but never names a component; where no row has an id, the null ids with the text of smallest hash are kept and ``component_id`` is null.
+    Repeated rows get equal results. No rows give no rows. Classes are named by 64-bit digests of their sets.
+    """
     def known(c: str) -> Column:
         return F.when(F.col(c) < NO_ID, F.col(c))
 
-    kept = (F.col("first") == F.col("place")) | ((F.col("first") >= NO_ID) & (F.col("place") >= NO_ID))
-    return rows.select(known("place").alias(id_col), F.col("n").cast("long").alias("n_shingles"), known("first").alias("component_id"), kept.alias("kept"))
+    rows = _decided(docs, id_col, text_col, percent, block_rows, partners)
+    return rows.select(known("place").alias(id_col), F.col("n").cast("long").alias("n_shingles"), known("first").alias("component_id"), (F.col("first") == F.col("place")).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, columns as they are; rows with a null id go when an equal text or a link keeps another row."""
-    gone = near_duplicates(docs, id_col, text_col, **options).filter(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """The rows of ``docs`` that ``near_duplicates`` keeps, columns as they are, and one of each set of rows equal in id and text.
+
+    Rows whose keys occur once, the usual case, are not shuffled for the latter.
+    """
+    gone = _decided(docs, id_col, text_col, **options).filter("first != place").select(F.col("place").alias("_place")).distinct()
+    kept = docs.join(gone, _place(id_col, text_col) == F.col("_place"), "left_anti").withColumns({f"_k{i + 1}": k for i, k in enumerate(row_keys(id_col, text_col))})
+    keys = ["_k1", "_k2"]
+    repeated = stored(docs.select(*row_keys(id_col, text_col)).groupBy(*keys).count().filter("count > 1").select(*keys), "repeated")
+    once = kept.join(repeated, keys, "left_anti")
+    often = kept.join(repeated, keys, "left_semi").dropDuplicates(keys)
+    return once.unionByName(often).select(*docs.columns)
