@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.keys import row_keys
+from tidewire.llm.keys import boxed, row_keys, unboxed
 
 #: Everything that is not a letter, a mark or a digit parts words.
 SEPARATOR = r"[^\p{L}\p{M}\p{N}]+"
@@ -115,6 +115,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that overlap with no benchmark item, columns as they are."""
-    found = spaced_seed_overlaps(docs, benchmark, id_col, text_col, **options).select(F.col("_k1").alias("_f1"), F.col("_k2").alias("_f2")).distinct()
-    keys = row_keys(id_col, text_col)
-    return docs.join(found, (keys[0] == F.col("_f1")) & (keys[1] == F.col("_f2")), "left_anti")
+    found = spaced_seed_overlaps(docs, benchmark, id_col, text_col, **options).select("_k1", "_k2").distinct()
+    return docs.select(boxed(docs.columns), *row_keys(id_col, text_col)).join(found, ["_k1", "_k2"], "left_anti").select(*unboxed(docs.columns))

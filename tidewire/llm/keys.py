@@ -30,6 +30,15 @@ def held_out(id_col: str, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
+def boxed(columns: list[str]) -> Column:
+    """The given columns as one column ``_row``, so that their names cannot meet the names an operator works with."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns] or [F.lit(0)]).alias("_row")
+
+
+def unboxed(columns: list[str]) -> list[Column]:
+    return [F.col("_row").getField(c).alias(c) for c in columns]
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back, so that later steps neither recompute it nor depend on executors."""
     spark = df.sparkSession

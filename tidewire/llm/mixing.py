@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.keys import WORD
+from tidewire.llm.keys import WORD, boxed, unboxed
 from tidewire.sources.tables import cut_lineage
 
 
@@ -74,13 +74,14 @@ def systematic_mix(
     """
     added = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
     names = [c for c in docs.columns if c not in added]
-    source = F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit(""))
+    source = F.coalesce(F.concat(F.lit("="), F.col("_from")), F.lit(""))
     size = F.col("mix_size")
     bits = F.length(F.bin(size))
-    cells = docs.withColumn("mix_size", word_count(F.col(text_col))).select(
-        *[F.col(c) for c in names], "mix_size", source.alias("_source"),
+    rows = docs.select(boxed(docs.columns), F.col(source_col).alias("_from"), F.col(id_col).alias("_id"), word_count(F.col(text_col)).alias("mix_size"))
+    cells = rows.select(
+        "_row", "_id", "mix_size", source.alias("_source"),
         (bits * 16 + F.expr("shiftright(mix_size, greatest(length(bin(mix_size)) - 4, 0))")).cast("int").alias("_band"),
-        F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.lit(f"#{seed}#"), size.cast("string")).cast("binary")).alias("_key"),
+        F.md5(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("~")), F.lit(f"#{seed}#"), size.cast("string")).cast("binary")).alias("_key"),
     ).withColumn("_sub", F.substring("_key", 1, 2))
     cell = ["_source", "_band", "_sub"]
     counts = cut_lineage(cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"), F.sum("mix_size").alias("_words")))
@@ -91,18 +92,18 @@ def systematic_mix(
     targets = mixture_targets(named, weights, max_repeats).select(
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
     )
-    place = Window.partitionBy(*cell).orderBy("_key", F.col(id_col), "mix_size")
+    place = Window.partitionBy(*cell).orderBy("_key", "_id", "mix_size")
     offsets = offsets.join(targets, "_source")
     ranked = cells.withColumn("_r", F.row_number().over(place)).join(offsets, cell)
     expected = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
     offset = _fraction(F.concat(F.col("_source"), F.lit(f"#{seed}")))
     rank = F.col("_before") + F.col("_r")
     copies = F.floor(rank * expected + offset) - F.floor((rank - 1) * expected + offset)
-    return ranked.select(*names, "mix_size", "mix_source_size", "mix_target", copies.cast("long").alias("mix_copies"))
+    return ranked.select(*unboxed(names), "mix_size", "mix_source_size", "mix_target", copies.cast("long").alias("mix_copies"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture itself: each document as often as ``systematic_mix`` takes it, with the columns of ``docs``."""
-    taken = systematic_mix(docs, **options)
-    times = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))
-    return taken.filter(F.col("mix_copies") > 0).withColumn("_copy", times).select(*docs.columns)
+    taken = systematic_mix(docs.select(boxed(docs.columns), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), "id", "text", "source", **options)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int"))).alias("_copy")
+    return taken.filter(F.col("mix_copies") > 0).select("_row", times).select(*unboxed(docs.columns))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.components import components
-from tidewire.llm.keys import join_counted, row_keys, stored
+from tidewire.llm.keys import boxed, join_counted, row_keys, stored, unboxed
 
 WORDS = 5
 #: MinHash bands: BANDS bands of ROWS values. A pair with Jaccard 0.75 shares no band with probability (1 - 0.75**4)**40 = 2.5e-7.
@@ -282,10 +282,10 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Rows whose keys occur once, the usual case, are not shuffled for the latter.
     """
-    gone = _decided(docs, id_col, text_col, **options).filter("first != place").select(F.col("place").alias("_place")).distinct()
-    kept = docs.join(gone, _place(id_col, text_col) == F.col("_place"), "left_anti").withColumns({f"_k{i + 1}": k for i, k in enumerate(row_keys(id_col, text_col))})
+    gone = _decided(docs, id_col, text_col, **options).filter("first != place").select("place").distinct()
     keys = ["_k1", "_k2"]
+    kept = docs.select(boxed(docs.columns), _place(id_col, text_col).alias("place"), *row_keys(id_col, text_col)).join(gone, "place", "left_anti")
     repeated = stored(docs.select(*row_keys(id_col, text_col)).groupBy(*keys).count().filter("count > 1").select(*keys), "repeated")
     once = kept.join(repeated, keys, "left_anti")
     often = kept.join(repeated, keys, "left_semi").dropDuplicates(keys)
-    return once.unionByName(often).select(*docs.columns)
+    return once.unionByName(often).select(*unboxed(docs.columns))

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.llm.keys import boxed, unboxed
 from tidewire.sources.tables import cut_lineage
 
 
@@ -83,10 +84,11 @@ def shuffled_shards(
     Null ids are ids like any other; equal rows are interchangeable. No rows give no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    carried = [c for c in carry if c != id_col]
     keys = [F.xxhash64(F.lit(seed * 3 + i), F.col(id_col), F.col(text_col)) for i in range(3)]
     n_blocks = max(64, -(-docs.count() // block_rows))
     rows = docs.select(
-        F.col(id_col), *[F.col(c) for c in carry if c != id_col],
+        boxed([id_col, *carried]), F.col(id_col).alias("_id"),
         (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.pmod(keys[0], F.lit(n_blocks)).cast("int").alias("_block"), keys[1].alias("_first"), keys[2].alias("_second"),
     )
@@ -102,7 +104,7 @@ def shuffled_shards(
             ends.append(at)
         plan.append({"_block": block, "_ends": ends})
     matrix = docs.sparkSession.range(1).select(F.explode(F.from_json(F.lit(json.dumps(plan)), "array<struct<_block:int,_ends:array<bigint>>>")).alias("x")).select("x.*")
-    local = Window.partitionBy("_block").orderBy("_first", F.col(id_col), "text_crc32")
+    local = Window.partitionBy("_block").orderBy("_first", "_id", "text_crc32")
     cells = 1 << max(4, math.ceil(math.log2(max(1, total / n_shards / cell_rows))))
     dealt = (
         rows.withColumn("_rank", F.row_number().over(local))
@@ -114,9 +116,9 @@ def shuffled_shards(
     dealt = cut_lineage(dealt)
     earlier = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = dealt.groupBy("shard", "_cell").agg(F.count(F.lit(1)).alias("_n")).select("shard", "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inner = Window.partitionBy("shard", "_cell").orderBy("_second", F.col(id_col), "text_crc32")
+    inner = Window.partitionBy("shard", "_cell").orderBy("_second", "_id", "text_crc32")
     return (
         dealt.withColumn("_r", F.row_number().over(inner))
         .join(offsets, ["shard", "_cell"])
-        .select(id_col, *[c for c in carry if c != id_col], "size", "text_crc32", "shard", (F.col("_before") + F.col("_r") - 1).alias("slot"))
+        .select(*unboxed([id_col, *carried]), "size", "text_crc32", "shard", (F.col("_before") + F.col("_r") - 1).alias("slot"))
     )
