@@ -47,7 +47,7 @@ def _project(documents: DataFrame) -> DataFrame:
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Messages without date and author: no join is needed for them."""
-    return _project(read_table(spark, folder, "documents", spread_by="doc_id")).drop("doc_id")
+    return _project(read_table(spark, folder, "documents")).drop("doc_id")
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +55,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").select(
         F.col("event_id"), F.col("ts").alias("date"), F.col("user_id").cast("string").alias("author")
     )
-    base = _project(read_table(spark, folder, "documents", spread_by="doc_id"))
+    base = _project(read_table(spark, folder, "documents"))
     return base.join(events, base["doc_id"] * 5 == events["event_id"]).drop("doc_id", "event_id")
 
 

@@ -26,7 +26,7 @@ _VISIBLE = _STRIP.format(
 
 
 def contact_pages(spark: SparkSession, folder: str) -> DataFrame:
-    df = read_table(spark, folder, "pages", spread_by="page_id")
+    df = read_table(spark, folder, "pages")
     n = F.col("page_id")
     text = n.cast("string")
     extra = (

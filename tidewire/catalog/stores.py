@@ -23,7 +23,7 @@ RAW = "seq bigint, id bigint, message string, timestamp string, sender_id string
 def raw_export(spark: SparkSession, folder: str) -> DataFrame:
     """An untidy export: second copies, blank copies, missing ids, dates in four
     formats (one unreadable), span lists and escaped line breaks in the text."""
-    docs = read_table(spark, folder, "documents", spread_by="doc_id")
+    docs = read_table(spark, folder, "documents")
     n = F.col("doc_id")
     day = F.expr("date_add(DATE'2024-01-01', cast(doc_id % 28 AS int))")
     stamp = (

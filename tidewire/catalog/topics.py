@@ -230,7 +230,7 @@ def discovery_inputs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("P07 P08 P11 P15")
 def embedding_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    found = discovery.cluster_embeddings(read_table(spark, folder, "embeddings", spread_by="vec_id"))
+    found = discovery.cluster_embeddings(read_table(spark, folder, "embeddings"))
     return discovery.reduce_topics(found, 15).groupBy("discovery_topic_id", "discovery_status").agg(
         F.count("*").alias("size"), F.round(F.avg("discovery_topic_probability"), 4).alias("mean_probability")
     )

@@ -44,7 +44,9 @@ SUMMARISED = (
 
 _UPPER_WORD = r"\p{Lu}"
 _LOWER_LETTER = r"\p{Ll}"
-_TITLE_WORD = r"^[^\p{L}]*(?:\p{Lu}\p{Ll}*(?:[^\p{L}]+|$))+$"
+# A word is in title case when every run of letters is one capital and small letters.
+# Stated as what must not occur: a repeated group would make the regex engine recurse.
+_NOT_TITLE = r"\p{L}\p{Lu}|(?<!\p{L})\p{Ll}|[\p{Lt}\p{Lm}\p{Lo}]"
 _QUESTION = (
     rf"(?i){NOT_AFTER_WORD}(?:{'|'.join(lex.QUESTION_WORDS)})"
     rf"\s+(?:{'|'.join(lex.QUESTION_AUXILIARIES)})"
@@ -61,7 +63,7 @@ def _word_counts(text: Column, count_case: bool) -> Column:
         upper = F.filter(
             w, lambda x: (F.length(x) > 1) & x.rlike(_UPPER_WORD) & ~x.rlike(_LOWER_LETTER)
         )
-        title = F.filter(w, lambda x: x.rlike(_TITLE_WORD))
+        title = F.filter(w, lambda x: x.rlike(_UPPER_WORD) & ~x.rlike(_NOT_TITLE))
         return F.struct(
             F.size(upper).cast("long").alias("caps"), F.size(title).cast("long").alias("title")
         )

@@ -137,7 +137,7 @@ def normalise(
     text_col: str = "text",
     id_col: str = "msg_id",
     date_col: str = "date",
-    max_text_length: int | None = MAX_TEXT_LENGTH,
+    max_text_length: int | None = None,
     order_col: str | None = None,
 ) -> DataFrame:
     """Typed messages: dated rows, first row per id, then non-blank text.
@@ -182,7 +182,7 @@ def load_messages(
     text_col: str = "text",
     id_col: str = "msg_id",
     date_col: str = "date",
-    max_text_length: int | None = MAX_TEXT_LENGTH,
+    max_text_length: int | None = None,
     schema: str | None = None,
     order_col: str | None = None,
 ) -> DataFrame:

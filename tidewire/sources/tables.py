@@ -10,19 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_FOLDER = "/tmp/checkpoints/tidewire"
 
 
-def read_table(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """Read ``folder/name.parquet``.
-
-    ``spread_by`` re-distributes the rows by that column when the scan would use
-    fewer tasks than the session has cores, which happens with a single small
-    file. A table of normal size already has more splits and is left alone.
-    """
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    if spread_by is not None:
-        wanted = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < wanted:
-            df = df.repartition(wanted, spread_by)
-    return df
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Read ``folder/name.parquet``. A small file is spread over more tasks with ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
