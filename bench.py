@@ -21,7 +21,7 @@ HEADLINE = (
     "daily_summary", "sentiment_scores", "toxicity_statistics", "style_features", "link_statistics", "top_domains",
     "entity_mentions", "canonical_mentions", "message_languages", "quote_spans", "stance_edges", "entity_stance_daily",
     "topic_share_daily", "topic_words", "reposts_reduced", "rate_limited", "event_rate_capped", "prefix_duplicates_dropped",
-    "entity_scores", "page_sections", "normalised_messages", "streamed_scores",
+    "entity_scores", "page_sections", "normalised_messages", "streamed_scores", "near_duplicate_clusters", "staged_enrichment",
 )
 
 

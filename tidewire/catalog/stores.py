@@ -80,7 +80,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 @query("S05 N01 N02 N03 N04 N05 N07 N08 N09 N10 N11", _NORMAL.format(extra=""))
 def normalised_messages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = loader.normalise(raw_export(spark, folder), order_col="seq", max_text_length=None)
+    rows = loader.normalise(raw_export(spark, folder), order_col="seq")
     return _shown(rows).orderBy("date")
 
 
@@ -115,7 +115,7 @@ def jsonl_source(spark: SparkSession, folder: str) -> DataFrame:
     broken = (F.col("seq") % 50 == 7) & (F.col("seq") < 1_000_000_000)
     lines = raw.select(F.when(broken, F.substring(line, 1, 12)).otherwise(F.concat(line, F.lit("\n"))).alias("value"))
     lines.write.text(path)
-    return _shown(loader.load_messages(spark, path, "jsonl", schema=RAW, order_col="seq", max_text_length=None))
+    return _shown(loader.load_messages(spark, path, "jsonl", schema=RAW, order_col="seq"))
 
 
 @query("S03 S04", _NORMAL.format(extra=""))
@@ -123,7 +123,7 @@ def csv_source(spark: SparkSession, folder: str) -> DataFrame:
     """CSV export with quoted line breaks and quotes in the text."""
     path = work_folder(spark, "export-csv")
     raw_export(spark, folder).write.option("header", True).option("escape", '"').csv(path)
-    rows = loader.load_messages(spark, path, "csv", schema=RAW, order_col="seq", max_text_length=None)
+    rows = loader.load_messages(spark, path, "csv", schema=RAW, order_col="seq")
     return _shown(rows)
 
 
@@ -137,7 +137,7 @@ def json_source(spark: SparkSession, folder: str) -> DataFrame:
     )
     slices.write.option("maxRecordsPerFile", 1).partitionBy("slice").text(path)
     schema = f"messages array<struct<{RAW.replace(' bigint', ':bigint').replace(' string', ':string')}>>"
-    return _shown(loader.load_messages(spark, path, "json", schema=schema, order_col="seq", max_text_length=None))
+    return _shown(loader.load_messages(spark, path, "json", schema=schema, order_col="seq"))
 
 
 @query(

@@ -6,6 +6,10 @@ language, so the joined side has a known bound whatever the corpus size.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,43 +55,55 @@ def save_profiles(profiles: DataFrame, path: str) -> DataFrame:
     return profiles.sparkSession.read.parquet(path)
 
 
+def _scorer(profiles: DataFrame) -> Callable[..., Column]:
+    """An Arrow function of the lower-cased text: the best language and its score.
+
+    The profiles hold a fixed number of trigrams per language, so they travel with the function.
+    """
+    weights: dict[str, list[tuple[str, float]]] = {}
+    floors: dict[str, float] = {}
+    for lang, gram, log_p, floor in profiles.select("lang", "gram", "log_p", "log_floor").collect():
+        weights.setdefault(gram, []).append((lang, log_p - floor))
+        floors[lang] = max(floor, floors.get(lang, floor))
+
+    def best(text: str | None) -> tuple[str, float] | None:
+        if text is None:
+            return None
+        scores: dict[str, float] = {}
+        for gram, n in Counter(map("".join, zip(text, text[1:], text[2:]))).items():
+            for lang, w in weights.get(gram, ()):
+                scores[lang] = scores.get(lang, 0.0) + n * w
+        if not scores:
+            return None
+        score, lang = min((-(w + (len(text) - 2) * floors[lang]), lang) for lang, w in scores.items())
+        return lang, -score
+
+    @F.pandas_udf("struct<language string, score double>")
+    def detect(texts: pd.Series) -> pd.DataFrame:
+        found = [best(t) or (None, None) for t in texts]
+        return pd.DataFrame(found, columns=["language", "score"]).astype({"score": "float64"})
+
+    return detect
+
+
 def detect_language(df: DataFrame, profiles: DataFrame, key: str = "msg_id", text: str = "text") -> DataFrame:
     """(key, language, score) per message; ``unknown`` for short or unmatched text.
 
     A message's score for a language is the sum over its trigrams of
-    log_p - log_floor, which ranks languages like the full log-likelihood while
-    only trigrams in the profile contribute, so the join can be inner. Rows are
-    combined per (message, language) before the shuffle.
+    log_p - log_floor, plus the floor for each trigram, which is the
+    log-likelihood. Only languages with a trigram in the profile count. Scored inside the row: no join and no shuffle.
     """
-    usable = df.filter(F.length(strip(F.coalesce(F.col(text), F.lit("")))) > MIN_LENGTH)
-    grams = usable.select(
-        key, (F.length(text) - 2).alias("grams"), F.explode(trigrams(text)).alias("gram")
-    )
-    weights = profiles.select("lang", "gram", (F.col("log_p") - F.col("log_floor")).alias("w"))
-    floors = profiles.groupBy("lang").agg(F.max("log_floor").alias("log_floor"))
-    # One scan of the text: with a small profile the join, and the sum per
-    # (message, language), happen in the task that produced the trigrams.
-    scores = grams.join(weights, "gram").groupBy(key, "lang").agg(
-        F.sum("w").alias("w"), F.first("grams").alias("grams")
-    )
-    ranked = scores.join(floors, "lang").withColumn(
-        "score", F.col("w") + F.col("grams") * F.col("log_floor")
-    )
-    best = ranked.groupBy(key).agg(
-        F.min_by(F.struct(F.col("lang").alias("language"), "score"), F.struct(-F.col("score"), F.col("lang"))).alias("b")
-    )
-    return df.select(key).join(best, key, "left").select(
-        key,
-        F.coalesce("b.language", F.lit("unknown")).alias("language"),
-        F.col("b.score").alias("language_score"),
-    )
+    usable = F.when(F.length(strip(F.coalesce(F.col(text), F.lit("")))) > MIN_LENGTH, F.lower(F.col(text)))
+    found = df.select(key, _scorer(profiles)(usable).alias("b"))
+    return found.select(key, F.coalesce("b.language", F.lit("unknown")).alias("language"), F.col("b.score").alias("language_score"))
 
 
 def add_language(df: DataFrame, profiles: DataFrame | None, text: str = "text") -> DataFrame:
     """Add ``language``; without profiles every message is ``unknown``."""
     if profiles is None:
         return df.withColumn("language", F.lit("unknown"))
-    return df.join(detect_language(df, profiles, "msg_id", text).drop("language_score"), "msg_id")
+    usable = F.when(F.length(strip(F.coalesce(F.col(text), F.lit("")))) > MIN_LENGTH, F.lower(F.col(text)))
+    return df.withColumn("language", F.coalesce(_scorer(profiles)(usable).getField("language"), F.lit("unknown")))
 
 
 def language_distribution(df: DataFrame, top_k: int = 5) -> DataFrame:

@@ -123,7 +123,8 @@ def style_features(df: DataFrame, text: str = "text", parity: bool = False) -> D
         "_formal": count_matches(lower, whole_word("|".join(lex.FORMAL_WORDS))),
         "_informal": count_matches(lower, whole_word("|".join(lex.INFORMAL_WORDS)))
         + count_matches(s, "!{2,}")
-        + count_matches(s, rf"{WORD}+'{WORD}+"),
+        # tried at word starts only, else a long word is scanned from each of its letters
+        + count_matches(s, rf"{NOT_AFTER_WORD}{WORD}++'{WORD}+"),
     }
     base = base.withColumn("_c", F.struct(*[v.alias(k) for k, v in counts.items()]))
     c = F.col("_c")

@@ -36,7 +36,7 @@ def steps(
 
 
 def enrich(df: DataFrame, **options) -> DataFrame:
-    """All columns in one plan: one scan, and a shuffle only for the language."""
+    """All columns in one plan: one scan, no shuffle."""
     plan = steps(**options)
     for stage in STAGES:
         df = plan[stage](df)
