@@ -149,18 +149,19 @@ def topic_count_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "R08",
-    """SELECT event_id, CASE event_id % 6 WHEN 4 THEN 'about noon' WHEN 5 THEN 'Unknown' ELSE strftime(ts, '%Y-%m-%d') END AS shown,
-    CASE event_id % 6 WHEN 4 THEN 'about noon' WHEN 5 THEN 'Unknown' ELSE strftime(ts, '%m/%d') END AS short
-    FROM events WHERE extract(day FROM ts) > 12""",
+    """SELECT event_id, CASE kind WHEN 4 THEN 'about noon' WHEN 5 THEN 'Unknown' ELSE strftime(day, '%Y-%m-%d') END AS shown,
+    CASE kind WHEN 4 THEN 'about noon' WHEN 5 THEN 'Unknown' ELSE strftime(day, '%m/%d') END AS short
+    FROM (SELECT event_id, event_id % 6 AS kind, CASE WHEN event_id % 6 = 3 AND day(ts) <= 12
+      THEN make_date(year(ts), day(ts), month(ts)) ELSE CAST(ts AS DATE) END AS day FROM events)""",
 )
 def formatted_dates(spark: SparkSession, folder: str) -> DataFrame:
-    events = spark.read.parquet(f"{folder}/events.parquet").filter(F.dayofmonth("ts") > 12)
+    events = spark.read.parquet(f"{folder}/events.parquet")
     kind = F.col("event_id") % 6
     raw = (
         F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd"))
         .when(kind == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
         .when(kind == 2, F.date_format("ts", "MM/dd/yyyy"))
-        .when(kind == 3, F.date_format("ts", "dd/MM/yyyy"))
+        .when(kind == 3, F.date_format("ts", "dd/MM/yyyy"))  # read month first where the day is 12 or less
         .when(kind == 4, F.lit("about noon today"))
     )
     rows = events.select("event_id", raw.alias("raw"))

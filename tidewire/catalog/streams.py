@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.catalog.entities import ALIASES
-from tidewire.catalog.messages import PHRASES, _project
+from tidewire.catalog.messages import _project
 from tidewire.catalog.reduction import windows_sql
 from tidewire.catalog.registry import query
-from tidewire.catalog.text_scores import sql_list
 from tidewire.operators import reduction, sentiment, toxicity
 from tidewire.sources.tables import work_folder
 from tidewire.streaming import jobs
@@ -70,13 +69,12 @@ def streamed_rate_cap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "M05 J01",
-    f"""SELECT d.doc_id, a.canonical, a.alias_type FROM (SELECT doc_id, lower(regexp_extract(([{sql_list(PHRASES)}])[doc_id % 12 + 1],
-      '(Obama|Biden|Trump|CNN)')) AS mention FROM documents) d LEFT JOIN v_aliases a ON a.alias_key = d.mention""",
+    """SELECT d.doc_id, a.canonical, a.alias_type FROM (SELECT doc_id, lower(regexp_extract(text,
+      '(Obama|Biden|Trump|CNN)')) AS mention FROM v_texts) d LEFT JOIN v_aliases a ON a.alias_key = d.mention""",
 )
 def streamed_lookup(spark: SparkSession, folder: str) -> DataFrame:
     documents = _project(jobs.stream_table(spark, folder, "documents"))
-    last_line = F.substring_index("text", "\n", -1)
-    mention = F.lower(F.regexp_extract(last_line, "(Obama|Biden|Trump|CNN)", 1))
+    mention = F.lower(F.regexp_extract("text", "(Obama|Biden|Trump|CNN)", 1))
     dictionary = spark.createDataFrame(list(ALIASES), "mention string, canonical string, alias_type string, ord int").drop("ord")
     rows = documents.select(F.col("msg_id").cast("long").alias("doc_id"), mention.alias("mention"))
     return _run(spark, jobs.with_dictionary(rows, dictionary, "mention")).select("doc_id", "canonical", "alias_type")

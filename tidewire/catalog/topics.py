@@ -111,8 +111,8 @@ def topics_from_model_scores(spark: SparkSession, folder: str) -> DataFrame:
 # Discovery queries on fixed topic ids: the embeddings' labels, 0 taken as outlier.
 view(
     "v_clustered",
-    """SELECT t.msg_id, t.text, CASE WHEN e.label = 0 THEN -1 ELSE e.label END AS topic, length(t.text) AS distance
-    FROM v_texts t JOIN embeddings e ON e.vec_id = t.doc_id""",
+    """SELECT t.msg_id, t.text, CASE WHEN e.label = 0 THEN -1 ELSE coalesce(e.label, -1) END AS topic, length(t.text) AS distance
+    FROM v_texts t LEFT JOIN embeddings e ON e.vec_id = t.doc_id""",
 )
 view(
     "v_terms",
@@ -145,7 +145,9 @@ def clustered(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings").select(
         F.col("vec_id").cast("string").alias("msg_id"), F.when(F.col("label") == 0, -1).otherwise(F.col("label")).alias("discovery_topic_id")
     )
-    return texts(spark, folder).join(vectors, "msg_id").withColumns(
+    # a text without a vector is an outlier
+    joined = texts(spark, folder).join(vectors, "msg_id", "left").fillna({"discovery_topic_id": -1})
+    return joined.withColumns(
         {"distance": F.length("text"), "discovery_topic_probability": (F.col("discovery_topic_id") + 1) / 10}
     )
 

@@ -55,7 +55,7 @@ def cluster_embeddings(
     max_spread: float = 3.0,
     seed: int = 7,
 ) -> DataFrame:
-    """(key, discovery_topic_id, discovery_topic_probability, distance, discovery_status).
+    """(key, discovery_topic_id, discovery_topic_probability, distance, centre_distances, discovery_status).
 
     Vectors are reduced by PCA and clustered by k-means; k is the candidate with
     the best silhouette. A row is an outlier when its cluster is smaller than
@@ -69,7 +69,7 @@ def cluster_embeddings(
     if rows < min_cluster_size or not usable:
         return vectors.select(
             key, F.lit(OUTLIER).alias("discovery_topic_id"), F.lit(0.0).alias("discovery_topic_probability"),
-            F.lit(None).cast("double").alias("distance"), F.lit("too_few_rows").alias("discovery_status"),
+            F.lit(None).cast("double").alias("distance"), F.lit(None).cast("array<double>").alias("centre_distances"), F.lit("too_few_rows").alias("discovery_status"),
         )
     reduced = PCA(k=components, inputCol="v", outputCol="features").fit(vectors).transform(vectors).select(key, "features")
     reduced = reduced.persist()
@@ -101,20 +101,27 @@ def cluster_embeddings(
         F.when(outlier, OUTLIER).otherwise(F.col("prediction")).alias("discovery_topic_id"),
         F.when(outlier, 0.0).otherwise(F.col("p")).alias("discovery_topic_probability"),
         "distance",
+        F.col("d").alias("centre_distances"),
         F.lit("clustered").alias("discovery_status"),
     )
 
 
 def reduce_topics(clusters: DataFrame, nr_topics: int) -> DataFrame:
-    """Keep the ``nr_topics`` largest topics; rows of smaller ones become outliers."""
+    """Keep the ``nr_topics`` largest topics; each row of a smaller one goes to the kept topic with the nearest centre. Outliers stay."""
     sizes = clusters.filter(F.col("discovery_topic_id") != OUTLIER).groupBy("discovery_topic_id").agg(F.count("*").alias("n"))
-    kept = sizes.orderBy(F.desc("n"), "discovery_topic_id").limit(nr_topics).select("discovery_topic_id", F.lit(True).alias("_k"))
-    return clusters.join(F.broadcast(kept), "discovery_topic_id", "left").withColumns(
+    largest = sizes.orderBy(F.desc("n"), "discovery_topic_id").limit(nr_topics)
+    kept = largest.agg(F.collect_list("discovery_topic_id").alias("_kept"))
+    ways = F.col("centre_distances")
+    nearest = F.array_min(F.transform("_kept", lambda t: F.struct(F.get(ways, t).alias("d"), t.alias("t"))))
+    moves = (F.col("discovery_topic_id") != OUTLIER) & ~F.array_contains("_kept", F.col("discovery_topic_id"))
+    share = (1.0 / (nearest["d"] + 1e-9)) / F.aggregate(ways, F.lit(0.0), lambda a, x: a + 1.0 / (x + 1e-9))
+    return clusters.join(F.broadcast(kept), F.lit(True)).withColumns(
         {
-            "discovery_topic_probability": F.when(F.col("_k"), F.col("discovery_topic_probability")).otherwise(0.0),
-            "discovery_topic_id": F.when(F.col("_k"), F.col("discovery_topic_id")).otherwise(OUTLIER),
+            "discovery_topic_id": F.when(moves, nearest["t"]).otherwise(F.col("discovery_topic_id")),
+            "discovery_topic_probability": F.when(moves, share).otherwise(F.col("discovery_topic_probability")),
+            "distance": F.when(moves, nearest["d"]).otherwise(F.col("distance")),
         }
-    ).drop("_k")
+    ).drop("_kept")
 
 
 def _terms(text: str, stop_words: Sequence[str]) -> Column:
