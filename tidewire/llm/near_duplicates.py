@@ -120,28 +120,10 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
 
-def _proposals(similarity: float, most: int | None):
-    """Compare the sketches of each block; the rows of a block are consecutive. ``most`` partners per outsider, the likeliest first, or all."""
+def _by_block(answer):
+    """Hand whole blocks to ``answer``; the rows of a block are consecutive."""
 
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        block, node, comp, n, c, inside, outside = (rows[k].to_numpy() for k in ("block", "node", "comp", "n", "samples", "inside", "outside"))
-        sketches, found = _sketches(rows["sketch"]), []
-        edges = np.flatnonzero(np.diff(block)) + 1
-        for start, end in zip([0, *edges], [*edges, len(rows)], strict=True):
-            others = start + np.flatnonzero(inside[start:end])
-            for i in start + np.flatnonzero(outside[start:end]):
-                fits = others[(comp[others] != comp[i]) & (np.minimum(n[others], n[i]) >= similarity * np.maximum(n[others], n[i]))]
-                if not len(fits):
-                    continue
-                odd = np.bitwise_count(sketches[fits] ^ sketches[i]).sum(axis=1)
-                slack = most_odd_bits(n[fits], n[i], c[fits], c[i], similarity) - odd
-                fits, slack = fits[slack >= 0], slack[slack >= 0]
-                if most is not None and len(fits) > most:
-                    fits = fits[np.argsort(-slack / (n[fits] + n[i]))[:most]]
-                found += [(min(node[i], x), max(node[i], x)) for x in node[fits].tolist()]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []
         for batch in batches:
             if not len(batch):
@@ -157,7 +139,68 @@ def _proposals(similarity: float, most: int | None):
         if waiting:
             yield answer(pd.concat(waiting, ignore_index=True))
 
-    return compare
+    return read
+
+
+def _likely_partners(rows: pd.DataFrame, similarity: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Block number, an outsider's row and the rows of all members of other components that its sketch may be linked with, the likeliest first."""
+    block, comp, n, c, inside, outside = (rows[k].to_numpy() for k in ("block", "comp", "n", "samples", "inside", "outside"))
+    sketches = _sketches(rows["sketch"])
+    edges = np.flatnonzero(np.diff(block)) + 1
+    for number, (start, end) in enumerate(zip([0, *edges], [*edges, len(rows)], strict=True)):
+        others = start + np.flatnonzero(inside[start:end])
+        for i in start + np.flatnonzero(outside[start:end]):
+            fits = others[(comp[others] != comp[i]) & (np.minimum(n[others], n[i]) >= similarity * np.maximum(n[others], n[i]))]
+            if len(fits):
+                odd = np.bitwise_count(sketches[fits] ^ sketches[i]).sum(axis=1)
+                slack = most_odd_bits(n[fits], n[i], c[fits], c[i], similarity) - odd
+                fits = fits[np.argsort(-slack, kind="stable")][: np.count_nonzero(slack >= 0)]
+                if len(fits):
+                    yield number, i, fits
+
+
+_BLOCK_ROW = "block long, node long, comp long, inside boolean, outside boolean, n int, samples int, sketch binary"
+
+
+def _participants(similarity: float):
+    """The rows of blocks that are in any likely pair: at most the rows that came, never the pairs."""
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        used = np.zeros(len(rows), dtype=bool)
+        for _, i, fits in _likely_partners(rows, similarity):
+            used[i] = True
+            used[fits] = True
+        return rows[used]
+
+    return _by_block(answer)
+
+
+def _links(percent: int):
+    """Exact links between components: intersections of full sets, until each pair of components of a block is joined or every likely pair of theirs refuted."""
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        comp, node, sets = (rows[k].to_numpy() for k in ("comp", "node", "shingles"))
+        found, joined, at = [], {}, -1
+
+        def find(x: int) -> int:
+            while joined.get(x, x) != x:
+                joined[x] = joined.get(joined[x], joined[x])
+                x = joined[x]
+            return x
+
+        for number, i, fits in _likely_partners(rows, percent / 100):
+            if number != at:
+                joined, at = {}, number
+            for j in fits:
+                a, b = find(comp[i]), find(comp[j])
+                if a != b:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if both * 100 >= (len(sets[i]) + len(sets[j]) - both) * percent:
+                        joined[max(a, b)] = min(a, b)
+                        found.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+
+    return _by_block(answer)
 
 
 def _blocks(members: DataFrame, classes: DataFrame, comps: DataFrame, block_rows: int) -> DataFrame:
@@ -196,7 +239,7 @@ def _place(id_col: str, text_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61)))
 
 
-def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, block_rows: int = 1024, partners: int = 2) -> DataFrame:
+def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, block_rows: int = 1024) -> DataFrame:
     """``place, n, first`` for every row: its own place, the size of its set and the smallest place of its component."""
     similarity = percent / 100
     place = _place(id_col, text_col)
@@ -230,12 +273,11 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, blo
     stars = stars.filter(likely("sketch_a", "sketch_b", "n_a", "n_b", "samples_a", "samples_b")).select("a", "b")
     checked = stored(_confirmed(stored(stars, "stars"), sets, percent), "checked")
     comps = components(checked.filter("linked"))
-    for most in (partners, None):
-        blocks = _blocks(members, classes, comps, block_rows).repartition("block").sortWithinPartitions("block")
-        pairs = blocks.mapInPandas(_proposals(similarity, most), "a long, b long").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        checked = stored(checked.unionByName(_confirmed(stored(pairs, "pairs"), sets, percent)), "checked")
-        comps = components(checked.filter("linked"))
-
+    blocks = _blocks(members, classes, comps, block_rows).repartition("block").sortWithinPartitions("block")
+    likely_rows = blocks.select("block", "node", "comp", "inside", "outside", "n", "samples", "sketch").mapInPandas(_participants(similarity), _BLOCK_ROW)
+    whole = likely_rows.join(sets, "node").repartition("block").sortWithinPartitions("block")
+    more = whole.mapInPandas(_links(percent), "a long, b long").distinct()
+    comps = components(stored(checked.filter("linked").select("a", "b").unionByName(more), "edges"))
     linked = comps.join(classes.select("node", "place"), "node")
     named = linked.groupBy("comp").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
     linked = join_counted(linked.select("node", "comp"), named, ["comp"], "size").select("node", "first")
@@ -246,7 +288,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, blo
     return rows
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024, partners: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the smallest id of its group) and ``kept`` (it is that id).
 
     Two documents are linked when their sets of five-word shingles (A-Z lower-cased) have a Jaccard similarity of ``percent`` hundredths.
@@ -259,12 +301,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        by exact intersection, and confirmed links are joined to components.
     4. Buckets that still hold several components compare the sketches of all
        members outside the largest with everybody, in blocks of ``block_rows``
-       squared, once for the ``partners`` likeliest of each member and, with
-       the components that makes, once more for every pair that the sketches let pass and no earlier step refuted.
+       squared. The members of likely pairs bring their full sets to the block,
+       where pairs are confirmed until two components are joined or all their likely
+       pairs are refuted. Only links between components leave a block.
 
-    So a group of m near copies takes about m confirmations, not m squared, and
-    no pair that shares a bucket is given up. Only the sketches (512 bytes) travel to blocks; full
-    sets exist only for classes that share a bucket.
+    So a group of m near copies takes about m confirmed links, not m squared, and
+    no pair that shares a bucket is given up. Full sets exist only for classes that share a bucket.
 
     Empty and null texts have no shingles and are linked with nothing. Rows that share an id but not a text are documents of their own. A row
     with a null id takes part but never names a component; where no row has an id, the null ids with the text of smallest hash are kept and ``component_id`` is null.
@@ -273,7 +315,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def known(c: str) -> Column:
         return F.when(F.col(c) < NO_ID, F.col(c))
 
-    rows = _decided(docs, id_col, text_col, percent, block_rows, partners)
+    rows = _decided(docs, id_col, text_col, percent, block_rows)
     return rows.select(known("place").alias(id_col), F.col("n").cast("long").alias("n_shingles"), known("first").alias("component_id"), (F.col("first") == F.col("place")).alias("kept"))
 
 
