@@ -3,6 +3,7 @@ import json
 import pytest
 
 from tidewire.catalog.messages import texts
+from tidewire.operators import entities, sentiment, topics, toxicity
 from tidewire.sources import dictionaries, messages, stores
 
 
@@ -62,3 +63,22 @@ def test_stages_and_sinks(spark, tmp_path):
         stores.write_enriched(df.selectExpr("msg_id", "array(text) AS parts"), str(tmp_path / f"out.{suffix}"))
     with pytest.raises(ValueError):
         stores.write_enriched(df, str(tmp_path / "out.xlsx"))
+
+
+def test_dictionary_files_feed_the_operators(spark, tmp_path):
+    people = {f"Person {chr(97 + i % 26)}{i}x": {"type": "PERSON", "id": i, "aliases": [f"alias{i}q"]} for i in range(200)}
+    (tmp_path / "aliases.json").write_text(json.dumps(people))
+    (tmp_path / "topics.json").write_text(json.dumps([{"label": "sea", "keywords": ["boat", "deep water"]}, {"label": "land", "keywords": ["hill"], "weight": 2.0}]))
+    aliases = dictionaries.read_aliases(spark, str(tmp_path / "aliases.json"))
+    assert aliases.count() == 400
+    df = spark.createDataFrame([(1, "we met alias7q and alias199q on a boat in deep water near a hill")], "msg_id long, text string")
+    found = entities.rule_entities(df, aliases).first()["entities"]
+    assert [(e["text"], e["type"]) for e in found] == [("Person h7x", "PERSON"), ("Person r199x", "PERSON")]
+    row = topics.ontology_topics(df, dictionaries.read_ontology(spark, str(tmp_path / "topics.json"))).first()
+    assert (row["primary_topic"], row["topic_count"]) == ("sea", 2)
+
+
+def test_empty_frames(spark):
+    df = spark.createDataFrame([], "msg_id string, text string")
+    for score in (sentiment.score_sentiment, toxicity.score_toxicity, entities.rule_entities, topics.ontology_topics):
+        assert score(df).count() == 0

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,12 +25,19 @@ ENTITY = T.StructType(
         T.StructField("original_text", T.StringType()),
     ]
 )
-# Dictionaries up to this size become one literal array; larger ones are matched
-# by an Arrow function that walks each text once.
-LITERAL_DICTIONARY_LIMIT = 256
 _OPEN, _CLOSE = "\x03", "\x04"
 
 
+def alias_rows(aliases: Sequence[Alias] | DataFrame) -> list[Alias]:
+    """Dictionary entries in order, from a sequence or from the frame of ``read_aliases``.
+
+    A dictionary is one file, read as one row, so its entries are bounded by that file.
+    """
+    if isinstance(aliases, DataFrame):
+        aliases = [tuple(r) for r in aliases.select("alias_key", "canonical", "alias_type", "ord").orderBy("ord").collect()]
+    return list(aliases)
+
+
 def _dictionary_hits(text: Column, aliases: Sequence[Alias], confidence: float) -> Column:
     """Aliases that occur in the text as a substring, in dictionary order."""
     shape = "array<struct<name:string,type:string,confidence:double,key:string>>"
@@ -49,31 +55,6 @@ def _dictionary_hits(text: Column, aliases: Sequence[Alias], confidence: float)
     return bind(F.lower(text), lambda low: F.filter(known, lambda a: F.contains(low, a["key"])))
 
 
-def _dictionary_lookup(aliases: Sequence[Alias], confidence: float):
-    """Arrow function with the same result as :func:`_dictionary_hits`, reading each
-    text once however many aliases there are."""
-
-    @F.pandas_udf("array<struct<name:string,type:string,confidence:double,key:string>>")
-    def hits(texts: pd.Series) -> pd.Series:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for position, alias in enumerate(aliases):
-            automaton.add_word(alias[0], position)
-        automaton.make_automaton()
-
-        def find(text: str) -> list[dict]:
-            positions = sorted({p for _, p in automaton.iter(text)})
-            return [
-                {"name": aliases[p][1], "type": aliases[p][2], "confidence": confidence, "key": aliases[p][0]}
-                for p in positions
-            ]
-
-        return texts.map(find)
-
-    return hits
-
-
 def mark_capitalised(text: Column) -> Column:
     """Wrap every run of capitalised words in two control characters.
 
@@ -119,7 +100,7 @@ def _first_by_key(items: Column) -> Column:
 
 def rule_entities(
     df: DataFrame,
-    aliases: Sequence[Alias] = (),
+    aliases: Sequence[Alias] | DataFrame = (),
     text: str = "text",
     max_entities: int = 3,
 ) -> DataFrame:
@@ -131,10 +112,7 @@ def rule_entities(
     """
     built_in = [(k, n, t, i) for i, (k, n, t) in enumerate(lex.BUILT_IN_ENTITIES)]
     body = F.coalesce(F.col(text), F.lit(""))
-    if len(aliases) > LITERAL_DICTIONARY_LIMIT:
-        df = df.withColumn("_listed", _dictionary_lookup(aliases, 0.85)(F.lower(body)))
-    else:
-        df = df.withColumn("_listed", _dictionary_hits(body, aliases, 0.85))
+    df = df.withColumn("_listed", _dictionary_hits(body, alias_rows(aliases), 0.85))
     named = _first_by_key(F.concat("_listed", _dictionary_hits(body, built_in, 0.8)))
     df = df.withColumns({"_named": named, "_marked": mark_capitalised(body)})
 

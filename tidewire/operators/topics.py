@@ -46,8 +46,18 @@ def keyword_hits(text: str, ontology: Sequence[Topic]) -> Column:
     )
 
 
+def topic_rows(ontology: Sequence[Topic] | DataFrame) -> list[Topic]:
+    """Topics in order, from a sequence or from the frame of ``read_ontology``, which is one file."""
+    if not isinstance(ontology, DataFrame):
+        return list(ontology)
+    found: dict[int, tuple[str, list[str], float]] = {}
+    for r in ontology.select("ord", "label", "keyword", "weight").filter("label IS NOT NULL AND keyword IS NOT NULL").collect():
+        found.setdefault(r["ord"], (r["label"], [], r["weight"]))[1].append(r["keyword"])
+    return [(label, tuple(sorted(words)), weight) for _, (label, words, weight) in sorted(found.items())]
+
+
 def ontology_topics(
-    df: DataFrame, ontology: Sequence[Topic] = ONTOLOGY, text: str = "text", threshold: float = 0.3
+    df: DataFrame, ontology: Sequence[Topic] | DataFrame = ONTOLOGY, text: str = "text", threshold: float = 0.3
 ) -> DataFrame:
     """Add topic columns from weighted keyword matches.
 
@@ -55,6 +65,7 @@ def ontology_topics(
     the threshold are kept; the primary topic is the best, earlier topics winning
     ties, and ``other`` with 0.0 when nothing matched.
     """
+    ontology = topic_rows(ontology)
     scores = [
         F.struct(
             F.lit(label).alias("topic"),
