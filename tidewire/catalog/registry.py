@@ -30,6 +30,8 @@ MODULES = (
 
 def view(name: str, sql: str) -> None:
     """Declare a SQL view that twins may mention by name."""
+    if name in VIEWS:
+        raise ValueError(f"view {name} is declared twice")
     VIEWS[name] = sql
 
 
