@@ -105,3 +105,21 @@ def test_shards(spark):
     by_shard = [sum(1 for r in rows if r["shard"] == s and r["source"] == "hot") for s in range(24)]
     assert min(by_shard) > 15 and max(by_shard) < 55
     assert sharding.shuffled_shards(frame(spark, []), 24).count() == 0
+
+
+def test_copies_of_a_row_are_shuffled_like_other_rows(spark):
+    rows = [(i, f"text {i}", "a", 1, "x") for i in range(600)]
+    df = frame(spark, rows * 3 + [(-1, "hot", "b", 1, "x")] * 900)
+    got = sharding.shuffled_shards(df, 24, cell_rows=100).collect()
+    assert len(got) == 2700
+    places = defaultdict(list)
+    for r in got:
+        places[r["doc_id"]].append((r["shard"], r["slot"]))
+    hot = Counter(s for s, _ in places.pop(-1))
+    assert len(hot) == 24 and max(hot.values()) < 70
+    pairs = [(a, b) for p in places.values() for i, a in enumerate(p) for b in p[:i]]
+    same = [(a, b) for a, b in pairs if a[0] == b[0]]
+    assert len(pairs) == 1800 and 40 < len(same) < 115
+    assert sum(abs(a[1] - b[1]) == 1 for a, b in same) < 8
+    again = sharding.shuffled_shards(df.repartition(7), 24, cell_rows=100).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
