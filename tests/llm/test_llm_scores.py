@@ -136,3 +136,27 @@ def test_main_text(spark):
     assert got[0] == got[6] == got[7] == want
     assert got[1] == got[2] == got[4] == got[5] == "" and got[3] == "Deep text, that is long enough."
     assert pages.main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, want", [
+    # a head without end tag
+    ("<html><head><title>T</title><body><p>One.</p>", ["One."]),
+    ("<html><head><title>T</title><meta charset=x><script>s</script><p>One.</p><p>Two.", ["One.", "Two."]),
+    ("<head><template><p>hidden</p></template><style>s</style>\n <b>One.</b>", ["One."]),
+    ("<head><title>T</title>\n One. <p>Two.", ["One.", "Two."]),
+    ("<head><title>T</title></head><body><p>One.", ["One."]),
+    ("<body><p>One.</p><head><p>Two.", ["One.", "Two."]),
+    # '/>' closes foreign elements only
+    ("<div><svg/><p>One.</p></div><p>Two.", ["One.", "Two."]),
+    ("<p>One <svg width='9' /> two.</p>", ["One", "two."]),
+    ("<div><svg><title/><path d='m'/></svg><p>One.</p></div>", ["One."]),
+    ("<div><svg width=9/><p>hidden</p></svg><p>One.</div>", ["One."]),
+    ("<div><math/><p>One.</p></div>", ["One."]),
+    ("<div><button/>hidden</button><p>One.</p></div>", ["One."]),
+    # formulas are text
+    ("<p>With <math><mi>x</mi><mo>=</mo><mn>2</mn></math> it holds.</p>", ["With x=2 it holds."]),
+    ("<p><math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math> it is.</p>", ["x it is."]),
+    ("<p><math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math></p>", ["1 2"]),
+])
+def test_only_hidden_text_is_left_out(page, want):
+    assert [b.text for b in pages.leaf_blocks(page)] == want

@@ -15,14 +15,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Elements of formulas, which stand in the text (annotations are hidden, but end no block either).
+MATH = frozenset(
+    "math annotation annotation-xml maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
 #: Elements that do not end a block.
-INLINE = frozenset(
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never shown, or is not prose.
-HIDDEN = frozenset("script style noscript template textarea select option svg math iframe object canvas audio video head title button datalist".split())
+HIDDEN = frozenset("script style noscript template textarea select option svg annotation annotation-xml iframe object canvas audio video head title button datalist".split())
+#: Elements that can stand in a head; any other one, and text, ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: Elements whose content is plain text up to their end tag.
 RAW = frozenset("script style textarea title iframe noscript".split())
 
@@ -32,6 +38,15 @@ _MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _PARTS = re.compile(r"[A-Z]?[a-z]+")
 
 
+def _self_closed(attributes: str) -> bool:
+    """Whether a tag ends in '/>', where the slash is not the end of an unquoted value."""
+    if not attributes.endswith("/"):
+        return False
+    start = max(attributes.rfind(c) for c in " \t\n\f\r\"'") + 1
+    value = attributes[start:]
+    return "=" not in value and not (value == "/" and attributes[:start].rstrip().endswith("="))
+
+
 class Block:
     """A leaf block: its text, its known ancestors' features, the element that holds its own one, and the characters inside links."""
 
@@ -46,7 +61,8 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[Block]:
 
     A block ends at every tag that is not inline; ``br`` counts as white space.
     ``known`` limits the ancestors' features, so deep nesting costs no more than
-    the model has features. One pass over the page; unclosed elements end with it.
+    the model has features. One pass over the page; unclosed elements end with it,
+    a head at the first element or text that cannot stand in it. '/>' closes svg, math and what they hold.
     """
     blocks: list[Block] = []
     # name, features of this element and its ancestors, number of the element
@@ -70,6 +86,8 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[Block]:
         state["hidden"] -= name in HIDDEN
 
     def words(text: str) -> None:
+        if stack[-1][0] == "head" and text.strip(" \t\n\f\r"):
+            pop()
         if not state["hidden"] and text:
             text = html.unescape(text)
             parts.append(text)
@@ -103,6 +121,10 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[Block]:
             break  # a tag that the page's end cuts off
         name, closing, attributes = m[1].lower(), page[lt + 1] == "/", page[m.end() : end - 1]
         at = end
+        if stack[-1][0] == "head" and (name in ("body", "html", "br") if closing else name not in IN_HEAD):
+            pop()
+        if name == "head" and not closing and any(x[0] not in ("", "html") for x in stack):
+            continue
         if name == "br":
             parts.append(" ")
             continue
@@ -121,7 +143,9 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[Block]:
             if stack[tail][0] == "p" or stack[tail][0] == name in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 while len(stack) > tail:
                     pop()
-        if name in VOID:
+        if name in ("mtr", "mtd"):
+            words(" ")
+        if name in VOID or (name in ("svg", "math") or opened["svg"] or opened["math"]) and _self_closed(attributes):
             continue
         marks = [f"<{name}"] if name not in INLINE else []
         for found in _MARKS.finditer(attributes):
