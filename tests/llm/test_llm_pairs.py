@@ -76,6 +76,16 @@ def test_null_ids_and_repeated_rows(spark):
     assert nd.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_decided_by_their_texts(spark):
+    a, b, c = ("a b c d e f g h", "quite another text that stands alone", "one two three four five six seven eight nine ten")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, c.upper()), (8, c), (9, ""), (9, None)]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    kept = sorted((r["doc_id"], (r["text"] or "").lower()) for r in nd.without_near_duplicates(df).collect())
+    assert kept == [(3, a), (5, b), (7, c), (9, ""), (9, "")]
+    flags = nd.near_duplicates(df).collect()
+    assert len(flags) == len(rows) and sorted(r["doc_id"] for r in flags if r["kept"]) == [i for i, _ in kept]
+
+
 def test_sketches_estimate_high_similarities():
     rng = np.random.default_rng(1)
     for n in (3, 50, 400, 6000):

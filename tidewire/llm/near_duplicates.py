@@ -104,13 +104,13 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for batch in batches:
         out = []
-        for place, text in batch.itertuples(index=False):
+        for place, tag, text in batch.itertuples(index=False):
             s = shingle_set(text, hashes)
             if len(s):
-                out.append((place, len(s), digest(s), *signature(s)))
+                out.append((place, tag, len(s), digest(s), *signature(s)))
             else:
-                out.append((place, 0, 0, np.zeros(0, np.int64), b"", 0))
-        yield pd.DataFrame(out, columns=["place", "n", "node", "bands", "sketch", "samples"])
+                out.append((place, tag, 0, 0, np.zeros(0, np.int64), b"", 0))
+        yield pd.DataFrame(out, columns=["place", "tag", "n", "node", "bands", "sketch", "samples"])
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,22 +239,27 @@ def _place(id_col: str, text_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61)))
 
 
+def _tag(text_col: str) -> Column:
+    """Tells the texts of one place apart."""
+    return F.xxhash64(F.lit(31), F.col(text_col))
+
+
 def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, block_rows: int = 1024) -> DataFrame:
-    """``place, n, first`` for every row: its own place, the size of its set and the smallest place of its component."""
+    """``place, tag, n, first, first_tag`` for every row: its own place and tag, the size of its set, and the smallest place of its component with the smallest tag there."""
     similarity = percent / 100
     place = _place(id_col, text_col)
-    texts = docs.select(place.alias("place"), F.col(text_col).alias("text"))
-    signed = stored(texts.mapInPandas(_signatures, "place long, n int, node long, bands array<long>, sketch binary, samples int"), "signatures")
+    texts = docs.select(place.alias("place"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
+    signed = stored(texts.mapInPandas(_signatures, "place long, tag long, n int, node long, bands array<long>, sketch binary, samples int"), "signatures")
     groups = signed.filter("n > 0").groupBy("node").agg(
-        F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        F.min("place").alias("place"), F.min_by("tag", F.struct("place", "tag")).alias("tag"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
     )
     classes = stored(groups, "classes")
     entries = classes.select("node", F.explode("bands").alias("bucket"))
     buckets = stored(entries.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
     members = stored(join_counted(entries, buckets, ["bucket"], "size").select("bucket", "node", "lead"), "members")
     several = members.select("node").distinct()
-    places = classes.join(several, "node").select("place").distinct()
-    sets = texts.join(places, "place").mapInPandas(_sets, "node long, shingles array<long>")
+    places = classes.join(several, "node").select("place", "tag").distinct()
+    sets = texts.join(places, ["place", "tag"]).select("place", "text").mapInPandas(_sets, "node long, shingles array<long>")
     sets = stored(sets.dropDuplicates(["node"]).join(several, "node"), "sets")
 
     @F.pandas_udf("boolean")
@@ -278,18 +283,18 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, blo
     whole = likely_rows.join(sets, "node").repartition("block").sortWithinPartitions("block")
     more = whole.mapInPandas(_links(percent), "a long, b long").distinct()
     comps = components(stored(checked.filter("linked").select("a", "b").unionByName(more), "edges"))
-    linked = comps.join(classes.select("node", "place"), "node")
-    named = linked.groupBy("comp").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
-    linked = join_counted(linked.select("node", "comp"), named, ["comp"], "size").select("node", "first")
-    firsts = classes.select("node", "copies", "place").join(linked, "node", "left").select("node", "copies", F.coalesce("first", "place").alias("first"))
-    rows = join_counted(signed.filter("n > 0").select("place", "n", "node"), firsts, ["node"], "copies").select("place", "n", "first")
-    rows = rows.unionByName(signed.filter("n = 0").select("place", "n", F.col("place").alias("first")))
+    linked = comps.join(classes.select("node", "place", "tag"), "node")
+    named = linked.groupBy("comp").agg(F.min("place").alias("first"), F.min_by("tag", F.struct("place", "tag")).alias("first_tag"), F.count(F.lit(1)).alias("size"))
+    linked = join_counted(linked.select("node", "comp"), named, ["comp"], "size").select("node", "first", "first_tag")
+    firsts = classes.select("node", "copies", "place", "tag").join(linked, "node", "left").select("node", "copies", F.coalesce("first", "place").alias("first"), F.coalesce("first_tag", "tag").alias("first_tag"))
+    rows = join_counted(signed.filter("n > 0").select("place", "tag", "n", "node"), firsts, ["node"], "copies").select("place", "tag", "n", "first", "first_tag")
+    rows = rows.unionByName(signed.filter("n = 0").select("place", "tag", "n", F.col("place").alias("first"), F.col("tag").alias("first_tag")))
 
     return rows
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024) -> DataFrame:
-    """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the smallest id of its group) and ``kept`` (it is that id).
+    """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the smallest id of its group) and ``kept`` (it has that id, and of several texts of that id the one of smallest hash).
 
     Two documents are linked when their sets of five-word shingles (A-Z lower-cased) have a Jaccard similarity of ``percent`` hundredths.
 
@@ -316,7 +321,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return F.when(F.col(c) < NO_ID, F.col(c))
 
     rows = _decided(docs, id_col, text_col, percent, block_rows)
-    return rows.select(known("place").alias(id_col), F.col("n").cast("long").alias("n_shingles"), known("first").alias("component_id"), (F.col("first") == F.col("place")).alias("kept"))
+    return rows.select(known("place").alias(id_col), F.col("n").cast("long").alias("n_shingles"), known("first").alias("component_id"), ((F.col("first") == F.col("place")) & (F.col("first_tag") == F.col("tag"))).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -324,9 +329,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Rows whose keys occur once, the usual case, are not shuffled for the latter.
     """
-    gone = _decided(docs, id_col, text_col, **options).filter("first != place").select("place").distinct()
+    gone = _decided(docs, id_col, text_col, **options).filter("first != place or first_tag != tag").select("place", "tag").distinct()
     keys = ["_k1", "_k2"]
-    kept = docs.select(boxed(docs.columns), _place(id_col, text_col).alias("place"), *row_keys(id_col, text_col)).join(gone, "place", "left_anti")
+    kept = docs.select(boxed(docs.columns), _place(id_col, text_col).alias("place"), _tag(text_col).alias("tag"), *row_keys(id_col, text_col)).join(gone, ["place", "tag"], "left_anti")
     repeated = stored(docs.select(*row_keys(id_col, text_col)).groupBy(*keys).count().filter("count > 1").select(*keys), "repeated")
     once = kept.join(repeated, keys, "left_anti")
     often = kept.join(repeated, keys, "left_semi").dropDuplicates(keys)
