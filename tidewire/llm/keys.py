@@ -45,18 +45,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], size_col: str, how: str = "inner") -> DataFrame:
-    """Join ``rows`` with ``groups``, which has one row per key and in ``size_col`` the number of rows with that key.
-
-    Keys with at least a thousandth of all rows, of which there are 1,000 at
-    most, are joined by broadcast, so no task gets all rows of a hot key; the others are joined by shuffle.
-    """
-    total = groups.agg(F.sum(size_col)).first()[0] or 0
-    least = max(2, -(-total // 1000))
-    hot = F.broadcast(groups.filter(F.col(size_col) >= least))
-    rest = groups.filter(F.col(size_col) < least)
-    by_broadcast = rows.join(hot, keys)
-    by_shuffle = rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys, how)
-    return by_broadcast.unionByName(by_shuffle)

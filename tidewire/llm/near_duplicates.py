@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.components import components
-from tidewire.llm.keys import boxed, join_counted, row_keys, stored, unboxed
+from tidewire.llm.keys import boxed, row_keys, stored, unboxed
+from tidewire.llm.linking import linked_classes, shared_buckets
 
 WORDS = 5
 #: MinHash bands: BANDS bands of ROWS values. A pair with Jaccard 0.75 shares no band with probability (1 - 0.75**4)**40 = 2.5e-7.
@@ -30,7 +31,7 @@ _SHIFTS = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=_U)
 _FOLDS = _rng.integers(1, 1 << 63, (BANDS, ROWS), dtype=_U) | _U(1)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
@@ -50,24 +51,24 @@ class WordHashes(dict):
         return h
 
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of the five-word shingles; a shorter text is one shingle, no words give none."""
+def shingle_set(text: str | None, hashes: WordHashes, width: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of ``width`` words; a shorter text is one shingle, no words give none."""
     if not text:
         return np.zeros(0, _U)
     words = text.encode("utf-8", "replace").lower().split()
     if not words:
         return np.zeros(0, _U)
     w = np.fromiter(map(hashes.__getitem__, words), dtype=_U, count=len(words))
-    n = max(1, len(w) - WORDS + 1)
-    total = np.full(n, _U(min(len(w), WORDS)))
-    for j in range(min(WORDS, len(w))):
+    n = max(1, len(w) - width + 1)
+    total = np.full(n, _U(min(len(w), width)))
+    for j in range(min(width, len(w))):
         total += w[j : j + n] * _PLACES[j]
-    return np.unique(_mix(total))
+    return np.unique(mix(total))
 
 
 def digest(s: np.ndarray) -> int:
     """64 bits that name the set."""
-    return int(_mix(s ^ _U(0x5DEECE66D)).sum(dtype=_U).view(np.int64))
+    return int(mix(s ^ _U(0x5DEECE66D)).sum(dtype=_U).view(np.int64))
 
 
 def signature(s: np.ndarray) -> tuple[np.ndarray, bytes, int]:
@@ -75,10 +76,10 @@ def signature(s: np.ndarray) -> tuple[np.ndarray, bytes, int]:
     lowest = np.full(BANDS * ROWS, _U(0xFFFFFFFFFFFFFFFF))
     for part in np.array_split(s, max(1, -(-len(s) // 1024))):
         lowest = np.minimum(lowest, (part[:, None] * _FACTORS + _SHIFTS).min(axis=0))
-    bands = _mix((lowest.reshape(BANDS, ROWS) * _FOLDS).sum(axis=1, dtype=_U) + np.arange(BANDS, dtype=_U))
+    bands = mix((lowest.reshape(BANDS, ROWS) * _FOLDS).sum(axis=1, dtype=_U) + np.arange(BANDS, dtype=_U))
     # the set is sorted, so the first hash of each range is its minimum
     samples = s[np.unique(s >> _U(64 - BINS.bit_length() + 1), return_index=True)[1]]
-    parity = np.bincount((_mix(samples + _U(99)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
+    parity = np.bincount((mix(samples + _U(99)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
     return bands.view(np.int64), np.packbits(parity.astype(np.uint8)).tobytes(), len(samples)
 
 
@@ -96,8 +97,9 @@ def most_odd_bits(n1: np.ndarray, n2: np.ndarray, c1: np.ndarray, c2: np.ndarray
     return BITS / 2 * -np.expm1(-2 * differing / BITS) + MARGIN * np.sqrt(2 * differing**2 / BITS) + 2
 
 
-def _sketches(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=_U).reshape(len(column), BITS // 64)
+def odd_sketch_slack(similarity: float, a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """How many more bits the sketches could differ in before the pair is passed over."""
+    return most_odd_bits(n1, n2, c1, c2, similarity) - np.bitwise_count(a ^ b).sum(axis=1)
 
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,184 +115,68 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["place", "tag", "n", "node", "bands", "sketch", "samples"])
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
-    for batch in batches:
-        sets = [shingle_set(t, hashes) for t in batch["text"]]
-        yield pd.DataFrame({"node": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
-
-
-def _by_block(answer):
-    """Hand whole blocks to ``answer``; the rows of a block are consecutive."""
+def sets_of(width: int = WORDS):
+    """Full sets, named by their digests."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
+        hashes = WordHashes()
         for batch in batches:
-            if not len(batch):
-                continue
-            waiting.append(batch)
-            if batch["block"].iloc[0] == batch["block"].iloc[-1] == waiting[0]["block"].iloc[0]:
-                continue
-            rows = pd.concat(waiting, ignore_index=True)
-            last = rows["block"].iloc[-1]
-            whole, waiting = rows[rows["block"] != last], [rows[rows["block"] == last]]
-            if len(whole):
-                yield answer(whole)
-        if waiting:
-            yield answer(pd.concat(waiting, ignore_index=True))
+            sets = [shingle_set(t, hashes, width) for t in batch["text"]]
+            yield pd.DataFrame({"node": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
     return read
 
 
-def _likely_partners(rows: pd.DataFrame, similarity: float) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Block number, an outsider's row and the rows of all members of other components that its sketch may be linked with, the likeliest first."""
-    block, comp, n, c, inside, outside = (rows[k].to_numpy() for k in ("block", "comp", "n", "samples", "inside", "outside"))
-    sketches = _sketches(rows["sketch"])
-    edges = np.flatnonzero(np.diff(block)) + 1
-    for number, (start, end) in enumerate(zip([0, *edges], [*edges, len(rows)], strict=True)):
-        others = start + np.flatnonzero(inside[start:end])
-        for i in start + np.flatnonzero(outside[start:end]):
-            fits = others[(comp[others] != comp[i]) & (np.minimum(n[others], n[i]) >= similarity * np.maximum(n[others], n[i]))]
-            if len(fits):
-                odd = np.bitwise_count(sketches[fits] ^ sketches[i]).sum(axis=1)
-                slack = most_odd_bits(n[fits], n[i], c[fits], c[i], similarity) - odd
-                fits = fits[np.argsort(-slack, kind="stable")][: np.count_nonzero(slack >= 0)]
-                if len(fits):
-                    yield number, i, fits
-
-
-_BLOCK_ROW = "block long, node long, comp long, inside boolean, outside boolean, n int, samples int, sketch binary"
-
-
-def _participants(similarity: float):
-    """The rows of blocks that are in any likely pair: at most the rows that came, never the pairs."""
+def _place(id_col: str, text_col: str) -> Column:
+    """Where a row is found again: its id, or else a number from its text."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61)))
 
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        used = np.zeros(len(rows), dtype=bool)
-        for _, i, fits in _likely_partners(rows, similarity):
-            used[i] = True
-            used[fits] = True
-        return rows[used]
 
-    return _by_block(answer)
+def _tag(text_col: str) -> Column:
+    """Tells the texts of one place apart."""
+    return F.xxhash64(F.lit(31), F.col(text_col))
 
 
-def _links(percent: int):
-    """Exact links between components: intersections of full sets, until each pair of components of a block is joined or every likely pair of theirs refuted."""
+def placed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``place, tag, text`` of every row."""
+    return docs.select(_place(id_col, text_col).alias("place"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
 
-    def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        comp, node, sets = (rows[k].to_numpy() for k in ("comp", "node", "shingles"))
-        found, joined, at = [], {}, -1
 
-        def find(x: int) -> int:
-            while joined.get(x, x) != x:
-                joined[x] = joined.get(joined[x], joined[x])
-                x = joined[x]
-            return x
+def classes_of(signed: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per distinct set (``node``) with its smallest place and the smallest tag there."""
+    return signed.filter("n > 0").groupBy("node").agg(F.min("place").alias("place"), F.min_by("tag", F.struct("place", "tag")).alias("tag"), *[F.first(c).alias(c) for c in columns])
 
-        for number, i, fits in _likely_partners(rows, percent / 100):
-            if number != at:
-                joined, at = {}, number
-            for j in fits:
-                a, b = find(comp[i]), find(comp[j])
-                if a != b:
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if both * 100 >= (len(sets[i]) + len(sets[j]) - both) * percent:
-                        joined[max(a, b)] = min(a, b)
-                        found.append((min(node[i], node[j]), max(node[i], node[j])))
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
-    return _by_block(answer)
+def full_sets(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """``node, shingles`` of every class that shares a bucket, from the text of its first row."""
+    several = members.select("node").distinct()
+    places = classes.join(several, "node").select("place", "tag").distinct()
+    sets = texts.join(places, ["place", "tag"]).select("place", "text").mapInPandas(sets_of(width), "node long, shingles array<long>")
+    return stored(sets.dropDuplicates(["node"]).join(several, "node"), "sets")
 
 
-def _blocks(members: DataFrame, classes: DataFrame, comps: DataFrame, block_rows: int) -> DataFrame:
-    """Rows of the blocks to compare: in each bucket the members outside its largest component, against all.
+def decided(signed: DataFrame, classes: DataFrame, comps: DataFrame) -> DataFrame:
+    """``place, tag, n, first, first_tag`` of every row of ``signed``, given the components ``node, comp`` of linked classes.
 
-    Each bucket's outsiders and members are dealt into chunks of about ``block_rows``; a block is one chunk of either.
+    Rows meet their class, and classes their component, in plain joins; a class or component with very many rows is split by the adaptive skew join.
     """
-    labelled = members.join(comps.select(F.col("node"), F.col("comp").alias("_c")), "node", "left").select("bucket", "node", F.coalesce("_c", "node").alias("comp"))
-    sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    buckets = sizes.groupBy("bucket").agg(F.sum("n").alias("n_all"), F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("n_comps")).filter("n_comps > 1")
-    buckets = buckets.select("bucket", F.col("m.comp").alias("main"), F.ceil(F.col("n_all") / block_rows).cast("int").alias("ca"), F.ceil((F.col("n_all") - F.col("m.n")) / block_rows).cast("int").alias("co"), "n_all")
-    rows = join_counted(labelled, buckets, ["bucket"], "n_all")
-    chunk = F.xxhash64("node")
-    here = F.pmod(chunk, F.col("ca")).cast("int")
-    out = F.when(F.col("comp") != F.col("main"), F.pmod(chunk, F.col("co")).cast("int"))
-    # a member stands in the blocks of its own chunk with every chunk of outsiders; an outsider also in those of its chunk of outsiders with every chunk
-    every = F.transform(F.sequence(F.lit(0), F.col("co") - 1), lambda i: F.struct(here.alias("i"), i.cast("int").alias("o")))
-    asked = F.when(out.isNotNull(), F.transform(F.sequence(F.lit(0), F.col("ca") - 1), lambda i: F.struct(i.cast("int").alias("i"), out.alias("o"))))
-    spots = F.explode(F.array_union(every, F.coalesce(asked, F.array().cast("array<struct<i:int,o:int>>"))))
-    placed = rows.select("bucket", "node", "comp", here.alias("_i"), out.alias("_o"), spots.alias("s"))
-    placed = placed.select(F.xxhash64("bucket", "s.i", "s.o").alias("block"), "node", "comp", (F.col("_i") == F.col("s.i")).alias("inside"), F.coalesce(F.col("_o") == F.col("s.o"), F.lit(False)).alias("outside"))
-    return placed.join(classes.select("node", "n", "samples", "sketch"), "node")
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, salts: int = 16) -> DataFrame:
-    """``pairs`` with ``linked``: exact intersections of the full sets. A node in many pairs is spread over salts."""
-    left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
-    right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x")).join(pairs.select("a").distinct(), "a").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = pairs.join(left, "b").withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")).join(right, ["a", "_salt"])
-    common = F.size(F.array_intersect("_x", "_y"))
-    return both.select("a", "b", common.alias("_i"), (F.size("_x") + F.size("_y")).alias("_n")).select("a", "b", (F.col("_i") * 100 >= (F.col("_n") - F.col("_i")) * percent).alias("linked"))
-
-
-def _place(id_col: str, text_col: str) -> Column:
-    """Where a row is found again: its id, or else a number from its text."""
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61)))
-
-
-def _tag(text_col: str) -> Column:
-    """Tells the texts of one place apart."""
-    return F.xxhash64(F.lit(31), F.col(text_col))
+    linked = comps.join(classes.select("node", "place", "tag"), "node")
+    named = linked.groupBy("comp").agg(F.min("place").alias("first"), F.min_by("tag", F.struct("place", "tag")).alias("first_tag"))
+    linked = linked.select("node", "comp").join(named, "comp").select("node", "first", "first_tag")
+    firsts = classes.select("node", "place", "tag").join(linked, "node", "left").select("node", F.coalesce("first", "place").alias("first"), F.coalesce("first_tag", "tag").alias("first_tag"))
+    rows = signed.filter("n > 0").select("place", "tag", "n", "node").join(firsts, "node").select("place", "tag", "n", "first", "first_tag")
+    return rows.unionByName(signed.filter("n = 0").select("place", "tag", "n", F.col("place").alias("first"), F.col("tag").alias("first_tag")))
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, block_rows: int = 1024) -> DataFrame:
     """``place, tag, n, first, first_tag`` for every row: its own place and tag, the size of its set, and the smallest place of its component with the smallest tag there."""
-    similarity = percent / 100
-    place = _place(id_col, text_col)
-    texts = docs.select(place.alias("place"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
+    texts = placed_texts(docs, id_col, text_col)
     signed = stored(texts.mapInPandas(_signatures, "place long, tag long, n int, node long, bands array<long>, sketch binary, samples int"), "signatures")
-    groups = signed.filter("n > 0").groupBy("node").agg(
-        F.min("place").alias("place"), F.min_by("tag", F.struct("place", "tag")).alias("tag"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
-    )
-    classes = stored(groups, "classes")
-    entries = classes.select("node", F.explode("bands").alias("bucket"))
-    buckets = stored(entries.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
-    members = stored(join_counted(entries, buckets, ["bucket"], "size").select("bucket", "node", "lead"), "members")
-    several = members.select("node").distinct()
-    places = classes.join(several, "node").select("place", "tag").distinct()
-    sets = texts.join(places, ["place", "tag"]).select("place", "text").mapInPandas(_sets, "node long, shingles array<long>")
-    sets = stored(sets.dropDuplicates(["node"]).join(several, "node"), "sets")
-
-    @F.pandas_udf("boolean")
-    def likely(a: pd.Series, b: pd.Series, n1: pd.Series, n2: pd.Series, c1: pd.Series, c2: pd.Series) -> pd.Series:
-        odd = np.bitwise_count(_sketches(a) ^ _sketches(b)).sum(axis=1)
-        n1, n2 = n1.to_numpy(), n2.to_numpy()
-        fits = np.minimum(n1, n2) >= similarity * np.maximum(n1, n2)
-        return pd.Series(fits & (odd <= most_odd_bits(n1, n2, c1.to_numpy(), c2.to_numpy(), similarity)))
-
-    def half(name: str) -> DataFrame:
-        return classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "samples", "sketch")])
-
-    stars = members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    leads = half("a").join(stars.select("a").distinct(), "a").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    stars = stars.join(half("b"), "b").withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int")).join(leads, ["a", "_salt"])
-    stars = stars.filter(likely("sketch_a", "sketch_b", "n_a", "n_b", "samples_a", "samples_b")).select("a", "b")
-    checked = stored(_confirmed(stored(stars, "stars"), sets, percent), "checked")
-    comps = components(checked.filter("linked"))
-    blocks = _blocks(members, classes, comps, block_rows).repartition("block").sortWithinPartitions("block")
-    likely_rows = blocks.select("block", "node", "comp", "inside", "outside", "n", "samples", "sketch").mapInPandas(_participants(similarity), _BLOCK_ROW)
-    whole = likely_rows.join(sets, "node").repartition("block").sortWithinPartitions("block")
-    more = whole.mapInPandas(_links(percent), "a long, b long").distinct()
-    comps = components(stored(checked.filter("linked").select("a", "b").unionByName(more), "edges"))
-    linked = comps.join(classes.select("node", "place", "tag"), "node")
-    named = linked.groupBy("comp").agg(F.min("place").alias("first"), F.min_by("tag", F.struct("place", "tag")).alias("first_tag"), F.count(F.lit(1)).alias("size"))
-    linked = join_counted(linked.select("node", "comp"), named, ["comp"], "size").select("node", "first", "first_tag")
-    firsts = classes.select("node", "copies", "place", "tag").join(linked, "node", "left").select("node", "copies", F.coalesce("first", "place").alias("first"), F.coalesce("first_tag", "tag").alias("first_tag"))
-    rows = join_counted(signed.filter("n > 0").select("place", "tag", "n", "node"), firsts, ["node"], "copies").select("place", "tag", "n", "first", "first_tag")
-    rows = rows.unionByName(signed.filter("n = 0").select("place", "tag", "n", F.col("place").alias("first"), F.col("tag").alias("first_tag")))
-
-    return rows
+    classes = stored(classes_of(signed, ["n", "samples", "bands", "sketch"]), "classes")
+    members = stored(shared_buckets(classes.select("node", F.explode("bands").alias("bucket"))), "members")
+    sets = full_sets(texts, classes, members, WORDS)
+    comps = linked_classes(classes, members, sets, percent, partial(odd_sketch_slack, percent / 100), block_rows)
+    return decided(signed, classes, comps)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024) -> DataFrame:
@@ -299,16 +185,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two documents are linked when their sets of five-word shingles (A-Z lower-cased) have a Jaccard similarity of ``percent`` hundredths.
 
     1. Equal sets are one class from here on, so copies cost one comparison in all.
-    2. Classes that share a MinHash band share a bucket. Each bucket first
-       proposes its members to its smallest member.
-    3. Proposals pass the odd sketches: the population count of the XOR of two
+    2. Classes that share a MinHash band share a bucket.
+    3. Proposals within buckets pass the odd sketches: the population count of the XOR of two
        parity bitmaps tells how many samples differ. What passes is confirmed
-       by exact intersection, and confirmed links are joined to components.
-    4. Buckets that still hold several components compare the sketches of all
-       members outside the largest with everybody, in blocks of ``block_rows``
-       squared. The members of likely pairs bring their full sets to the block,
-       where pairs are confirmed until two components are joined or all their likely
-       pairs are refuted. Only links between components leave a block.
+       by exact intersection (``linking.linked_classes``).
 
     So a group of m near copies takes about m confirmed links, not m squared, and
     no pair that shares a bucket is given up. Full sets exist only for classes that share a bucket.
