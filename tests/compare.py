@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -78,6 +79,7 @@ def session(cores: int = 8):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewire-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -85,10 +87,10 @@ def session(cores: int = 8):
 
 
 def main() -> None:
-    from tidewire import catalog
+    import __spark_entry__ as contract
 
     folder, names = sys.argv[1], sys.argv[2:]
-    runnable, oracle = catalog.runnable(), catalog.oracle()
+    runnable, oracle = contract.queries(), contract.oracle_sql()
     chosen = [n for n in runnable if not names or any(n == w or (w.endswith("*") and n.startswith(w[:-1])) for w in names)]
     spark, connection, bad = session(), duck(folder), 0
     for name in chosen:
