@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontamination, lines, mixing, near_duplicates, neighbours, pages, parity_join, quality, sharding, tokens, toxicity
+from tidewire.llm import conversations, decontamination, lines, mixing, near_duplicates, neighbours, pages, parity_join, quality, sharding, tokens, toxicity
 from tidewire.llm.keys import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,20 @@ def op10_fourier_ridge_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op12_lightest_repair(spark: SparkSession, folder: str) -> DataFrame:
+    raw = _table(spark, folder, "conversations")
+    return _repair_digest(raw, conversations.repair(conversations.damaged(raw)))
+
+
+def _repair_digest(raw: DataFrame, repaired: conversations.Repair) -> DataFrame:
+    """Every original conversation with its report and hash; where no message is left, as an empty one."""
+    report, hashes = repaired.report.withColumnRenamed("conv_id", "_a"), conversations.digests(repaired).withColumnRenamed("conv_id", "_b")
+    ids = raw.select("conv_id").distinct()
+    rows = ids.join(report, F.col("conv_id").eqNullSafe(F.col("_a")), "left").join(hashes, F.col("conv_id").eqNullSafe(F.col("_b")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.jaccard_components(_table(spark, folder, "documents"))
 
@@ -140,7 +154,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards,
     op5_crf_main_text, op6_adaptive_dimension_search, op7_odd_sketch_near_duplicates,
     op8_two_tier_token_counts, op9_systematic_mixing, op10_fourier_ridge_quality,
-    op13_parity_sketch_join,
+    op12_lightest_repair, op13_parity_sketch_join,
 )}
 
 ORACLE: dict[str, str] = {
