@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import conversations, decontamination, lines, mixing, near_duplicates, neighbours, pages, parity_join, quality, sharding, tokens, toxicity
+from tidewire.llm import conversations, decontamination, lines, mixing, near_duplicates, neighbours, pages, parity_join, phrases, quality, sharding, tokens, toxicity
 from tidewire.llm.keys import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,30 @@ def op10_fourier_ridge_quality(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_trie_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS t(k))),
+c AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE k = 1 GROUP BY lang),
+x AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM c WHERE k > 1 AND f >= 30),
+u AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS j FROM x)),
+s AS (SELECT u.*, h.f AS l, t.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (h.f + t.f) AS BIGINT) AS score FROM u JOIN c AS h ON h.lang = u.lang AND h.phrase = head JOIN c AS t ON t.lang = u.lang AND t.phrase = tail),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM x)) GROUP BY ALL),
+e AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT e.lang, rank, phrase, a, l, r, n, score FROM e JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def op12_lightest_repair(spark: SparkSession, folder: str) -> DataFrame:
     raw = _table(spark, folder, "conversations")
     return _repair_digest(raw, conversations.repair(conversations.damaged(raw)))
@@ -154,12 +178,13 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards,
     op5_crf_main_text, op6_adaptive_dimension_search, op7_odd_sketch_near_duplicates,
     op8_two_tier_token_counts, op9_systematic_mixing, op10_fourier_ridge_quality,
-    op12_lightest_repair, op13_parity_sketch_join,
+    op11_trie_collocations, op12_lightest_repair, op13_parity_sketch_join,
 )}
 
 ORACLE: dict[str, str] = {
     "op2_spaced_seed_decontamination": OP2_SQL,
     "op3_line_hashing": OP3_SQL,
     "op9_systematic_mixing": OP9_SQL,
+    "op11_trie_collocations": OP11_SQL,
     "op13_parity_sketch_join": OP13_SQL,
 }
