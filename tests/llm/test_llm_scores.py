@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidewire.llm import pages, quality, tokens, toxicity
+from tidewire.llm import pages, quality, queries, tokens, toxicity
 
 TAME = ["river", "stone", "walk", "green", "table", "music", "garden", "window", "paper", "bridge"]
 RUDE = ["vilego", "vilemar", "vilesun", "gromp", "gromped"]
@@ -45,6 +45,56 @@ def test_toxicity_of_held_out_documents(tables):
     assert len(checked) > 30 and sum(a == b for a, b in checked) / len(checked) > 0.95
 
 
+@pytest.mark.parametrize("times", [0.5, 1, 2, 3])
+def test_toxicity_whatever_the_share_of_toxic_labels(times):
+    rows, labels = documents(5, 3000)
+    rng = random.Random(1)
+    texts, truth = {r[0]: r[1] for r in rows if r[0] is not None}, {i: 0 for i in range(3000)} | {i: t for i, _, t in labels if i is not None and t is not None}
+    share = sum(truth.values()) / len(truth) * times
+    toxic = [i for i in truth if truth[i] and not held(i)][:200]
+    clean = rng.sample([i for i in truth if not truth[i] and not held(i)], round(len(toxic) * (1 - share) / share))
+    unlabelled = [toxicity.text_features(t) for i, t in texts.items() if not held(i)]
+    positive = [toxicity.text_features(texts[i]) for i in toxic]
+    prior = toxicity.class_prior(positive, unlabelled, len(toxic) / (len(toxic) + len(clean)), epochs=120)
+    model = toxicity.fit_nnpu(positive, unlabelled, prior)
+    checked = [(model.score(toxicity.text_features(texts[i])) >= 0.5, truth[i] == 1) for i in truth if held(i)]
+    assert len(checked) > 300 and sum(a == b for a, b in checked) / len(checked) > 0.95
+
+
+def test_risk_and_first_step_equal_plain_computation():
+    rng = np.random.default_rng(3)
+    positive = [np.array([1, 5], dtype=np.int32)] * 30
+    unlabelled = [np.array([1, 5] if rng.random() < 0.3 else [7, 5], dtype=np.int32) for _ in range(90)]
+    prior, bias = 0.3, float(np.log(0.3 / 0.7))
+    model = toxicity.fit_nnpu(positive, unlabelled, prior, bits=4, epochs=1, rate=0.1)
+    # the only feature held more often by confirmed texts is 1; one Adam step moves by the rate against the sign of the gradient
+    def risk(w, b):
+        def loss(z):
+            return np.log1p(np.exp(-z))
+
+        zp = np.array([b + w * (1 in f) / np.sqrt((1 in f) + 1) for f in positive])
+        zu = np.array([b + w * (1 in f) / np.sqrt((1 in f) + 1) for f in unlabelled])
+        return prior * loss(zp).mean() + max(0.0, loss(-zu).mean() - prior * loss(-zp).mean())
+
+    slopes = [(risk(1e-5, bias) - risk(-1e-5, bias)) / 2e-5, (risk(0, bias + 1e-5) - risk(0, bias - 1e-5)) / 2e-5]
+    assert abs(model.weights[1] + 0.1 * np.sign(slopes[0])) < 1e-6
+    # the bias begins where its gradient is 0
+    assert abs(slopes[1]) < 1e-9 and abs(model.bias - bias) < 1e-6
+    assert np.count_nonzero(model.weights) == 1
+
+
+def test_registered_scores(spark, tables, tmp_path):
+    docs, labels, truth = tables
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for name, limit in (("op1_nnpu_toxicity", 0.5), ("op10_fourier_ridge_quality", 0.3)):
+        df = queries.QUERIES[name](spark, str(tmp_path))
+        assert df.columns == ["doc_id", "held_out", "score", "predicted"]
+        rows = df.collect()
+        assert len(rows) == docs.count()
+        assert all(r["held_out"] == held(r["doc_id"]) and r["predicted"] == int(r["score"] >= limit) for r in rows)
+
+
 def test_toxicity_without_positive_labels_is_the_prior(tables):
     docs, labels, _ = tables
     rows = toxicity.toxicity(docs, labels.filter("toxic = 0")).collect()

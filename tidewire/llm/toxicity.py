@@ -126,30 +126,71 @@ def fit_nnpu(
     return PuModel(weights, bias, bits)
 
 
-def _sampled_features(docs: DataFrame, ids: DataFrame, limit: int, id_col: str, text_col: str) -> list[np.ndarray]:
+def most_positives(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, folds: int = 3, errors: float = 1.5, **options) -> float:
+    """An upper bound of the share of positives among the unlabelled texts, from the scores of held-back ones.
+
+    Each fold is scored by a model of the others. Above any score, unlabelled
+    texts are at least as frequent as the class prior times the share of
+    confirmed ones there, so the smallest ratio of the two shares bounds the
+    prior. ``errors`` standard errors on either side keep rare scores from deciding.
+    """
+    scores: list[list[float]] = [[], []]
+    for k in range(folds):
+        model = fit_nnpu([f for i, f in enumerate(positive) if i % folds != k], [f for i, f in enumerate(unlabelled) if i % folds != k], prior, **options)
+        for which, sample in enumerate((positive, unlabelled)):
+            scores[which] += [model.score(f) for f in sample[k::folds]]
+    confirmed, others = (np.sort(np.array(x))[::-1] for x in scores)
+    levels = np.unique(confirmed)
+    p = np.searchsorted(-confirmed, -levels, side="right") / len(confirmed)
+    u = np.searchsorted(-others, -levels, side="right") / len(others)
+    above = u + errors * np.sqrt(u * (1 - u) / len(others))
+    below = p - errors * np.sqrt(p * (1 - p) / len(confirmed))
+    ratios = above[below > 0] / below[below > 0]
+    return float(min(ratios.min(), 1.0)) if len(ratios) else prior
+
+
+def class_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray], share: float, least: int = 30, **options) -> float:
+    """The share of toxic labels where the texts bear it out, else what they say.
+
+    Labels are often gathered where toxic text is frequent, or rare. The bound is
+    taken twice, the second time from models with the first bound as prior; it
+    exceeds the truth by its error margin, so shares from 0.8 times the bound on
+    are believed and others moved there. With fewer than ``least`` texts of either kind the share is all there is.
+    """
+    if min(len(positive), len(unlabelled)) < least:
+        return share
+    bound = most_positives(positive, unlabelled, most_positives(positive, unlabelled, share, **options), **options)
+    return min(max(share, 0.8 * bound), bound)
+
+
+def _sampled_features(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> list[np.ndarray]:
+    """Feature numbers of one text per id, in the order of the ids; of several texts the one of smallest hash."""
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([text_features(t).tobytes() for t in texts], dtype=object)
 
-    rows = docs.join(F.broadcast(ids), id_col, "left_semi").limit(limit).select(features(F.col(text_col)).alias("f"))
-    return [np.frombuffer(r["f"], dtype=np.int32) for r in rows.collect()]
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(ids.select(F.col(id_col).alias("_id"))), "_id", "left_semi")
+    one = texts.groupBy("_id").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), F.length("_text"))).alias("_text"))
+    rows = one.select("_id", features("_text").alias("f")).collect()
+    return [np.frombuffer(r["f"], dtype=np.int32) for r in sorted(rows, key=lambda r: str(r["_id"]))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", n_positive: int = 2000, n_unlabelled: int = 8000, prior: float | None = None) -> PuModel:
     """Learn from confirmed toxic rows and unlabelled text, never from a row that is held out.
 
     The fit uses a bounded sample, the first ``n_positive`` and ``n_unlabelled``
-    rows by a hash of the id; only their feature numbers reach the driver. The
-    class prior is the share of toxic rows among all labels that may be learnt,
-    unless given. Negative labels serve for nothing else.
+    ids by a hash of the id, one text each; only their feature numbers reach the driver. The
+    class prior, unless given, is the share of toxic labels as far as the sample
+    bears it out (``class_prior``). Negative labels serve for nothing else. Repeated labels of an id count once, as toxic if any is.
     """
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("_label"))
-    if prior is None:
-        prior = known.agg(F.avg((F.col("_label") > 0).cast("double"))).first()[0] or 0.0
     order = F.xxhash64(F.lit(5), F.col(id_col))
     toxic = known.filter("_label > 0").select(id_col).orderBy(order, id_col).limit(n_positive)
-    some = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(id_col).orderBy(order, id_col).limit(n_unlabelled)
-    return fit_nnpu(_sampled_features(docs, toxic, n_positive, id_col, text_col), _sampled_features(docs, some, n_unlabelled, id_col, text_col), prior)
+    some = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(id_col).distinct().orderBy(order, id_col).limit(n_unlabelled)
+    positive, unlabelled = _sampled_features(docs, toxic, id_col, text_col), _sampled_features(docs, some, id_col, text_col)
+    if prior is None:
+        prior = class_prior(positive, unlabelled, known.agg(F.avg((F.col("_label") > 0).cast("double"))).first()[0] or 0.0, epochs=120)
+    return fit_nnpu(positive, unlabelled, prior)
 
 
 def scored(docs: DataFrame, model: PuModel, text_col: str = "text", name: str = "score") -> DataFrame:
