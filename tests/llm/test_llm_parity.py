@@ -85,8 +85,10 @@ def test_any_linked_pair_shares_a_bucket_and_passes_the_sketch():
                 both = len(np.intersect1d(a, b))
                 if 100 * both < percent * (len(a) + len(b) - both) or len(a) == len(b) == both:
                     continue
-                assert len(np.intersect1d(pj.buckets_of(a, percent), pj.buckets_of(b, percent)))
-                x, y = (np.frombuffer(pj.parity_sketch(s), np.uint64)[None] for s in (a, b))
+                (x, *least), (y, *most) = pj.buckets_of(a, percent), pj.buckets_of(b, percent)
+                shared = np.intersect1d(x, y) & 1
+                assert any(np.count_nonzero(shared == side) >= max(1, least[side], most[side]) for side in (0, 1))
+                x, y = (np.frombuffer(pj.parity_sketch(s)[1], np.uint64)[None] for s in (a, b))
                 sizes = np.array([len(a)]), np.array([len(b)])
                 assert pj.hamming_slack(percent, x, y, *sizes, *sizes)[0] >= 0
                 assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * both

@@ -83,3 +83,96 @@ def test_lines_equal_brute_force(spark, unit):
         assert row["kept_text"] == joint.join(kept)
         assert [text[s["start"] : s["end"]].strip() for s in row["removed"]] == [g.strip() for g in gone]
     assert lines.without_repeats(df.limit(0), unit=unit).count() == 0
+
+
+def brute_passages(docs, min_words, within):
+    """Expected (kept text, spans) by id, over plain tuples of words."""
+    import hashlib
+    import re
+
+    units, first = {}, {}
+    order = sorted((d for d in docs if d[1] is not None), key=lambda d: (d[0] is None, d[0]))
+    for doc_id, text, *_ in order:
+        cells, words = [], 0
+        parts = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+|\n", text)]
+        new = True
+        for token, start, _ in parts:
+            if token == "\n":
+                new = True
+                continue
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in token)
+            if new:
+                cells.append([])
+            cells[-1].append((low, start, words))
+            words += 1
+            new = hashlib.md5(low.encode()).hexdigest()[0] in "0123"
+        units[doc_id] = cells
+        for j in range(len(cells) - 1):
+            key = tuple(tuple(w for w, *_ in c) for c in cells[j : j + 2])
+            first.setdefault(key, (doc_id, j))
+    out = {}
+    for doc_id, text, *_ in docs:
+        if text is None:
+            out[doc_id] = (None, [])
+            continue
+        cells, spans, j = units[doc_id], [], 0
+        def again(j):
+            seen = first[tuple(tuple(w for w, *_ in c) for c in cells[j : j + 2])]
+            return seen != (doc_id, j) if within else seen[0] != doc_id
+
+        while j < len(cells) - 1:
+            if not again(j):
+                j += 1
+                continue
+            e = j
+            while e < len(cells) - 1 and again(e):
+                e += 1
+            if sum(len(c) for c in cells[j : e + 1]) >= min_words:
+                spans.append((cells[j][0][1], cells[e + 1][0][1] if e + 1 < len(cells) else len(text)))
+            j = e
+        kept, at = "", 0
+        for a, b in spans:
+            kept, at = kept + text[at:a], b
+        out[doc_id] = (kept + text[at:], spans)
+    return out
+
+
+@pytest.mark.parametrize("within", [True, False])
+def test_passages_equal_brute_force(spark, within):
+    rng = random.Random(12)
+    passage = words(rng, 70)
+    docs = []
+    for i in range(160):
+        text = words(rng, rng.randint(0, 50))
+        if i % 3 == 0:
+            start = rng.randint(0, 20)
+            text += passage[start : start + rng.choice([15, 30, 50])]
+        if i % 5 == 0:
+            text += words(rng, 3) + text[:40]
+        text += words(rng, rng.randint(0, 9))
+        docs.append((i, "".join(w + rng.choice([" "] * 40 + ["\n", "\t ", "  "]) for w in text), 1, "x"))
+    docs += [(None, " ".join(passage), 1, "x"), (200, None, 1, "x"), (201, "", 1, "x"), (202, " \n", 1, "x"), (203, " ".join(passage).upper(), 1, "x"), (204, "walk " * 20000, 1, "x"), docs[3], docs[3]]
+    df = spark.createDataFrame(docs, "doc_id long, text string, removed int, _key string")
+    want = brute_passages(docs, 25, within)
+    rows = lines.without_passages(df, min_words=25, within=within).collect()
+    assert len(rows) == len(docs)
+    assert all((r["kept_text"], [tuple(s) for s in r["removed"]]) == want[r["doc_id"]] for r in rows)
+    assert sum(bool(spans) for _, spans in want.values()) > 15
+    assert lines.without_passages(df.limit(0)).count() == 0
+
+
+def test_planted_passages_go_and_clean_texts_stay(spark):
+    rng = random.Random(9)
+    vocabulary = words(rng, 400)
+    passages = [[rng.choice(vocabulary) for _ in range(60)] for _ in range(5)]
+    docs, dirty = [], set()
+    for i in range(300):
+        text = [rng.choice(vocabulary) for _ in range(rng.randint(30, 120))]
+        if i % 4 == 0:
+            at = rng.randint(0, len(text))
+            text[at:at] = passages[i % 5]
+            dirty |= {i} if i >= 20 else set()
+        docs.append((i, " ".join(text)))
+    got = {r["doc_id"]: r for r in lines.without_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    gone = {i: sum(len(docs[i][1][a:b].split()) for a, b in r["removed"]) for i, r in got.items()}
+    assert all(50 <= gone[i] <= 62 for i in dirty) and not any(n for i, n in gone.items() if i not in dirty)

@@ -113,14 +113,16 @@ def _links(percent: int, slack: Slack):
     return _by_block(answer)
 
 
-def _blocks(members: DataFrame, classes: DataFrame, comps: DataFrame, block_rows: int) -> DataFrame:
+def _blocks(members: DataFrame, sets: DataFrame, comps: DataFrame, block_rows: int) -> DataFrame:
     """Rows of the blocks to compare: in each bucket the members outside its largest component, against all.
 
     Each bucket's outsiders and members are dealt into chunks of about ``block_rows``; a block is one chunk of either.
     """
     labelled = members.join(comps.select(F.col("node"), F.col("comp").alias("_c")), "node", "left").select("bucket", "node", F.coalesce("_c", "node").alias("comp"))
-    sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    buckets = sizes.groupBy("bucket").agg(F.sum("n").alias("n_all"), F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("n_comps")).filter("n_comps > 1")
+    sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node").bitwiseAND((1 << 40) - 1)).alias("s"))
+    buckets = sizes.groupBy("bucket").agg(F.sum("n").alias("n_all"), F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("n_comps"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"))
+    # the one pair of a bucket of two was proposed before; buckets with the same members are compared once
+    buckets = buckets.filter("n_comps > 1 and n_all > 2").groupBy("n_all", "x", "s").agg(F.min("bucket").alias("bucket"), F.first("m").alias("m"))
     buckets = buckets.select("bucket", F.col("m.comp").alias("main"), F.ceil(F.col("n_all") / block_rows).cast("int").alias("ca"), F.ceil((F.col("n_all") - F.col("m.n")) / block_rows).cast("int").alias("co"))
     rows = labelled.join(buckets, "bucket")
     chunk = F.xxhash64("node")
@@ -132,27 +134,26 @@ def _blocks(members: DataFrame, classes: DataFrame, comps: DataFrame, block_rows
     spots = F.explode(F.array_union(every, F.coalesce(asked, F.array().cast("array<struct<i:int,o:int>>"))))
     placed = rows.select("bucket", "node", "comp", here.alias("_i"), out.alias("_o"), spots.alias("s"))
     placed = placed.select(F.xxhash64("bucket", "s.i", "s.o").alias("block"), "node", "comp", (F.col("_i") == F.col("s.i")).alias("inside"), F.coalesce(F.col("_o") == F.col("s.o"), F.lit(False)).alias("outside"))
-    return placed.join(classes.select("node", "n", "samples", "sketch"), "node")
+    return placed.join(sets.select("node", "n", "samples", "sketch"), "node")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, salts: int = 16) -> DataFrame:
-    """The linked ones of ``pairs``: exact intersections of the full sets. A node in many pairs is spread over salts."""
-    left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
-    right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x")).join(pairs.select("a").distinct(), "a").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = pairs.join(left, "b").withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")).join(right, ["a", "_salt"])
-    common = F.size(F.array_intersect("_x", "_y"))
-    return both.select("a", "b", common.alias("_i"), (F.size("_x") + F.size("_y")).alias("_n")).filter(F.col("_i") * 100 >= (F.col("_n") - F.col("_i")) * percent).select("a", "b")
+def _beside(pairs: DataFrame, sets: DataFrame, columns: list[str], salts: int = 64) -> DataFrame:
+    """``pairs`` (a, b) with the given columns of both nodes, suffixed. A node ``a`` of many pairs is repeated over the salts that its pairs have."""
+    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int"))
+    left = sets.select(F.col("node").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns]).join(salted.select("a", "_salt").distinct(), "a")
+    right = sets.select(F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return salted.join(right, "b").join(left, ["a", "_salt"]).drop("_salt")
 
 
-def linked_classes(classes: DataFrame, members: DataFrame, sets: DataFrame, percent: int, slack: Slack, block_rows: int) -> DataFrame:
+def linked_classes(members: DataFrame, sets: DataFrame, percent: int, slack: Slack, block_rows: int) -> DataFrame:
     """Rows ``node, comp`` of every class that is linked with another one: the smallest node of its component.
 
-    ``classes`` has ``node, n, samples, sketch``, ``members`` the rows of
-    ``shared_buckets``, ``sets`` the ``node, shingles`` of all members. Each
-    bucket proposes its members to its lead; proposals that pass the sketches are
-    confirmed on full sets. Buckets that still hold several components compare
-    the members outside the largest one with everybody, in blocks of ``block_rows``
-    squared. Only links between components leave a block, and no pair that shares a bucket is given up.
+    ``members`` has the rows of ``shared_buckets``, ``sets`` the ``node, n, samples,
+    sketch, shingles`` of all members. Each bucket proposes its members to its
+    lead; proposals that pass the sketches are confirmed on full sets. Buckets
+    that still hold several components compare the members outside the largest
+    one with everybody, in blocks of ``block_rows`` squared. Only links between
+    components leave a block, and no pair that shares a bucket is given up.
     """
     similarity = percent / 100
 
@@ -162,17 +163,13 @@ def linked_classes(classes: DataFrame, members: DataFrame, sets: DataFrame, perc
         fits = np.minimum(n1, n2) >= similarity * np.maximum(n1, n2)
         return pd.Series(fits & (slack(bit_rows(a), bit_rows(b), n1, n2, c1.to_numpy(), c2.to_numpy()) >= 0))
 
-    def half(name: str) -> DataFrame:
-        return classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "samples", "sketch")])
-
     stars = members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    leads = half("a").join(stars.select("a").distinct(), "a").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    stars = stars.join(half("b"), "b").withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int")).join(leads, ["a", "_salt"])
-    stars = stars.filter(likely("sketch_a", "sketch_b", "n_a", "n_b", "samples_a", "samples_b")).select("a", "b")
-    checked = stored(_confirmed(stored(stars, "stars"), sets, percent), "checked")
-    comps = components(checked)
-    blocks = _blocks(members, classes, comps, block_rows).repartition("block").sortWithinPartitions("block")
+    stars = _beside(stars, sets, ["n", "samples", "sketch"]).filter(likely("sketch_a", "sketch_b", "n_a", "n_b", "samples_a", "samples_b"))
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    checked = _beside(stored(stars.select("a", "b"), "stars"), sets, ["n", "shingles"]).select("a", "b", both.alias("_i"), (F.col("n_a") + F.col("n_b")).alias("_n"))
+    comps = components(checked.filter(F.col("_i") * 100 >= (F.col("_n") - F.col("_i")) * percent))
+    blocks = _blocks(members, sets, comps, block_rows).repartition("block").sortWithinPartitions("block")
     likely_rows = blocks.select("block", "node", "comp", "inside", "outside", "n", "samples", "sketch").mapInPandas(_participants(similarity, slack), _BLOCK_ROW)
-    whole = likely_rows.join(sets, "node").repartition("block").sortWithinPartitions("block")
+    whole = likely_rows.join(sets.select("node", "shingles"), "node").repartition("block").sortWithinPartitions("block")
     more = whole.mapInPandas(_links(percent, slack), "a long, b long").distinct()
-    return components(stored(comps.filter("node != comp").select(F.col("comp").alias("a"), F.col("node").alias("b")).unionByName(more), "edges"))
+    return components(comps.filter("node != comp").select(F.col("comp").alias("a"), F.col("node").alias("b")).unionByName(more))

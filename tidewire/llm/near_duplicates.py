@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.bits import bits_set, shared_bits
 from tidewire.llm.keys import boxed, row_keys, stored, unboxed
 from tidewire.llm.linking import linked_classes, shared_buckets
 
@@ -71,16 +72,26 @@ def digest(s: np.ndarray) -> int:
     return int(mix(s ^ _U(0x5DEECE66D)).sum(dtype=_U).view(np.int64))
 
 
-def signature(s: np.ndarray) -> tuple[np.ndarray, bytes, int]:
-    """One value per band, the odd sketch and the number of its samples."""
+def min_bands(s: np.ndarray) -> np.ndarray:
+    """One value per band."""
     lowest = np.full(BANDS * ROWS, _U(0xFFFFFFFFFFFFFFFF))
     for part in np.array_split(s, max(1, -(-len(s) // 1024))):
         lowest = np.minimum(lowest, (part[:, None] * _FACTORS + _SHIFTS).min(axis=0))
-    bands = mix((lowest.reshape(BANDS, ROWS) * _FOLDS).sum(axis=1, dtype=_U) + np.arange(BANDS, dtype=_U))
+    return mix((lowest.reshape(BANDS, ROWS) * _FOLDS).sum(axis=1, dtype=_U) + np.arange(BANDS, dtype=_U)).view(np.int64)
+
+
+def odd_sketch(s: np.ndarray) -> tuple[int, bytes]:
+    """The number of MinHash samples and their parity bitmap."""
     # the set is sorted, so the first hash of each range is its minimum
     samples = s[np.unique(s >> _U(64 - BINS.bit_length() + 1), return_index=True)[1]]
     parity = np.bincount((mix(samples + _U(99)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
-    return bands.view(np.int64), np.packbits(parity.astype(np.uint8)).tobytes(), len(samples)
+    return len(samples), np.packbits(parity.astype(np.uint8)).tobytes()
+
+
+def signature(s: np.ndarray) -> tuple[np.ndarray, bytes, int]:
+    """Bands, odd sketch and number of its samples."""
+    samples, sketch = odd_sketch(s)
+    return min_bands(s), sketch, samples
 
 
 def most_odd_bits(n1: np.ndarray, n2: np.ndarray, c1: np.ndarray, c2: np.ndarray, similarity: float) -> np.ndarray:
@@ -109,22 +120,13 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for place, tag, text in batch.itertuples(index=False):
             s = shingle_set(text, hashes)
             if len(s):
-                out.append((place, tag, len(s), digest(s), *signature(s)))
+                out.append((place, tag, len(s), digest(s), min_bands(s)))
             else:
-                out.append((place, tag, 0, 0, np.zeros(0, np.int64), b"", 0))
-        yield pd.DataFrame(out, columns=["place", "tag", "n", "node", "bands", "sketch", "samples"])
-
-
-def sets_of(width: int = WORDS):
-    """Full sets, named by their digests."""
+                out.append((place, tag, 0, 0, np.zeros(0, np.int64)))
+        yield pd.DataFrame(out, columns=["place", "tag", "n", "node", "buckets"])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(t, hashes, width) for t in batch["text"]]
-            yield pd.DataFrame({"node": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
-    return read
+SIGNED = "place long, tag long, n int, node long, buckets array<long>"
 
 
 def _place(id_col: str, text_col: str) -> Column:
@@ -142,17 +144,46 @@ def placed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(_place(id_col, text_col).alias("place"), _tag(text_col).alias("tag"), F.col(text_col).alias("text"))
 
 
-def classes_of(signed: DataFrame, columns: list[str]) -> DataFrame:
+def classes_of(signed: DataFrame) -> DataFrame:
     """One row per distinct set (``node``) with its smallest place and the smallest tag there."""
-    return signed.filter("n > 0").groupBy("node").agg(F.min("place").alias("place"), F.min_by("tag", F.struct("place", "tag")).alias("tag"), *[F.first(c).alias(c) for c in columns])
+    return signed.filter("n > 0").groupBy("node").agg(F.min("place").alias("place"), F.min_by("tag", F.struct("place", "tag")).alias("tag"))
 
 
-def full_sets(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """``node, shingles`` of every class that shares a bucket, from the text of its first row."""
+def bucket_members(signed: DataFrame) -> DataFrame:
+    """The classes that share buckets, from the buckets of one row of each class."""
+    return shared_buckets(signed.filter("n > 0").select("node", "buckets").dropDuplicates(["node"]).select("node", F.explode("buckets").alias("bucket")))
+
+
+def full_sets(texts: DataFrame, classes: DataFrame, members: DataFrame, width: int, sketched: Callable[[np.ndarray], tuple[int, bytes]], bits: int = 26) -> DataFrame:
+    """``node, n, samples, sketch, shingles`` of every class that shares a bucket, from the text of its first row.
+
+    A bitmap of fixed size picks out the rows to read again; what it passes too much goes in the join with the members.
+    """
     several = members.select("node").distinct()
-    places = classes.join(several, "node").select("place", "tag").distinct()
-    sets = texts.join(places, ["place", "tag"]).select("place", "text").mapInPandas(sets_of(width), "node long, shingles array<long>")
-    return stored(sets.dropDuplicates(["node"]).join(several, "node"), "sets")
+    slot = F.pmod(F.xxhash64("place", "tag"), F.lit(1 << bits)).alias("slot")
+    shared = shared_bits(classes.join(several, "node").select(slot), "slot", bits)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, wanted = WordHashes(), np.frombuffer(shared.value, dtype=np.uint8)
+        for batch in batches:
+            out, kept = [], 0
+            for text in batch["text"][bits_set(wanted, batch["slot"].to_numpy())]:
+                s = shingle_set(text, hashes, width)
+                if len(s):
+                    out.append((digest(s), len(s), *sketched(s), s.view(np.int64)))
+                    kept += len(s)
+                if kept >= 2_000_000:
+                    yield pd.DataFrame(out, columns=_SET)
+                    out, kept = [], 0
+            yield pd.DataFrame(out, columns=_SET)
+
+    sets = texts.select(slot, "text").mapInPandas(read, "node long, n int, samples int, sketch binary, shingles array<long>")
+    sets = stored(sets.join(several, "node").dropDuplicates(["node"]), "sets")
+    shared.destroy()
+    return sets
+
+
+_SET = ["node", "n", "samples", "sketch", "shingles"]
 
 
 def decided(signed: DataFrame, classes: DataFrame, comps: DataFrame) -> DataFrame:
@@ -171,12 +202,11 @@ def decided(signed: DataFrame, classes: DataFrame, comps: DataFrame) -> DataFram
 def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int = 75, block_rows: int = 1024) -> DataFrame:
     """``place, tag, n, first, first_tag`` for every row: its own place and tag, the size of its set, and the smallest place of its component with the smallest tag there."""
     texts = placed_texts(docs, id_col, text_col)
-    signed = stored(texts.mapInPandas(_signatures, "place long, tag long, n int, node long, bands array<long>, sketch binary, samples int"), "signatures")
-    classes = stored(classes_of(signed, ["n", "samples", "bands", "sketch"]), "classes")
-    members = stored(shared_buckets(classes.select("node", F.explode("bands").alias("bucket"))), "members")
-    sets = full_sets(texts, classes, members, WORDS)
-    comps = linked_classes(classes, members, sets, percent, partial(odd_sketch_slack, percent / 100), block_rows)
-    return decided(signed, classes, comps)
+    signed = stored(texts.mapInPandas(_signatures, SIGNED), "signed")
+    classes = stored(classes_of(signed), "classes")
+    members = stored(bucket_members(signed), "members")
+    sets = full_sets(texts, classes, members, WORDS, odd_sketch)
+    return decided(signed, classes, linked_classes(members, sets, percent, partial(odd_sketch_slack, percent / 100), block_rows))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, block_rows: int = 1024) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.keys import stored
 from tidewire.llm.linking import linked_classes, shared_buckets
-from tidewire.llm.near_duplicates import NO_ID, WordHashes, classes_of, decided, digest, full_sets, mix, placed_texts, shingle_set
+from tidewire.llm.near_duplicates import NO_ID, SIGNED, WordHashes, bucket_members, classes_of, decided, digest, full_sets, mix, placed_texts, shingle_set
 
 WORDS = 4
 #: Bits of a block of the wide sketch, as a power of two, and bits of the narrow one that is compared as a whole.
@@ -23,13 +23,17 @@ _U = np.uint64
 
 @lru_cache(maxsize=None)
 def band_starts(percent: int, top: int = 1 << 40) -> tuple[int, ...]:
-    """Smallest set size of each band. The larger set of a linked pair is in the band of the smaller one or in the next."""
+    """Smallest set size of each band, half as large again as the last: a set may be linked with one of the next band only where ``reaches_next``."""
     starts = [1]
     while starts[-1] < top:
-        starts.append(max(starts[-1] + 1, (starts[-1] - 1) * 100 // percent + 1))
+        starts.append(max(starts[-1] + 1, starts[-1] * 3 // 2, (starts[-1] - 1) * 100 // percent + 1))
     return tuple(starts)
 
 
+def reaches_next(size: int, band: int, percent: int) -> bool:
+    return size * 100 // percent >= band_starts(percent)[band + 1]
+
+
 def most_differing(total: int | np.ndarray, percent: int) -> int | np.ndarray:
     """The largest symmetric difference of linked sets whose sizes add up to ``total``."""
     return total * (100 - percent) // (100 + percent)
@@ -37,27 +41,29 @@ def most_differing(total: int | np.ndarray, percent: int) -> int | np.ndarray:
 
 @lru_cache(maxsize=None)
 def band_blocks(band: int, percent: int) -> tuple[int, int]:
-    """Number of blocks for pairs whose larger set is in ``band``, and how many empty blocks a set may leave out.
+    """Number of blocks for pairs whose larger set is in ``band``, and how many of them are spare.
 
-    Of d + 1 + spare blocks at least spare + 1 are equal, because each element of
-    the symmetric difference flips one bit and so changes one block. A set
-    with at most ``spare`` empty blocks therefore has an equal block that is not empty. Sets of a band without difference are
+    Of d + 1 + spare blocks at least spare + 1 are equal in a linked pair, because each element of
+    the symmetric difference flips one bit and so changes one block. Sets of a band without difference are
     linked only when equal, and need no blocks.
     """
     d = most_differing(2 * (band_starts(percent)[band + 1] - 1), percent)
-    spare = 2 + d // 32
+    spare = 2 + d // 8
     return (d + 1 + spare, spare) if d else (0, 0)
 
 
-def block_keys(s: np.ndarray, band: int, percent: int) -> np.ndarray:
-    """One key per block of the set's parity sketch for ``band``: equal blocks have equal keys.
+def block_keys(s: np.ndarray, band: int, percent: int) -> tuple[np.ndarray, int]:
+    """One key per block of the set's parity sketch for ``band``, and how many of them a linked set shares at least.
 
-    The sketch has one run of 2**BLOCK_BITS bits per block. A key is the XOR of one number
-    per odd bit; elements on the same bit cancel out in the key as they do in the sketch.
+    Equal blocks have equal keys. The sketch has one run of 2**BLOCK_BITS bits per
+    block. A key is the XOR of one number per odd bit; elements on the same bit
+    cancel out in the key as they do in the sketch. Empty blocks, which many sets
+    share, are left out while they are no more than the spare ones: one of the shared blocks then is not
+    empty. No more blocks can be equal and empty than one of the two sets has empty ones. The last bit of a key is that of the band.
     """
     blocks, spare = band_blocks(band, percent)
     if not blocks:
-        return np.zeros(0, _U)
+        return np.zeros(0, _U), 1
     # the set is sorted, so the elements of a block are consecutive
     block = ((s >> _U(32)) * _U(blocks)) >> _U(32)
     bits = mix((block << _U(BLOCK_BITS)) | (s & _U((1 << BLOCK_BITS) - 1)))
@@ -65,22 +71,27 @@ def block_keys(s: np.ndarray, band: int, percent: int) -> np.ndarray:
     keys, owner = np.bitwise_xor.reduceat(bits, first), block[first]
     odd = keys != 0
     keys, owner = keys[odd], owner[odd]
-    if blocks - len(keys) > spare:
-        empty = np.setdiff1d(np.arange(blocks, dtype=_U), owner)
-        keys, owner = np.concatenate([keys, np.zeros(len(empty), _U)]), np.concatenate([owner, empty])
-    return mix(keys + mix(owner + _U(band << 40)))
+    empty = blocks - len(keys)
+    if empty > spare:
+        none = np.setdiff1d(np.arange(blocks, dtype=_U), owner)
+        keys, owner = np.concatenate([keys, np.zeros(len(none), _U)]), np.concatenate([owner, none])
+    keys = mix(keys + mix(owner + _U(band << 40)))
+    return (keys & ~_U(1)) | _U(band & 1), max(spare + 1 - empty, 1)
 
 
-def buckets_of(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the set's own band and, as a smaller set, of the next one."""
+def buckets_of(s: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
+    """Keys of the set's own band and, where a larger set of the next one may be linked with it, of that; the least shared keys of even and of odd bands."""
     own = int(np.searchsorted(band_starts(percent), len(s), side="right")) - 1
-    return np.concatenate([block_keys(s, own, percent), block_keys(s, own + 1, percent)]).view(np.int64)
+    bands = [own, own + 1] if reaches_next(len(s), own, percent) else [own]
+    keys, least = zip(*[block_keys(s, band, percent) for band in bands], strict=True)
+    even_odd = {band & 1: n for band, n in zip(bands, least, strict=True)}
+    return np.concatenate(keys).view(np.int64), even_odd.get(0, 1), even_odd.get(1, 1)
 
 
-def parity_sketch(s: np.ndarray) -> bytes:
-    """One bit per hash value, flipped by each element: two sketches differ in no more bits than the sets in elements."""
+def parity_sketch(s: np.ndarray) -> tuple[int, bytes]:
+    """The set's size, and one bit per hash value, flipped by each element: two sketches differ in no more bits than the sets in elements."""
     odd = np.bincount((mix(s + _U(3)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    return len(s), np.packbits(odd.astype(np.uint8)).tobytes()
 
 
 def hamming_slack(percent: int, a: np.ndarray, b: np.ndarray, n1: np.ndarray, n2: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
@@ -95,20 +106,26 @@ def _signed(percent: int):
             out, kept = [], 0
             for place, tag, text in batch.itertuples(index=False):
                 s = shingle_set(text, hashes, WORDS)
-                if len(s):
-                    out.append((place, tag, len(s), digest(s), buckets_of(s, percent), parity_sketch(s)))
-                else:
-                    out.append((place, tag, 0, 0, np.zeros(0, np.int64), b""))
+                out.append((place, tag, len(s), digest(s), *buckets_of(s, percent)) if len(s) else (place, tag, 0, 0, np.zeros(0, np.int64), 1, 1))
                 kept += len(s)
                 if kept >= 2_000_000:
-                    yield pd.DataFrame(out, columns=_COLUMNS)
+                    yield pd.DataFrame(out, columns=_SIGNED)
                     out, kept = [], 0
-            yield pd.DataFrame(out, columns=_COLUMNS)
+            yield pd.DataFrame(out, columns=_SIGNED)
 
     return read
 
 
-_COLUMNS = ["place", "tag", "n", "node", "buckets", "sketch"]
+_SIGNED = ["place", "tag", "n", "node", "buckets", "even", "odd"]
+
+
+def _with_enough(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """Members without the nodes that share too few buckets of a band for any link, and without the buckets that this leaves with one node."""
+    side = F.col("bucket").bitwiseAND(1)
+    shared = members.groupBy("node", side.alias("side")).agg(F.count(F.lit(1)).alias("_n"))
+    least = signed.filter("n > 0").groupBy("node").agg(F.first("even").alias("even"), F.first("odd").alias("odd"))
+    enough = shared.join(least, "node").filter(F.col("_n") >= F.when(F.col("side") == 0, F.col("even")).otherwise(F.col("odd"))).select("node", "side")
+    return shared_buckets(members.select("bucket", "node", side.alias("side")).join(enough, ["node", "side"]).select("bucket", "node"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, block_rows: int = 1024) -> DataFrame:
@@ -118,8 +135,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     1. Equal sets are one class.
     2. Sets of similar size share a band. Each set is folded into a parity sketch of
-       one block more than a linked pair may differ in elements (and a few
-       spare ones), so any linked pair has an equal block: the blocks are the join keys. No linked pair is missed.
+       more blocks than a linked pair may differ in elements, so any linked pair has
+       equal blocks: the blocks are the join keys, and a set that shares fewer of them than
+       any linked one must is out. No linked pair is missed.
     3. Sets that share a block compare narrow parity sketches, whose Hamming
        distance never exceeds the symmetric difference, so what it refutes is refuted for sure.
     4. What remains is confirmed on full sets, first with the smallest class of each bucket, then between the components left in a bucket.
@@ -130,16 +148,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``docs`` are ignored, whatever their names. No rows give no rows. Sets are told apart by 64-bit hashes of their shingles.
     """
     texts = placed_texts(docs, id_col, text_col)
-    signed = stored(texts.mapInPandas(_signed(percent), "place long, tag long, n int, node long, buckets array<long>, sketch binary"), "signed")
-    classes = stored(classes_of(signed, ["n", "buckets"]), "classes")
-    members = stored(shared_buckets(classes.select("node", F.explode("buckets").alias("bucket"))), "members")
-    sketched = signed.select("node", "sketch").join(members.select("node").distinct(), "node").dropDuplicates(["node"])
-    candidates = stored(classes.select("node", "n", F.col("n").alias("samples")).join(sketched, "node"), "candidates")
-    sets = full_sets(texts, classes, members, WORDS)
-    comps = linked_classes(candidates, members, sets, percent, partial(hamming_slack, percent), block_rows)
+    signed = stored(texts.mapInPandas(_signed(percent), SIGNED + ", even int, odd int"), "signed")
+    classes = stored(classes_of(signed), "classes")
+    members = stored(_with_enough(stored(bucket_members(signed), "buckets"), signed), "members")
+    sets = full_sets(texts, classes, members, WORDS, parity_sketch)
+    comps = linked_classes(members, sets, percent, partial(hamming_slack, percent), block_rows)
 
     def known(c: str) -> Column:
         return F.when(F.col(c) < NO_ID, F.col(c))
 
-    rows = decided(signed.select("place", "tag", "n", "node"), classes.select("node", "place", "tag"), comps)
+    rows = decided(signed, classes, comps)
     return rows.select(known("place").alias(id_col), F.col("n").cast("long").alias("n_shingles"), known("first").alias("component_id"))

@@ -43,16 +43,25 @@ SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_it
 
 
 def op3_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
-    kept = lines.without_repeats(_table(spark, folder, "documents"))
+    kept = lines.without_passages(_table(spark, folder, "documents"), within=False)
     return kept.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.length("kept_text").cast("long").alias("kept_chars"), F.md5(F.col("kept_text").cast("binary")).alias("kept_md5"))
 
 
 OP3_SQL = r"""
-WITH u AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
-n AS (SELECT *, list_filter(regexp_split_to_array(lower(line), '\s+'), lambda x: x <> '') AS words FROM u),
-k AS (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, pos) > 1 AND len(words) >= 5 AS gone FROM n),
-t AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM k GROUP BY doc_id)
-SELECT doc_id, n_removed, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM t
+WITH t AS (SELECT doc_id, text, regexp_extract(text, '^[\x20\x09-\x0D]*') AS lead, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS g FROM documents),
+g AS (SELECT doc_id, generate_subscripts(g, 1) AS i, unnest(g) AS g FROM t),
+w AS (SELECT *, translate(regexp_extract(g, '^[^\x20\x09-\x0D]+'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM g),
+e AS (SELECT *, CAST(md5(w) < '4' OR contains(g, chr(10)) AS INTEGER) AS last FROM w),
+n AS (SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS j FROM e),
+u AS (SELECT doc_id, j, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS u FROM n GROUP BY doc_id, j),
+p AS (SELECT *, lead(u) OVER o AS v, lead(n) OVER o AS n2 FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY j)),
+f AS (SELECT *, doc_id > min(doc_id) OVER (PARTITION BY n, u, v) AS again FROM p WHERE v IS NOT NULL),
+r AS (SELECT *, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS run FROM f WHERE again),
+s AS (SELECT doc_id, min(j) AS a, max(j) + 1 AS b FROM r GROUP BY doc_id, run HAVING sum(n) + max_by(n2, j) >= 40),
+c AS (SELECT doc_id, count(*) AS n_removed FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(g, '' ORDER BY i) AS kept FROM n WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.doc_id = n.doc_id AND j BETWEEN a AND b) GROUP BY doc_id),
+d AS (SELECT t.doc_id, coalesce(n_removed, 0) AS n_removed, CASE WHEN text IS NOT NULL THEN lead || coalesce(kept, '') END AS kept FROM t LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id))
+SELECT doc_id, n_removed, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM d
 """
 
 
