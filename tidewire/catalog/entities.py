@@ -9,8 +9,9 @@ from tidewire.catalog.messages import texts
 from tidewire.catalog.registry import query, view
 from tidewire.catalog.text_scores import sql_list
 from tidewire.functions import lexicons as lex
-from tidewire.operators import entities, models
-from tidewire.sources.dictionaries import alias_entries
+from tidewire.operators import entities, matching, models
+from tidewire.sources.dictionaries import alias_entries, read_aliases
+from tidewire.sources.tables import read_table, work_folder
 
 # A small dictionary of this library's own; two people share a last name.
 DICTIONARY = {
@@ -70,6 +71,59 @@ view(
 )
 
 
+def written_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """A dictionary file of every capitalised word of the documents, with its first six letters as alias, read back as any other."""
+    words = read_table(spark, folder, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,}"), F.lit(0))).alias("c")).distinct()
+    kinds = F.get(F.array(*[F.lit(k) for k in ("PERSON", "ORG", "LOC")]), F.length("c") % 3)
+    entry = F.struct(kinds.alias("type"), F.length("c").cast("long").alias("id"), F.array(F.left("c", F.lit(6))).alias("aliases"))
+    # the format is one JSON object in one file
+    document = words.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("c", entry))))).alias("value"))
+    path = work_folder(spark, "dictionary")
+    document.write.text(path)
+    return read_aliases(spark, f"{path}/*.txt")
+
+
+view(
+    "v_written",
+    """SELECT lower(surface) AS alias_key, arg_max(c, 2 * i + j) AS canonical, min(2 * i + j) AS first FROM (
+      SELECT c, i, 0 AS j, c AS surface FROM (SELECT c, row_number() OVER (ORDER BY c) AS i FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,}')) AS c FROM documents))
+      UNION ALL SELECT c, i, 1, c[1:6] FROM (SELECT c, row_number() OVER (ORDER BY c) AS i FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,}')) AS c FROM documents)))
+    GROUP BY 1""",
+)
+
+
+@query(
+    "E01 E02 S10",
+    """SELECT msg_id, alias_key, canonical, ['PERSON', 'ORG', 'LOC'][length(canonical) % 3 + 1] AS type, instr(lower(text), alias_key) - 1 AS start
+    FROM v_texts JOIN v_written ON contains(lower(text), alias_key)""",
+)
+def dictionary_file_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every key of a large dictionary file in every text; nothing of it is compiled into the plan."""
+    rows = texts(spark, folder)
+    keyed = rows.select("msg_id", *matching.text_keys("text"))
+    hits = matching.dictionary_hits(rows, written_dictionary(spark, folder))
+    return keyed.join(hits, ["_t1", "_t2"]).select("msg_id", "alias_key", "canonical", F.col("alias_type").alias("type"), F.col("start").cast("long").alias("start"))
+
+
+@query(
+    "E01 E03 E04 E05 S10",
+    """SELECT msg_id, rank, name AS text, type, confidence, CAST(CASE WHEN key IS NOT NULL THEN instr(lower(t), key) - 1
+      ELSE length(translate(marked[1:instr(marked, chr(3) || name || chr(4)) - 1], chr(3) || chr(4), '')) END AS INTEGER) AS start
+    FROM (SELECT c.*, m.text AS t, m.marked, row_number() OVER (PARTITION BY c.msg_id ORDER BY confidence DESC, grp, pos) AS rank
+      FROM (SELECT *, row_number() OVER (PARTITION BY msg_id, lower(name), type ORDER BY confidence DESC, grp, pos) AS first_of_key FROM (
+          SELECT msg_id, canonical AS name, ['PERSON', 'ORG', 'LOC'][length(canonical) % 3 + 1] AS type, 0.85::DOUBLE AS confidence, alias_key AS key, first AS pos, 1 AS grp
+          FROM v_texts JOIN v_written ON contains(lower(text), alias_key)
+          UNION ALL SELECT msg_id, canonical, alias_type, 0.8::DOUBLE, alias_key, ord, 2 FROM v_texts JOIN v_builtin ON contains(lower(text), alias_key)
+          UNION ALL SELECT msg_id, word, 'MISC', 0.5::DOUBLE, NULL, pos, 3 FROM v_runs)) c
+      JOIN v_marked m USING (msg_id) WHERE first_of_key = 1) WHERE rank <= 5""",
+)
+def dictionary_file_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranked entities of each text with a dictionary of any size."""
+    found = entities.rule_entities(texts(spark, folder), written_dictionary(spark, folder), max_entities=5)
+    rows = found.select("msg_id", F.posexplode_outer("entities").alias("rank", "e")).filter("e IS NOT NULL")
+    return rows.select("msg_id", (F.col("rank") + 1).cast("long").alias("rank"), *[F.col("e")[c].alias(c) for c in ("text", "type", "confidence", "start")])
+
+
 def with_entities(df: DataFrame) -> DataFrame:
     return entities.rule_entities(df, ALIASES, max_entities=5)
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewire.functions import lexicons as lex
 from tidewire.functions.text import NOT_BEFORE_WORD, WORD, bind, col, unnest
+from tidewire.operators.matching import with_dictionary_hits
 
 # (surface form, canonical name, type, order), surface forms lower-cased
 Alias = tuple[str, str, str, int]
@@ -28,16 +29,6 @@ ENTITY = T.StructType(
 _OPEN, _CLOSE = "\x03", "\x04"
 
 
-def alias_rows(aliases: Sequence[Alias] | DataFrame) -> list[Alias]:
-    """Dictionary entries in order, from a sequence or from the frame of ``read_aliases``.
-
-    A dictionary is one file, read as one row, so its entries are bounded by that file.
-    """
-    if isinstance(aliases, DataFrame):
-        aliases = [tuple(r) for r in aliases.select("alias_key", "canonical", "alias_type", "ord").orderBy("ord").collect()]
-    return list(aliases)
-
-
 def _dictionary_hits(text: Column, aliases: Sequence[Alias], confidence: float) -> Column:
     """Aliases that occur in the text as a substring, in dictionary order."""
     shape = "array<struct<name:string,type:string,confidence:double,key:string>>"
@@ -109,10 +100,15 @@ def rule_entities(
 
     The three groups are already in rank order, so keeping the first per key and
     slicing is the whole ranking. Offsets are computed for the kept ones only.
+    A dictionary given as rows is tested inside the row; one given as the frame of
+    ``read_aliases`` may have any size and is joined (``matching.dictionary_hits``).
     """
     built_in = [(k, n, t, i) for i, (k, n, t) in enumerate(lex.BUILT_IN_ENTITIES)]
     body = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumn("_listed", _dictionary_hits(body, alias_rows(aliases), 0.85))
+    if isinstance(aliases, DataFrame):
+        df = with_dictionary_hits(df, aliases, text)
+    else:
+        df = df.withColumn("_listed", _dictionary_hits(body, aliases, 0.85))
     named = _first_by_key(F.concat("_listed", _dictionary_hits(body, built_in, 0.8)))
     df = df.withColumns({"_named": named, "_marked": mark_capitalised(body)})
 
