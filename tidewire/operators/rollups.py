@@ -11,8 +11,8 @@ from tidewire.functions.text import unnest
 DAY = F.to_date
 
 
-def daily_summary(df: DataFrame) -> DataFrame:
-    """One row per day; parts whose columns are missing are left out."""
+def summary_parts(columns: list[str]) -> dict[str, Column]:
+    """The aggregates of the daily summary; parts whose columns are missing are left out."""
     parts = {
         "message_count": ("msg_id", F.count("msg_id")),
         "avg_text_length": ("text", F.bround(F.avg(F.length("text")), 3)),
@@ -23,7 +23,12 @@ def daily_summary(df: DataFrame) -> DataFrame:
         "total_links": ("total_links", F.sum("total_links")),
         "total_unique_domains": ("unique_domains", F.sum("unique_domains")),
     }
-    present = {k: v for k, (needs, v) in parts.items() if needs in df.columns}
+    return {k: v for k, (needs, v) in parts.items() if needs in columns}
+
+
+def daily_summary(df: DataFrame) -> DataFrame:
+    """One row per day."""
+    present = summary_parts(df.columns)
     return (
         df.groupBy(DAY("date").alias("day")).agg(*[v.alias(k) for k, v in present.items()])
         .select(F.date_format("day", "yyyy-MM-dd").alias("date"), *present)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
+
+from tidewire.operators import rollups
+from tidewire.streaming.increments import RATE_OUTPUT, RATE_STATE, Increments, capped_rows, first_rows
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,73 +32,51 @@ def run_available(stream: DataFrame, output: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(output)
 
 
+def stream_folder(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """Stream over all Parquet files that are or will be in a folder."""
+    return spark.readStream.schema(schema).parquet(folder)
+
+
 def enrich_stream(stream: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Stateless steps are the batch functions themselves."""
     return step(stream)
 
 
-def first_per_id(stream: DataFrame, key: str = "msg_id", at: str = "date", delay: str = "1 hour") -> DataFrame:
-    """First row per id within the watermark; older ids are forgotten."""
-    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
+def first_per_id(spark: SparkSession, folder: str, stream: DataFrame, key: str = "msg_id", at: str = "date", delay_hours: float = 1) -> Increments:
+    """The whole earliest row of each id (``increments.first_rows``); ``run`` it on the stream, any number of times."""
+    schema = stream.schema
+    return Increments(spark, folder, first_rows(key, at), schema, schema, at, int(delay_hours * 3_600_000_000))
 
 
 def daily_rollup(stream: DataFrame, at: str = "date", delay: str = "1 day") -> DataFrame:
-    """Messages and mean text length per day; a day is written once, when the
-    watermark has passed its end, and later rows for it are dropped."""
-    return (
-        stream.withWatermark(at, delay).groupBy(F.window(at, "1 day").alias("w"))
-        .agg(F.count("*").alias("message_count"), F.sum("value").alias("value_sum"))
-        .select(F.to_date("w.start").alias("day"), "message_count", "value_sum")
+    """The daily summary on a stream: a day is written once, when the watermark
+    has passed its end, and later rows for it are dropped."""
+    timed = stream.withWatermark(at, delay)
+    parts = rollups.summary_parts(stream.columns)
+    return timed.groupBy(F.window(at, "1 day").alias("w")).agg(*[v.alias(k) for k, v in parts.items()]).select(
+        F.date_format("w.start", "yyyy-MM-dd").alias("date"), *parts
     )
 
 
+def completed_rollup(closed: DataFrame, rows: DataFrame, at: str = "date") -> DataFrame:
+    """Closed days as written, and the days after the last of them from a batch pass over the rows the watermark has not passed.
+
+    The bound is a literal, so only those rows are read where the table is stored by time.
+    """
+    last = closed.agg(F.max("date")).first()[0]
+    rest = rows if last is None else rows.filter(F.col(at) >= F.date_add(F.lit(last).cast("date"), 1).cast("timestamp"))
+    return closed.unionByName(rollups.daily_summary(rest.withColumn("date", F.col(at))))
+
+
 def with_dictionary(stream: DataFrame, dictionary: DataFrame, on: str) -> DataFrame:
     """Left join with a static dictionary."""
     return stream.join(dictionary, on, "left")
 
 
-_STATE = "start long, kept long, times array<long>, ids array<long>"
-_OUTPUT = "key string, ts_us long, row_id long"
-
+def cap_rate_stream(spark: SparkSession, folder: str, window_us: int, limit: int, delay_hours: float = 1) -> Increments:
+    """At most ``limit`` rows per key and anchored window; ``run`` it on ``rate_rows``."""
+    return Increments(spark, folder, capped_rows(window_us, limit), RATE_STATE, RATE_OUTPUT, "at", int(delay_hours * 3_600_000_000))
 
-def cap_rate_stream(
-    stream: DataFrame, key: str, at: str, row_id: str, window_us: int, limit: int, delay: str = "1 hour"
-) -> DataFrame:
-    """At most ``limit`` rows per key and anchored window, as in batch.
 
-    Windows depend on order, so rows wait in state until the watermark has passed
-    them and are then taken in order of time and id. State per key is the open
-    window plus the rows younger than the watermark.
-    """
-
-    def take(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, kept, times, ids = state.get if state.exists else (None, 0, [], [])
-        arrived = [b[["ts_us", "row_id"]] for b in batches]
-        waiting = pd.concat([pd.DataFrame({"ts_us": list(times), "row_id": list(ids)}, dtype="int64"), *arrived])
-        waiting = waiting.sort_values(["ts_us", "row_id"], kind="stable")
-        ready_until = np.searchsorted(waiting["ts_us"].to_numpy(), state.getCurrentWatermarkMs() * 1000)
-        ready, waiting = waiting.iloc[:ready_until], waiting.iloc[ready_until:]
-        at_us, chosen, i = ready["ts_us"].to_numpy(), [], 0
-        while i < len(at_us):
-            if start is None or at_us[i] >= start + window_us:
-                start, kept = int(at_us[i]), 0
-            end = int(np.searchsorted(at_us, start + window_us))
-            room = max(limit - kept, 0)
-            chosen.extend(range(i, min(i + room, end)))
-            kept += end - i
-            i = end
-        state.update((start, kept, waiting["ts_us"].tolist(), waiting["row_id"].tolist()))
-        if len(waiting):
-            first = max(int(waiting["ts_us"].iloc[0] // 1000) + 1, state.getCurrentWatermarkMs() + 1)
-            state.setTimeoutTimestamp(first)
-        out = ready.iloc[chosen]
-        yield pd.DataFrame({"key": group[0], "ts_us": out["ts_us"], "row_id": out["row_id"]})
-
-    # The watermark has to be defined on a timestamp with time zone.
-    timed = stream.select(
-        F.col(key).cast("string").alias("key"), F.col(at).cast("timestamp").alias("at"), F.col(row_id).alias("row_id")
-    ).withWatermark("at", delay)
-    return (
-        timed.withColumn("ts_us", F.unix_micros("at")).groupBy("key")
-        .applyInPandasWithState(take, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+def rate_rows(stream: DataFrame, key: str, at: str, row_id: str) -> DataFrame:
+    return stream.select(F.col(key).cast("string").alias("key"), F.col(at).cast("timestamp").alias("at"), F.col(row_id).cast("long").alias("row_id")).withColumn("ts_us", F.unix_micros("at"))
