@@ -12,7 +12,7 @@ from tidewire.catalog.quotes import with_quotes
 from tidewire.catalog.registry import query, view
 from tidewire.catalog.stance import with_stance
 from tidewire.functions import lexicons as lex
-from tidewire.operators import evaluation
+from tidewire.operators import evaluation, intervals
 
 TYPES = lex.ERROR_CATEGORIES
 
@@ -94,35 +94,91 @@ view(
 )
 
 
-@query("J03 V02 V03")
+def matches_sql(threshold: float, only: str = "true") -> str:
+    """Each predicted span in turn takes the best free gold span: one after the other, by recursion."""
+    return f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY msg_id ORDER BY pos) - 1 AS p FROM v_pspans WHERE {only}),
+    g AS (SELECT *, row_number() OVER (PARTITION BY msg_id ORDER BY pos) - 1 AS g FROM v_gspans WHERE {only}),
+    o AS (SELECT p.msg_id, p.p, list({{'iou': greatest(0, least(p.stop, g.stop) - greatest(p.start, g.start))::DOUBLE
+        / nullif((p.stop - p.start) + (g.stop - g.start) - greatest(0, least(p.stop, g.stop) - greatest(p.start, g.start)), 0), 'back': -g.g}}) AS options
+      FROM p JOIN g ON g.msg_id = p.msg_id GROUP BY 1, 2),
+    r AS (SELECT DISTINCT msg_id, CAST(-1 AS BIGINT) AS p, CAST([] AS BIGINT[]) AS used, CAST(NULL AS STRUCT(iou DOUBLE, back BIGINT)) AS best FROM o
+      UNION ALL SELECT msg_id, p, CASE WHEN best IS NULL THEN used ELSE list_append(used, -best.back) END, best FROM (
+        SELECT r.msg_id, o.p, r.used, list_max(list_filter(o.options, lambda x: x.iou >= {threshold} AND x.iou > 0 AND NOT list_contains(r.used, -x.back))) AS best
+        FROM r JOIN o ON o.msg_id = r.msg_id AND o.p = r.p + 1))
+    SELECT r.msg_id, r.p, -best.back AS g, best.iou AS iou, p.speaker AS pspeaker, p.span_type AS ptype, p.start AS pstart, p.text AS ptext, g.speaker AS gspeaker, g.span_type AS gtype
+    FROM r JOIN p USING (msg_id, p) JOIN g ON g.msg_id = r.msg_id AND g.g = -best.back WHERE best IS NOT NULL"""
+
+
+view("v_matches_3", matches_sql(0.3))
+view("v_matches_5", matches_sql(0.5))
+view("v_matches_8", matches_sql(0.8))
+view("v_quote_matches", matches_sql(0.5, "span_type IN ('quoted', 'forwarded')"))
+# one row per aligned message with the number of spans on either side
+view(
+    "v_span_counts",
+    """SELECT msg_id, coalesce(p, 0) AS p, coalesce(g, 0) AS g, coalesce(pq, 0) AS pq, coalesce(gq, 0) AS gq FROM v_texts
+    LEFT JOIN (SELECT msg_id, count(*) AS p, count(*) FILTER (span_type IN ('quoted', 'forwarded')) AS pq FROM v_pspans GROUP BY 1) USING (msg_id)
+    LEFT JOIN (SELECT msg_id, count(*) AS g, count(*) FILTER (span_type IN ('quoted', 'forwarded')) AS gq FROM v_gspans GROUP BY 1) USING (msg_id)
+    WHERE doc_id % 10 <> 9""",
+)
+
+
+def metrics_sql(section: str, source: str, **values: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, '{k}' AS metric, round(coalesce(CAST({v} AS DOUBLE), 0), 6) AS value FROM {source}" for k, v in values.items())
+
+
+_SAME = "CAST(pspeaker = gspeaker AS INTEGER)"
+_SPANS = metrics_sql(
+    "spans", "v_matches_5", span_accuracy=f"avg({_SAME})", total_spans_evaluated="count(*)", correct_attributions=f"sum({_SAME})",
+    **{f"{k}_accuracy": f"avg({_SAME}) FILTER (CASE WHEN gspeaker = 'unknown' THEN 'unknown' ELSE gtype END = '{k}')" for k in ("author", "quoted", "forwarded", "unknown")},
+)
+_PERFECT = "sum(CAST(p = g AND coalesce(n, 0) = g AND coalesce(other, 0) = 0 AS INTEGER))"
+_MESSAGES = metrics_sql(
+    "messages",
+    "v_span_counts LEFT JOIN (SELECT msg_id, count(*) AS n, count(*) FILTER (NOT coalesce(pspeaker = gspeaker, false)) AS other FROM v_matches_8 GROUP BY 1) USING (msg_id)",
+    message_accuracy=f"{_PERFECT}::DOUBLE / count(*)", perfect_attribution_messages=_PERFECT, total_messages_evaluated="count(*)",
+)
+_TP, _P, _G = "(SELECT count(*) FROM v_quote_matches)::DOUBLE", "sum(pq)", "sum(gq)"
+_QUOTES = metrics_sql(
+    "quotes", "v_span_counts", quote_detection_precision=f"{_TP} / nullif({_P}, 0)", quote_detection_recall=f"{_TP} / nullif({_G}, 0)",
+    quote_detection_f1=f"2 * {_TP} / nullif({_P} + {_G}, 0)", quote_true_positives=f"max({_TP})", quote_false_positives=f"{_P} - {_TP}", quote_false_negatives=f"{_G} - {_TP}",
+)
+_ERRORS = metrics_sql(
+    "errors", "v_span_counts", span_boundary_errors="sum(p + g) - 2 * (SELECT count(*) FROM v_matches_3)",
+    speaker_type_errors="max((SELECT count(*) FROM v_matches_3 WHERE ptype <> gtype))", missed_quotes="sum(greatest(gq - pq, 0))", false_quotes="sum(greatest(pq - gq, 0))",
+)
+
+
+@query("J03 V02 V03", "SELECT msg_id, CAST(p AS INTEGER) AS p, CAST(g AS INTEGER) AS g, round(iou, 6) AS iou FROM v_matches_5")
 def span_matches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = aligned(spark, folder).select(
-        "msg_id", evaluation.match_spans("pred_spans", "gold_spans", 0.5).alias("m")
-    )
-    return rows.select("msg_id", F.inline("m")).withColumn("iou", F.round("iou", 6))
+    rows = intervals.matched_spans(aligned(spark, folder), "pred_spans", "gold_spans", 0.5)
+    return rows.select("msg_id", "p", "g", F.round("iou", 6).alias("iou"))
 
 
-@query("V04")
+@query("V04", _SPANS)
 def span_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.span_metrics(aligned(spark, folder))
 
 
-@query("V05")
+@query("V05", _MESSAGES)
 def message_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.message_metrics(aligned(spark, folder))
 
 
-@query("V06")
+@query("V06", _QUOTES)
 def quote_detection(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.quote_metrics(aligned(spark, folder))
 
 
-@query("V07")
+@query("V07", _ERRORS)
 def attribution_errors(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.attribution_errors(aligned(spark, folder))
 
 
-@query("V07 O02")
+@query(
+    "V07 O02",
+    "SELECT msg_id, ptext[1:100] AS text, ptype AS predicted_type, gtype AS gold_type FROM v_matches_3 WHERE ptype <> gtype ORDER BY msg_id, pstart LIMIT 10",
+)
 def attribution_error_examples(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.type_error_examples(aligned(spark, folder))
 
@@ -147,9 +203,7 @@ _TYPE_F1 = " UNION ALL ".join(
 )
 
 
-@query(
-    "V08",
-    f"""WITH c AS (SELECT (SELECT count(*) FROM v_pentities) AS np, (SELECT count(*) FROM v_gentities) AS ng,
+_ENTITIES = f"""WITH c AS (SELECT (SELECT count(*) FROM v_pentities) AS np, (SELECT count(*) FROM v_gentities) AS ng,
       count(DISTINCT msg_id || ':' || rank) FILTER (same_span AND ptype = gtype) AS exact,
       count(DISTINCT msg_id || ':' || rank) FILTER (ptype = gtype) AS part_p,
       count(DISTINCT msg_id || ':' || rank) AS touching,
@@ -164,8 +218,10 @@ _TYPE_F1 = " UNION ALL ".join(
       UNION ALL SELECT 'boundary_accuracy', bound::DOUBLE / touching FROM c
       UNION ALL SELECT 'type_accuracy', exact::DOUBLE / bound FROM c
       UNION ALL SELECT 'alias_accuracy', named::DOUBLE / bound FROM c
-      UNION ALL SELECT 'total_entities_evaluated', ng::DOUBLE FROM c UNION ALL {_TYPE_F1})""",
-)
+      UNION ALL SELECT 'total_entities_evaluated', ng::DOUBLE FROM c UNION ALL {_TYPE_F1})"""
+
+
+@query("V08", _ENTITIES)
 def entity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.entity_metrics(aligned(spark, folder))
 
@@ -186,34 +242,34 @@ def _macro(extra: str) -> str:
     ) + ") / 3"
 
 
-@query(
-    "V09",
-    f"""SELECT 'stance' AS section, metric, round(value, 6) AS value FROM (
+_STANCE = f"""SELECT 'stance' AS section, metric, round(value, 6) AS value FROM (
       SELECT 'overall_f1' AS metric, {_macro('')} AS value FROM v_spairs
       UNION ALL SELECT 'speaker_aware_f1', {_macro(' AND ps = gs')} FROM v_spairs
       UNION ALL SELECT 'target_entity_f1', 2.0::DOUBLE * count(*) FILTER (pl IS NOT NULL AND gl IS NOT NULL) / (count(pl) + count(gl)) FROM v_spairs
       UNION ALL SELECT 'high_confidence_accuracy', count(*) FILTER (pl = gl AND score >= 0.8)::DOUBLE
         / count(*) FILTER (gl IS NOT NULL AND score >= 0.8) FROM v_spairs
-      UNION ALL SELECT 'total_stance_edges_evaluated', count(gl)::DOUBLE FROM v_spairs)""",
-)
+      UNION ALL SELECT 'total_stance_edges_evaluated', count(gl)::DOUBLE FROM v_spairs)"""
+
+
+@query("V09", _STANCE)
 def stance_scores(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.stance_metrics(aligned(spark, folder))
 
 
-@query(
-    "V09",
-    """SELECT coalesce(gl, 'none') AS gold_label, coalesce(pl, 'none') AS pred_label, coalesce(method, 'none') AS method,
-    count(*) AS edges FROM v_spairs GROUP BY ALL""",
-)
+_CONFUSION = """SELECT coalesce(gl, 'none') AS gold_label, coalesce(pl, 'none') AS pred_label, coalesce(method, 'none') AS method,
+    count(*) AS edges FROM v_spairs GROUP BY ALL"""
+
+
+@query("V09", _CONFUSION)
 def stance_confusion(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.stance_confusion(aligned(spark, folder))
 
 
-@query(
-    "V10",
-    f"""SELECT ({list(TYPES)!r})[n % {len(TYPES)} + 1] AS error_type, count(*) AS messages FROM (
-      SELECT DISTINCT CAST(msg_id AS BIGINT) AS n FROM v_spairs WHERE pl IS NULL OR gl IS NULL OR pl <> gl) GROUP BY 1""",
-)
+_CATEGORIES = f"""SELECT ({list(TYPES)!r})[n % {len(TYPES)} + 1] AS error_type, count(*) AS messages FROM (
+      SELECT DISTINCT CAST(msg_id AS BIGINT) AS n FROM v_spairs WHERE pl IS NULL OR gl IS NULL OR pl <> gl) GROUP BY 1"""
+
+
+@query("V10", _CATEGORIES)
 def error_category_counts(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.error_categories(aligned(spark, folder))
 
@@ -238,7 +294,17 @@ def system_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.system_stats(df, gold(df))
 
 
-@query("V12")
+_REPORT = " UNION ALL ".join(
+    f"SELECT section, metric, value FROM ({sql})"
+    for sql in (
+        _SPANS, _MESSAGES, _QUOTES, _ERRORS, _ENTITIES, _STANCE, _SYSTEM,
+        f"SELECT 'confusion' AS section, gold_label || '|' || pred_label || '|' || method AS metric, edges::DOUBLE AS value FROM ({_CONFUSION})",
+        f"SELECT 'error_categories' AS section, error_type AS metric, messages::DOUBLE AS value FROM ({_CATEGORIES})",
+    )
+)
+
+
+@query("V12 V10", _REPORT)
 def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
     df = predictions(spark, folder)
     return evaluation.full_report(df, gold(df))

@@ -1,7 +1,7 @@
 """Scores of predictions against gold annotations.
 
-Predictions and gold are aligned once by message id; span matching is a fold over
-the two short span arrays of a message, everything else is aggregation.
+Predictions and gold are aligned once by message id; spans are matched by an overlap
+join (``intervals``), everything else is aggregation.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import unnest
+from tidewire.operators.intervals import matched_spans
 from tidewire.sources.tables import cut_lineage
 
 QUOTED = ("quoted", "forwarded")
@@ -44,7 +45,7 @@ def span_iou(a: Column, b: Column) -> Column:
 def match_spans(pred: str, gold: str, threshold: float = 0.5) -> Column:
     """Greedy one-to-one matches ``array<struct<p, g, iou>>`` of array columns:
     each predicted span in turn takes the best free gold span at or above the
-    threshold, the first on ties."""
+    threshold, the first on ties. Within the row, for short arrays; ``intervals.matched_spans`` says the same for any number of spans."""
     common = "greatest(0, least(p.end, g.end) - greatest(p.start, g.start))"
     union = f"((p.end - p.start) + (g.end - g.start) - {common})"
     shape = "array<struct<p:int,g:int,iou:double>>"
@@ -67,15 +68,6 @@ def match_spans(pred: str, gold: str, threshold: float = 0.5) -> Column:
     )
 
 
-def _matched(df: DataFrame, threshold: float) -> DataFrame:
-    """One row per matched pair with both spans."""
-    rows = df.withColumn("_m", match_spans("pred_spans", "gold_spans", threshold))
-    return unnest(rows, "_m", "m", "msg_id", "pred_spans", "gold_spans").select(
-        "msg_id", F.get("pred_spans", F.col("m.p")).alias("pred"), F.get("gold_spans", F.col("m.g")).alias("gold"),
-        F.col("m.iou").alias("iou"),
-    )
-
-
 def _metrics(df: DataFrame, section: str, values: dict[str, Column]) -> DataFrame:
     """Aggregate and turn one row into (section, metric, value) rows."""
     wide = df.agg(*[v.cast("double").alias(k) for k, v in values.items()])
@@ -87,7 +79,7 @@ def _metrics(df: DataFrame, section: str, values: dict[str, Column]) -> DataFram
 
 def span_metrics(aligned: DataFrame) -> DataFrame:
     """Speaker accuracy over matched spans, overall and per gold span type."""
-    rows = _matched(aligned, 0.5)
+    rows = matched_spans(aligned, "pred_spans", "gold_spans", 0.5)
     same = (F.col("pred.speaker") == F.col("gold.speaker")).cast("int")
     kind = F.when(F.col("gold.speaker") == "unknown", "unknown").otherwise(F.col("gold.span_type"))
     values = {
@@ -102,15 +94,12 @@ def span_metrics(aligned: DataFrame) -> DataFrame:
 
 def message_metrics(aligned: DataFrame) -> DataFrame:
     """Share of messages whose spans all match at 0.8 with the right speakers."""
-    m = match_spans("pred_spans", "gold_spans", 0.8)
-    rows = aligned.withColumn("_m", m)
-    speakers = F.forall(
-        "_m",
-        lambda x: F.get(F.col("pred_spans"), x["p"])["speaker"] == F.get(F.col("gold_spans"), x["g"])["speaker"],
+    matches = matched_spans(aligned, "pred_spans", "gold_spans", 0.8).groupBy("msg_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(~F.coalesce(F.col("pred.speaker") == F.col("gold.speaker"), F.lit(False))).alias("_other")
     )
-    perfect = (
-        (F.size("pred_spans") == F.size("gold_spans")) & (F.size("_m") == F.size("gold_spans")) & speakers
-    ).cast("int")
+    rows = aligned.join(matches, "msg_id", "left")
+    n, other = F.coalesce("_n", F.lit(0)), F.coalesce("_other", F.lit(0))
+    perfect = ((F.size("pred_spans") == F.size("gold_spans")) & (n == F.size("gold_spans")) & (other == 0)).cast("int")
     return _metrics(
         rows.withColumn("_perfect", perfect), "messages",
         {"message_accuracy": F.avg("_perfect"), "perfect_attribution_messages": F.sum("_perfect"), "total_messages_evaluated": F.count("*")},
@@ -129,7 +118,8 @@ def quote_metrics(aligned: DataFrame) -> DataFrame:
     """Precision, recall and F1 of quoted and forwarded spans."""
     only = lambda c: F.filter(c, lambda s: s["span_type"].isin(*QUOTED))
     rows = aligned.select("msg_id", only("pred_spans").alias("pq"), only("gold_spans").alias("gq"))
-    rows = rows.withColumn("hit", F.size(match_spans("pq", "gq", 0.5)))
+    hits = matched_spans(rows, "pq", "gq", 0.5).groupBy("msg_id").agg(F.count(F.lit(1)).alias("hit"))
+    rows = rows.join(hits, "msg_id", "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
     tp, p, g = F.sum("hit").cast("double"), F.sum(F.size("pq")), F.sum(F.size("gq"))
     scores = {f"quote_detection_{k}": v for k, v in _f1(tp, p - tp, g - tp).items()}
     return _metrics(
@@ -140,17 +130,17 @@ def quote_metrics(aligned: DataFrame) -> DataFrame:
 
 def attribution_errors(aligned: DataFrame) -> DataFrame:
     """Counts of boundary, type, missed-quote and false-quote errors (IoU 0.3)."""
-    rows = aligned.withColumn("_m", match_spans("pred_spans", "gold_spans", 0.3))
     count = lambda c: F.size(F.filter(c, lambda s: s["span_type"].isin(*QUOTED)))
-    type_errors = F.size(
-        F.filter("_m", lambda x: F.get(F.col("pred_spans"), x["p"])["span_type"] != F.get(F.col("gold_spans"), x["g"])["span_type"])
+    matches = matched_spans(aligned, "pred_spans", "gold_spans", 0.3).groupBy("msg_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("pred.span_type") != F.col("gold.span_type")).alias("_types")
     )
+    rows = aligned.join(matches, "msg_id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("_n", "_types")})
     gap = count("gold_spans") - count("pred_spans")
     return _metrics(
         rows, "errors",
         {
-            "span_boundary_errors": F.sum(F.size("pred_spans") + F.size("gold_spans") - F.size("_m") * 2),
-            "speaker_type_errors": F.sum(type_errors),
+            "span_boundary_errors": F.sum(F.size("pred_spans") + F.size("gold_spans") - F.col("_n") * 2),
+            "speaker_type_errors": F.sum("_types"),
             "missed_quotes": F.sum(F.greatest(gap, F.lit(0))),
             "false_quotes": F.sum(F.greatest(-gap, F.lit(0))),
         },
@@ -158,7 +148,7 @@ def attribution_errors(aligned: DataFrame) -> DataFrame:
 
 
 def type_error_examples(aligned: DataFrame, limit: int = 10) -> DataFrame:
-    rows = _matched(aligned, 0.3).filter(F.col("pred.span_type") != F.col("gold.span_type"))
+    rows = matched_spans(aligned, "pred_spans", "gold_spans", 0.3).filter(F.col("pred.span_type") != F.col("gold.span_type"))
     return rows.orderBy("msg_id", "pred.start").limit(limit).select(
         "msg_id", F.substring("pred.text", 1, 100).alias("text"),
         F.col("pred.span_type").alias("predicted_type"), F.col("gold.span_type").alias("gold_type"),
@@ -295,10 +285,14 @@ def system_stats(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     return main.unionByName(unique).unionByName(stances).unionByName(coverage)
 
 
+def _counts(df: DataFrame, section: str, metric: Column, count: str) -> DataFrame:
+    return df.select(F.lit(section).alias("section"), metric.alias("metric"), F.col(count).cast("double").alias("value"))
+
+
 def full_report(predictions: DataFrame, gold: DataFrame) -> DataFrame:
-    """All sections as (section, metric, value).
+    """All sections as (section, metric, value), the confusion table as ``gold|predicted|method`` and the error types of wrong messages included.
 
-    Eight sections read the same enriched rows, so these are stored once.
+    The sections read the same enriched rows, so these are stored once.
     """
     needed = ["msg_id", "quote_spans", "entities", "stance_edges", "has_quotes", "multi_speaker"]
     predictions = cut_lineage(predictions.select(*needed))
@@ -306,6 +300,8 @@ def full_report(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     parts = [
         span_metrics(aligned), message_metrics(aligned), quote_metrics(aligned), attribution_errors(aligned),
         entity_metrics(aligned), stance_metrics(aligned), system_stats(predictions, gold),
+        _counts(stance_confusion(aligned), "confusion", F.concat_ws("|", "gold_label", "pred_label", "method"), "edges"),
+        _counts(error_categories(aligned), "error_categories", F.col("error_type"), "messages"),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
