@@ -91,11 +91,25 @@ def detect_language(df: DataFrame, profiles: DataFrame, key: str = "msg_id", tex
 
     A message's score for a language is the sum over its trigrams of
     log_p - log_floor, plus the floor for each trigram, which is the
-    log-likelihood. Only languages with a trigram in the profile count. Scored inside the row: no join and no shuffle.
+    log-likelihood. Only languages with a trigram in the profile count. The
+    trigrams meet the profiles, ``PROFILE_SIZE`` rows per language, in a broadcast join; a task adds them up before the
+    shuffle, which gets one short row per message and language.
     """
-    usable = F.when(F.length(strip(F.coalesce(F.col(text), F.lit("")))) > MIN_LENGTH, F.lower(F.col(text)))
-    found = df.select(key, _scorer(profiles)(usable).alias("b"))
-    return found.select(key, F.coalesce("b.language", F.lit("unknown")).alias("language"), F.col("b.score").alias("language_score"))
+    usable = F.length(strip(F.coalesce(F.col(text), F.lit("")))) > MIN_LENGTH
+    grams = df.filter(usable).select(F.col(key).alias("_key"), F.length(text).alias("_n"), F.explode(trigrams(text)).alias("gram"))
+    near = grams.join(F.broadcast(profiles.select("lang", "gram", "log_p", "log_floor")), "gram")
+    scores = near.groupBy("_key", "lang").agg((F.sum(F.col("log_p") - F.col("log_floor")) + (F.max("_n") - 2) * F.max("log_floor")).alias("score"))
+    best = scores.groupBy("_key").agg(F.max("score").alias("top"), F.min_by("lang", F.struct(-F.col("score"), F.col("lang"))).alias("lang"))
+    named = df.select(F.col(key)).join(best, F.col(key) == F.col("_key"), "left")
+    return named.select(key, F.coalesce("lang", F.lit("unknown")).alias("language"), F.col("top").alias("language_score"))
+
+
+def cross_detected(df: DataFrame, lang: str, side: Column, store: Callable[[DataFrame], DataFrame], key: str = "msg_id", text: str = "text") -> DataFrame:
+    """Languages of all messages by profiles of others: either ``side`` is scored by what was learnt on the other one."""
+    sides = [df.filter(side), df.filter(~side)]
+    return detect_language(sides[0], store(learn_profiles(sides[1], lang, text)), key, text).unionByName(
+        detect_language(sides[1], store(learn_profiles(sides[0], lang, text)), key, text)
+    )
 
 
 def add_language(df: DataFrame, profiles: DataFrame | None, text: str = "text") -> DataFrame:
