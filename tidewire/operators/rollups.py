@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import unnest
+from tidewire.operators.quantiles import grouped_percentile
+from tidewire.sources.tables import cut_lineage
 
 DAY = F.to_date
 
@@ -94,11 +96,14 @@ def _by_label() -> list[Column]:
 
 def entity_stance_wide(df: DataFrame) -> DataFrame:
     """Support / oppose / neutral counts and the 95th percentile of the score."""
-    return _stance(df).groupBy("entity", "entity_type").agg(
-        *_by_label(),
-        F.count("*").alias("total_mentions"),
-        F.round(F.percentile("score", 0.95), 6).alias("stance_confidence_p95"),
-    )
+    keys = ["entity", "entity_type"]
+    # equal scores are counted once for all that follows
+    scores = cut_lineage(_stance(df).groupBy(*keys, "stance", "score").agg(F.count("*").alias("n")))
+    high = grouped_percentile(scores, keys, "score", 0.95, "p95", times="n").select(F.col("entity").alias("_e"), F.col("entity_type").alias("_t"), "p95")
+    of = lambda label: F.coalesce(F.sum(F.when(F.col("stance") == label, F.col("n"))), F.lit(0)).alias(f"{label}_count")
+    counts = scores.groupBy(*keys).agg(*[of(x) for x in ("support", "oppose", "neutral")], F.sum("n").alias("total_mentions"))
+    both = counts.join(high, F.col("entity").eqNullSafe(F.col("_e")) & F.col("entity_type").eqNullSafe(F.col("_t")), "left")
+    return both.withColumn("stance_confidence_p95", F.round("p95", 6)).drop("_e", "_t", "p95")
 
 
 def entity_stance_shares(df: DataFrame) -> DataFrame:
