@@ -1,6 +1,8 @@
 """Time the headline queries on local cores and print one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8).
+BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8). Each
+table is written in several files before the clock starts, as a table of any
+size is; a Parquet file of one row group would be read by one task.
 """
 
 from __future__ import annotations
@@ -8,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -36,15 +39,19 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewire-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tables = tempfile.mkdtemp(prefix="tidewire-tables-")
+    for path in Path(folder).glob("*.parquet"):
+        spark.read.parquet(str(path)).repartition(2 * int(cores)).write.parquet(f"{tables}/{path.name}")
     runnable = catalog.runnable()
-    runnable["dataset_summary"](spark, folder).collect()  # start-up
+    runnable["dataset_summary"](spark, tables).collect()  # start-up
     times: dict[str, float] = {}
     for name in HEADLINE:
         start = time.time()
-        runnable[name](spark, folder).write.format("noop").mode("overwrite").save()
+        runnable[name](spark, tables).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
     print(
         json.dumps(

@@ -13,9 +13,9 @@ from tidewire.streaming.increments import RATE_OUTPUT, RATE_STATE, Increments, c
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Stream over the Parquet file ``folder/name.parquet``."""
+    """Stream over the Parquet table ``folder/name.parquet``, a file or a folder of files (a pattern names either)."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def run_available(stream: DataFrame, output: str, checkpoint: str) -> DataFrame:
