@@ -194,8 +194,7 @@ def topic_details(spark: SparkSession, folder: str) -> DataFrame:
 )
 def discovery_to_ontology(spark: SparkSession, folder: str) -> DataFrame:
     df = clustered(spark, folder)
-    rows = [(i, label, k) for i, (label, words, _) in enumerate(topics.ONTOLOGY) for k in words]
-    keywords = spark.createDataFrame(rows, "ord int, label string, keyword string")
+    keywords = _ontology_keywords(spark)
     ids = df.select(F.col("discovery_topic_id").alias("topic")).distinct()
     return discovery.map_to_ontology(discovery.topic_words(df), ids, keywords, threshold=0.05, number_new=True)
 
@@ -211,6 +210,30 @@ def discovery_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return discovery.discovery_stats(clustered(spark, folder))
 
 
+def _ontology_keywords(spark: SparkSession) -> DataFrame:
+    rows = [(i, label, k) for i, (label, words, _) in enumerate(topics.ONTOLOGY) for k in words]
+    return spark.createDataFrame(rows, "ord int, label string, keyword string")
+
+
+def _chain(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    vectors = read_table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("msg_id"), "embedding")
+    return discovery.discovered_topics(texts(spark, folder), vectors, _ontology_keywords(spark), threshold=0.05, probability="mixture")
+
+
+@query("P07 P08 P09 P10 P11 P12 P13")
+def discovered_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """Every topic that the clustering finds, with words, label, examples and ontology topic made from the clustering itself."""
+    _, found = _chain(spark, folder)
+    return found.select("topic", "label", "size", "mean_probability", F.array_join("words", "|").alias("words"), "ontology_topic", F.array_join("representative_docs", "|").alias("docs"))
+
+
+@query("P08 P10 P14")
+def discovered_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message with the topic that the clustering gives it."""
+    rows, _ = _chain(spark, folder)
+    return rows.select("msg_id", "discovery_topic_id", F.round("discovery_topic_probability", 6).alias("discovery_topic_probability"), F.round("distance", 6).alias("distance"), "discovery_topic_label")
+
+
 @query(
     "P06",
     """SELECT n AS messages, greatest(10, n // 50) AS min_cluster_size, least(15, n // 10) AS n_neighbors,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
@@ -13,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import bind, strip, tokens
+from tidewire.sources.tables import cut_lineage
 
 OUTLIER = -1
 # Common English words left out of topic words.
@@ -54,6 +56,7 @@ def cluster_embeddings(
     min_cluster_size: int = 10,
     max_spread: float = 3.0,
     seed: int = 7,
+    probability: str = "distance",
 ) -> DataFrame:
     """(key, discovery_topic_id, discovery_topic_probability, distance, centre_distances, discovery_status).
 
@@ -61,18 +64,29 @@ def cluster_embeddings(
     the best silhouette. A row is an outlier when its cluster is smaller than
     ``min_cluster_size`` or it lies more than ``max_spread`` times the cluster's
     mean distance from the centre. Too few rows make every row an outlier, and
-    the status says so.
+    the status says so. Rows whose vector is null or holds null or non-finite numbers are outliers with status ``no_vector``.
+
+    The probability of a row's topic is the share of its closeness to all
+    centres (``distance``), or (``mixture``) its posterior in the mixture of round normal
+    distributions that has the clusters' shares, centres and spreads.
     """
-    vectors = df.select(key, array_to_vector(F.col(embedding).cast("array<double>")).alias("v"))
+    numbers = F.col(embedding).cast("array<double>")
+    sound = F.coalesce((F.size(numbers) > 0) & F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+    unusable = df.filter(~sound).select(
+        key, F.lit(OUTLIER).alias("discovery_topic_id"), F.lit(0.0).alias("discovery_topic_probability"),
+        F.lit(None).cast("double").alias("distance"), F.lit(None).cast("array<double>").alias("centre_distances"), F.lit("no_vector").alias("discovery_status"),
+    )
+    vectors = df.filter(sound).select(key, array_to_vector(numbers).alias("v"))
     rows = vectors.count()
     usable = [k for k in candidates if 2 <= k < rows]
     if rows < min_cluster_size or not usable:
         return vectors.select(
             key, F.lit(OUTLIER).alias("discovery_topic_id"), F.lit(0.0).alias("discovery_topic_probability"),
             F.lit(None).cast("double").alias("distance"), F.lit(None).cast("array<double>").alias("centre_distances"), F.lit("too_few_rows").alias("discovery_status"),
-        )
+        ).unionByName(unusable)
     reduced = PCA(k=components, inputCol="v", outputCol="features").fit(vectors).transform(vectors).select(key, "features")
-    reduced = reduced.persist()
+    # read by every candidate
+    reduced = cut_lineage(reduced)
     evaluator = ClusteringEvaluator(featuresCol="features")
     fitted = []
     for k in usable:
@@ -92,9 +106,18 @@ def cluster_embeddings(
             "closeness": F.transform("d", lambda x: 1.0 / (x + 1e-9)),
         }
     )
-    probability = F.get("closeness", F.col("prediction")) / F.aggregate("closeness", F.lit(0.0), lambda s, x: s + x)
-    sizes = scored.groupBy("prediction").agg(F.count("*").alias("size"), F.avg("distance").alias("mean"))
-    joined = scored.withColumn("p", probability).join(F.broadcast(sizes), "prediction")
+    # one row per cluster; the driver holds k of them
+    stats = scored.groupBy("prediction").agg(F.count("*").alias("size"), F.avg("distance").alias("mean"), F.avg(F.col("distance") * F.col("distance")).alias("spread")).collect()
+    if probability == "mixture":
+        by = {r["prediction"]: r for r in stats}
+        # log share - dimensions / 2 * log variance - distance^2 / (2 variance), the variance being that of one dimension
+        variance = [max(by[i]["spread"] / components, 1e-12) if i in by else 1.0 for i in range(len(model.clusterCenters()))]
+        constant = [math.log(by[i]["size"] / sum(r["size"] for r in stats)) - components / 2 * math.log(v) if i in by else float("-inf") for i, v in enumerate(variance)]
+        logs = F.zip_with("d", F.arrays_zip(F.array(*map(F.lit, constant)).alias("c"), F.array(*map(F.lit, variance)).alias("v")), lambda d, m: m["c"] - d * d / (2 * m["v"]))
+        scored = scored.withColumn("_logs", logs).withColumn("closeness", F.transform("_logs", lambda x: F.exp(x - F.array_max("_logs"))))
+    share = F.get("closeness", F.col("prediction")) / F.aggregate("closeness", F.lit(0.0), lambda s, x: s + x)
+    sizes = df.sparkSession.createDataFrame([(r["prediction"], r["size"], r["mean"]) for r in stats], "prediction int, size long, mean double")
+    joined = scored.withColumn("p", share).join(F.broadcast(sizes), "prediction")
     outlier = (F.col("size") < min_cluster_size) | (F.col("distance") > F.col("mean") * max_spread)
     return joined.select(
         key,
@@ -103,7 +126,7 @@ def cluster_embeddings(
         "distance",
         F.col("d").alias("centre_distances"),
         F.lit("clustered").alias("discovery_status"),
-    )
+    ).unionByName(unusable)
 
 
 def reduce_topics(clusters: DataFrame, nr_topics: int) -> DataFrame:
@@ -229,3 +252,23 @@ def discovery_stats(df: DataFrame) -> DataFrame:
         F.round(F.avg("discovery_topic_probability"), 6).alias("avg_topic_probability"),
         F.round(with_topic / F.count("*") * 100, 6).alias("topic_coverage"),
     )
+
+
+def discovered_topics(df: DataFrame, vectors: DataFrame, keywords: DataFrame, nr_topics: int = 15, key: str = "msg_id", threshold: float = 0.3, **options) -> tuple[DataFrame, DataFrame]:
+    """The whole chain: the messages with their topics, and one row per topic.
+
+    Vectors are clustered once and the ids, probabilities and distances stored;
+    words, labels, examples and the ontology are all made from them. A message without a
+    vector is an outlier. Messages get ``discovery_topic_id, discovery_topic_probability,
+    distance, discovery_topic_label``; topics ``topic, label, size, mean_probability, words, ontology_topic, representative_docs``.
+    """
+    found = cut_lineage(reduce_topics(cluster_embeddings(vectors, key=key, **options), nr_topics).drop("centre_distances", "discovery_status"))
+    rows = df.join(found, key, "left").fillna({"discovery_topic_id": OUTLIER, "discovery_topic_probability": 0.0})
+    words = cut_lineage(topic_words(rows))
+    sizes = cut_lineage(rows.groupBy(F.col("discovery_topic_id").alias("topic")).agg(F.round(F.avg("discovery_topic_probability"), 6).alias("mean_probability")))
+    ids = sizes.select("topic")
+    labels = cut_lineage(topic_labels(words, ids))
+    listed = words.groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]).alias("words"))
+    topics = topic_details(rows.withColumn("msg_id", F.col(key)), labels).join(sizes, "topic").join(listed, "topic", "left")
+    topics = topics.join(map_to_ontology(words, ids, keywords, threshold, number_new=True), "topic")
+    return add_labels(rows, labels), topics.withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
