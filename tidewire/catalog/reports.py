@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.catalog.entities import with_entities
+from tidewire.catalog.entities import ALIASES, with_entities
 from tidewire.catalog.messages import messages, texts
 from tidewire.catalog.registry import ENTRIES, query, view
 from tidewire.catalog.rollups import scored
 from tidewire.functions.text import safe_divide, truncate
 from tidewire.operators import entities, reports, rollups, sentiment, style, topics, toxicity
+from tidewire.plans import outputs
+from tidewire.sources.tables import work_folder
 
 view("v_daily", ENTRIES["daily_summary"].sql)
 
@@ -118,6 +122,35 @@ def run_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     return runs.withColumn("run_time", F.col("run_time").cast("timestamp_ntz"))
 
 
+_RUNS = ("run-20240105-0830", "run_2024-02-03_12-15")
+
+
+@query(
+    "R06 S06 S09 A01",
+    f"""WITH m AS (SELECT *, CASE WHEN chat_id < 'src2' THEN '{_RUNS[0]}' ELSE '{_RUNS[1]}' END AS run FROM v_messages),
+    r AS (SELECT run, CASE WHEN run = '{_RUNS[0]}' THEN TIMESTAMP '2024-01-05 08:30:00' ELSE TIMESTAMP '2024-02-03 12:15:00' END AS run_time, run = '{_RUNS[1]}' AS is_latest,
+      count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS c, count(DISTINCT CAST(date AS DATE)) AS days FROM m GROUP BY 1)
+    SELECT run, run_time, is_latest, output, CASE WHEN output = 'daily_summary.csv' THEN days WHEN output = 'totals.json' THEN 1 ELSE n END AS rows,
+    CASE WHEN output = 'daily_summary.csv' THEN n ELSE c END AS total
+    FROM r, (SELECT unnest(['messages.parquet', 'messages.csv', 'messages.json', 'daily_summary.csv', 'totals.json']) AS output)""",
+)
+def run_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs with all their files, found again by the catalogue and read back: rows and characters, for the summary days and messages."""
+    root = work_folder(spark, "runs")
+    rows = entities.rule_entities(toxicity.score_toxicity(sentiment.score_sentiment(messages(spark, folder))), ALIASES)
+    first = F.coalesce(F.col("chat_id") < "src2", F.lit(False))
+    for run, part in zip(_RUNS, (rows.filter(first), rows.filter(~first)), strict=True):
+        outputs.write_run(part, root, run)
+    found = outputs.list_runs(spark, root).withColumn("run_time", F.col("run_time").cast("timestamp_ntz"))
+    parts = []
+    for run in [r["run"] for r in found.select("run").collect()]:
+        for name in (*outputs.MESSAGES, outputs.SUMMARY, outputs.TOTALS):
+            measure = {outputs.SUMMARY: "sum(cast(message_count as bigint))", outputs.TOTALS: "max(characters)"}.get(name, "sum(length(text))")
+            read = outputs.read_output(spark, root, run, name).agg(F.count("*").alias("rows"), F.expr(measure).alias("total"))
+            parts.append(read.select(F.lit(run).alias("run"), F.lit(name).alias("output"), "rows", "total"))
+    return reduce(lambda a, b: a.unionByName(b), parts).join(found.select("run", "run_time", "is_latest"), "run")
+
+
 def _band_sql(value: str, limits, lowest: str) -> str:
     return "CASE " + " ".join(f"WHEN {value} >= {a} THEN '{b}'" for a, b in limits) + f" ELSE '{lowest}' END"
 
