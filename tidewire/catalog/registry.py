@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +64,11 @@ def query(covers: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def also(name: str, of: str) -> None:
+    """Register a query under a second, earlier name."""
+    ENTRIES[name] = replace(ENTRIES[of], name=name)
+
+
 def _load() -> None:
     for module in MODULES:
         import_module(f"tidewire.catalog.{module}")
