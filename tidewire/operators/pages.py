@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import clean_text, col, first_present
+from tidewire.operators.sections import sections
 
 SECTION = "struct<text:string,items:array<string>,link:string,name:string>"
 
@@ -88,10 +89,10 @@ def none_if_empty(array: Column) -> Column:
     return F.when(F.size(array) > 0, array)
 
 
-def page_records(df: DataFrame, html: str = "html", tag: str = "h1") -> DataFrame:
+def page_records(df: DataFrame, html: str = "html", tag: str = "h1", key: str = "page_id") -> DataFrame:
     """Nested record per page, pruned of empty fields, as JSON."""
-    section = section_after(html, tag)
-    rows = df.withColumn("_s", section)
+    found = sections(df, key, html, tag).select(F.col(key), F.struct("text", "items", "link", "name").alias("_s"))
+    rows = df.join(found, key)
     record = F.struct(
         F.col("url").alias("source_url"),
         page_identifier("url", "_s.text", r"/(\d+)(?:\?|$)", r"[0-9a-fA-F-]{10,}").alias("page_code"),
@@ -102,4 +103,4 @@ def page_records(df: DataFrame, html: str = "html", tag: str = "h1") -> DataFram
         ).alias("contact"),
         none_if_empty(F.col("_s.items")).alias("items"),
     )
-    return rows.select("page_id", prune(record).alias("record"))
+    return rows.select(key, prune(record).alias("record"))
