@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -81,14 +82,45 @@ def test_slices_spills_and_forgotten_words_lose_no_count(monkeypatch, lengths):
     monkeypatch.setattr(phrases, "REMEMBERED", 12)
     rows = texts(3)
     batches = [pd.DataFrame([("und" if lang is None else lang, t) for _, lang, t in rows[i : i + 20] if t is not None], columns=["_lang", "_text"]) for i in range(0, len(rows), 20)]
-    got = defaultdict(Counter)
+    got, total, where = defaultdict(Counter), Counter(), {}
     runs = list(phrases._counter(lengths, None, 3, 10)(iter(batches)))
     for run in runs:
-        for lang, phrase, words, n in run.itertuples(index=False):
-            assert words == len(phrase.split(" ")) and words in lengths
-            got[lang][phrase] += n
+        for part, lang, found, counts in run.itertuples(index=False):
+            if found == [""]:
+                total[lang] += counts[0]
+                continue
+            begins = {}
+            for phrase, n in zip(found, counts):
+                assert len(phrase.split(" ")) in lengths
+                begins.setdefault(tuple(phrase.split(" ")[:2]), []).append(phrase)
+                got[lang][phrase] += n
+            where.update({(lang, w): part for w in begins if where.setdefault((lang, w), part) == part})
+            assert all(where[lang, w] == part for w in begins)
     want = counted(rows, lengths)
     assert got == {k: v for k, v in want.items() if v} and len(runs) > 5
+    assert total == {k: sum(v.values()) for k, v in counted(rows, (1,)).items() if v}
+
+
+def test_slots_of_all_tasks_hold_every_frequent_phrase(monkeypatch):
+    monkeypatch.setattr(phrases, "SLICE_CHARS", 40)
+    monkeypatch.setattr(phrases, "BATCH_TOKENS", 15)
+    monkeypatch.setattr(phrases, "SLOT_ROOM", 60)
+    rows = texts(3)
+    batch = pd.DataFrame([("und" if lang is None else lang, t) for _, lang, t in rows if t is not None], columns=["_lang", "_text"])
+    ranges, found = 16, Counter()
+    for run in phrases._slot_runs((1, 2, 3, 4), 30, ranges)(iter([batch[:90], batch[90:]])):
+        for number, low, high, counts in run.itertuples(index=False):
+            gaps = np.frombuffer(low, np.uint16).astype(np.uint64) | np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16)
+            slots = np.cumsum(gaps, dtype=np.uint64) | np.uint64(number) << np.uint64(phrases.SLOT_BITS - 4)
+            assert (np.diff(slots.astype(np.int64)) > 0).all()
+            found.update(dict(zip(slots.tolist(), np.frombuffer(counts, np.uint8).tolist())))
+    want = Counter()
+    for lang, f in counted(rows).items():
+        for phrase, n in f.items():
+            h = np.array([phrases.word_hash(lang, w.encode()) for w in phrase.split(" ")], np.uint64)
+            want[int(phrases._slots(phrases.phrase_hashes(h, len(h)))[0])] += n
+    # a run's counts stop at 30
+    assert found.keys() == want.keys() and all(min(found[s], 30) == min(n, 30) for s, n in want.items())
 
 
 def test_trie_bursts_and_spills_whole_subtrees():

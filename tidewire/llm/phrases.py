@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,13 +19,15 @@ from tidewire.llm.keys import stored
 #: Longest phrase; a phrase is packed as one word id and up to three more of ID_BITS bits.
 LONGEST, ID_BITS = 4, 21
 #: A container of a trie bursts beyond so many phrases, and a trie spills beyond so many.
-BURST, ROOM = 4096, 600_000
+BURST, ROOM = 4096, 400_000
 #: Words that a task remembers, frequent or not.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Tokens counted at once.
 BATCH_TOKENS = 400_000
 #: A longer text is read in slices of so many characters.
 SLICE_CHARS = 2_000_000
+#: Bits of a phrase's slot in the first pass, and hashes that a task holds there.
+SLOT_BITS, SLOT_ROOM = 40, 3_000_000
 #: Bits of the filter of frequent phrases, as a power of two: 8 MB whatever the input.
 FILTER_BITS = 26
 
@@ -145,8 +148,45 @@ class PhraseTrie:
             yield first, [pair for leaf in leaves for pair in sorted(leaf.counts.items())]
 
 
+class _Hashes(dict):
+    """Hash of each word of one language, 0 for the end of a piece; remembered in bounded memory."""
+
+    def __init__(self, lang: str):
+        super().__init__()
+        self.lang = lang
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        h = 0 if word == _END else word_hash(self.lang, word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
+def _filter_bits_of(slots: np.ndarray) -> np.ndarray:
+    return mixed(slots) >> _U(64 - FILTER_BITS)
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> _U(64 - SLOT_BITS)
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return bits_set(bits, _filter_bits_of(_slots(hashes)))
+
+
+def _whole(breaks: np.ndarray, length: int, starts: int) -> np.ndarray:
+    """Which of the first ``starts`` words begin a run of ``length`` words of one piece."""
+    n = max(min(len(breaks) - length + 1, starts), 0)
+    ok = np.ones(n, dtype=bool)
+    for j in range(length):
+        ok &= ~breaks[j : j + n]
+    return ok
+
+
 class _Words:
-    """Word ids of a task: 0 for piece ends and words that cannot be part of a candidate."""
+    """Word ids of a task: 0 for piece ends and words that cannot be frequent."""
 
     def __init__(self, bits: np.ndarray | None):
         self.bits = bits
@@ -162,15 +202,17 @@ class _Words:
         ids = self.ids.setdefault(lang, {_END: 0})
         found = list(map(ids.get, tokens))
         if None in found:
-            for word in dict.fromkeys(t for t, i in zip(tokens, found, strict=True) if i is None):
-                h = word_hash(lang, word)
-                if self.bits is None or _passes(self.bits, phrase_hashes(np.array([h], _U), 1))[0]:
+            new = list(dict.fromkeys(t for t, i in zip(tokens, found, strict=True) if i is None))
+            hashes = [word_hash(lang, w) for w in new]
+            ok = np.ones(len(new), dtype=bool) if self.bits is None else _passes(self.bits, phrase_hashes(np.array(hashes, _U), 1))
+            for word, h, counts in zip(new, hashes, ok.tolist(), strict=True):
+                if counts:
                     ids[word] = len(self.words)
                     self.words.append((lang, word))
                     self.hashes.append(h)
                 else:
                     ids[word] = 0
-                self.known += 1
+            self.known += len(new)
             found = list(map(ids.__getitem__, tokens))
         return np.array(found, dtype=np.int64)
 
@@ -178,26 +220,21 @@ class _Words:
         return self.known > REMEMBERED
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> _U(64 - FILTER_BITS)
-
-
-def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return bits_set(bits, _slots(hashes))
-
-
-def _packed(ids: np.ndarray, lengths: tuple[int, ...], starts: int, allowed) -> tuple[np.ndarray, np.ndarray]:
+def _packed(ids: np.ndarray, hashes: np.ndarray, lengths: tuple[int, ...], starts: int, bits: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """First word and packed rest of every phrase of the given lengths that may be frequent and begins among the first ``starts`` words."""
-    firsts, rests = [], []
+    firsts, rests = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    breaks, before = ids == 0, None
     for length in lengths:
-        n = min(len(ids) - length + 1, starts)
-        if n <= 0:
-            continue
-        ok = np.ones(n, dtype=bool)
-        for j in range(length):
-            ok &= ids[j : j + n] > 0
-        if allowed is not None:
-            ok &= allowed(length, n)
+        ok = _whole(breaks, length, starts)
+        if bits is not None and length > 1:
+            at = np.flatnonzero(ok)
+            if before is not None:
+                # a phrase is no more frequent than the one it begins with
+                at = at[before[at]]
+            passed = at[_passes(bits, phrase_hashes(hashes, length)[at])]
+            ok = np.zeros(len(ok), dtype=bool)
+            ok[passed] = True
+        before = ok if length > 1 else None
         at = np.flatnonzero(ok)
         rest = np.zeros(len(at), dtype=np.int64)
         for j in range(1, LONGEST):
@@ -206,21 +243,18 @@ def _packed(ids: np.ndarray, lengths: tuple[int, ...], starts: int, allowed) ->
                 rest |= ids[at + j]
         firsts.append(ids[at])
         rests.append(rest)
-    if not firsts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(firsts), np.concatenate(rests)
 
 
-_RUN = ["lang", "phrase", "words", "n"]
-_RUN_TYPES = "lang string, phrase string, words int, n long"
+_RUN = ["part", "lang", "phrases", "counts"]
+_RUN_TYPES = "part int, lang string, phrases array<string>, counts array<long>"
 
 
-def _counter(lengths: tuple[int, ...], filter_bits, burst: int, room: int):
-    """Count the phrases of the given lengths in a task and return sorted runs of them.
+def _counter(lengths: tuple[int, ...], filter_bits, burst: int, room: int, parts_of: int = 4096):
+    """Count the phrases of the given lengths in a task and return sorted runs of them per prefix partition.
 
-    ``filter_bits`` is the broadcast filter of frequent words and word pairs: a
-    phrase is counted if all its words and, beyond two words, all its
-    word pairs pass. It may let others pass, but holds no frequent one back.
+    Only phrases that pass the broadcast filter of frequent ones are counted; it may let others pass, but holds no frequent one back.
+    A prefix partition has the phrases of a language that begin with the same two words, by hash. The empty phrase counts all words.
     """
     low = (1 << ID_BITS) - 1
     ahead = max(lengths) - 1
@@ -230,30 +264,29 @@ def _counter(lengths: tuple[int, ...], filter_bits, burst: int, room: int):
         words, trie = _Words(bits), PhraseTrie(burst, room)
 
         def runs(everything: bool) -> Iterator[pd.DataFrame]:
-            out: list[tuple] = []
+            out: dict[tuple[int, str], tuple[list[str], list[int]]] = {}
             for first, run in trie.runs(everything):
                 lang, head = words.words[first]
+                at, phrases, counts = -1, [], []
                 for rest, n in run:
-                    more = [words.words[i][1] for i in (rest >> (2 * ID_BITS), (rest >> ID_BITS) & low, rest & low) if i]
-                    out.append((lang, b" ".join([head, *more]).decode(), 1 + len(more), n))
-                if len(out) >= 50_000:
-                    yield pd.DataFrame(out, columns=_RUN)
-                    out = []
+                    second = rest >> (2 * ID_BITS)
+                    if second != at:
+                        at = second
+                        phrases, counts = out.setdefault(((words.hashes[first] * 3 + words.hashes[second]) % parts_of, lang), ([], []))
+                    more = [words.words[i][1] for i in (second, (rest >> ID_BITS) & low, rest & low) if i]
+                    phrases.append(b" ".join([head, *more]).decode())
+                    counts.append(n)
             if out:
-                yield pd.DataFrame(out, columns=_RUN)
+                yield pd.DataFrame([(part, lang, *run) for (part, lang), run in out.items()], columns=_RUN)
 
         def count_now(ids: np.ndarray, starts: int) -> None:
-            allowed = None
-            if bits is not None and ahead > 1:
-                pair = _passes(bits, phrase_hashes(np.array(words.hashes, dtype=_U)[ids], 2))
-
-                def allowed(length: int, n: int) -> np.ndarray:
-                    ok = pair[:n].copy()
-                    for j in range(1, length - 1):
-                        ok &= pair[j : j + n]
-                    return ok
-
-            firsts, rests = _packed(ids, lengths, starts, allowed)
+            firsts, rests = _packed(ids, np.array(words.hashes, dtype=_U)[ids], lengths, starts, bits)
+            if not len(firsts):
+                return
+            single = np.bincount(firsts[rests == 0], minlength=1)
+            for i in np.flatnonzero(single).tolist():
+                trie.add(i, [0], [int(single[i])])
+            firsts, rests = firsts[rests != 0], rests[rests != 0]
             if not len(firsts):
                 return
             order = np.lexsort((rests, firsts))
@@ -265,11 +298,13 @@ def _counter(lengths: tuple[int, ...], filter_bits, burst: int, room: int):
             for a, b in zip(edges, edges[1:], strict=False):
                 trie.add(int(firsts[a]), rests[a:b], counts[a:b])
 
-        end, parts, held = np.zeros(1, dtype=np.int64), [], 0
+        end, parts, held, total = np.zeros(1, dtype=np.int64), [], 0, Counter()
         for batch in batches:
             for lang, text in zip(batch["_lang"], batch["_text"], strict=True):
                 for part in slices(text):
-                    parts.append(words.look_up(lang, pieces_and_words(part)))
+                    tokens = pieces_and_words(part)
+                    total[lang] += len(tokens) - tokens.count(_END)
+                    parts.append(words.look_up(lang, tokens))
                     held += len(parts[-1])
                     if held >= BATCH_TOKENS or words.full():
                         # the last words may begin phrases that go on in the next slice: they are counted then
@@ -286,50 +321,144 @@ def _counter(lengths: tuple[int, ...], filter_bits, burst: int, room: int):
             ids = np.concatenate(parts)
             count_now(ids, len(ids))
         yield from runs(True)
+        yield pd.DataFrame([(0, lang, [""], [n]) for lang, n in total.items() if n], columns=_RUN)
 
     return count
 
 
-def _frequent_filter(frequent: DataFrame) -> Broadcast:
-    """Broadcast bitmap of the words and word pairs of ``frequent``."""
+def _slot_runs(lengths: tuple[int, ...], least: int, ranges: int):
+    """Count the slots of all phrases of a task, and return them as sorted runs cut into ranges of slots.
+
+    Counts stop at ``least``, and slots are written as differences, low and high halves apart, so a run takes a few bytes a phrase.
+    """
+    ahead, width = max(lengths) - 1, SLOT_BITS - ranges.bit_length() + 1
+    small = np.uint8 if least < 256 else np.uint32
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        slots, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(slots, kind="stable")
+        slots, counts = slots[order], counts[order]
+        new = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+        return slots[new], np.minimum(np.add.reduceat(counts.astype(np.int64), new), least).astype(small)
+
+    def rows(slots: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        numbers = slots >> _U(width)
+        first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+        gaps = np.diff(slots, prepend=_U(0))
+        gaps[first] = slots[first] & _U((1 << width) - 1)
+        low, high = (gaps & _U(0xFFFF)).astype(np.uint16), (gaps >> _U(16)).astype(np.uint32)
+        out = [(int(numbers[a]), low[a:b].tobytes(), high[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(slots)], strict=True)]
+        return pd.DataFrame(out, columns=["range", "low", "high", "counts"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, _Hashes] = {}
+        parts: list[np.ndarray] = []
+        held, runs, room = 0, [], 0
+        end = np.zeros(1, _U)
+
+        def count_now(h: np.ndarray, starts: int) -> None:
+            nonlocal room
+            breaks = h == 0
+            found = []
+            for k in lengths:
+                ok = _whole(breaks, k, starts)
+                found.append(_slots(phrase_hashes(h, k)[: len(ok)][ok]))
+            slots, counts = np.unique(np.concatenate(found), return_counts=True)
+            if len(slots):
+                runs.append((slots, np.minimum(counts, least).astype(small)))
+                room += len(slots)
+
+        for batch in batches:
+            for lang, text in zip(batch["_lang"], batch["_text"], strict=True):
+                if lang not in known and len(known) >= 64:
+                    known.clear()
+                hashes = known.setdefault(lang, _Hashes(lang))
+                for part in slices(text):
+                    tokens = pieces_and_words(part)
+                    parts.append(np.fromiter(map(hashes.__getitem__, tokens), dtype=_U, count=len(tokens)))
+                    held += len(tokens)
+                    if held >= BATCH_TOKENS:
+                        h = np.concatenate(parts)
+                        starts = max(0, len(h) - ahead)
+                        count_now(h, starts)
+                        parts, held = [h[starts:]], ahead
+                        if room >= SLOT_ROOM:
+                            yield rows(*merged(runs))
+                            runs, room = [], 0
+                parts.append(end)
+        if parts:
+            h = np.concatenate(parts)
+            count_now(h, len(h))
+        if runs:
+            yield rows(*merged(runs))
+
+    return read
+
+
+def _ranges(df: DataFrame) -> int:
+    """A power of two, many times the number of shuffle partitions."""
+    return max(4096, 1 << (int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 16).bit_length())
 
-    @F.pandas_udf("long")
-    def slot(langs: pd.Series, phrases: pd.Series) -> pd.Series:
-        out = []
-        for lang, phrase in zip(langs, phrases, strict=True):
-            h = np.array([word_hash(lang, w) for w in phrase.encode().split(b" ")], dtype=_U)
-            out.append(int(_slots(phrase_hashes(h, len(h)))[0]))
-        return pd.Series(out, dtype="int64")
 
-    return shared_bits(frequent.select(slot("lang", "phrase").alias("_slot")), "_slot", FILTER_BITS)
+def _frequent_filter(texts: DataFrame, lengths: tuple[int, ...], least: int) -> Broadcast:
+    """Broadcast bitmap that holds every phrase with at least ``least`` occurrences.
+
+    All phrases are counted by a slot of ``SLOT_BITS`` bits; the runs of the tasks meet per range of slots, of which there are many more
+    than shuffle partitions. Slots are so many that hardly any two phrases of a corpus share one, and a shared one lets a phrase pass that need not.
+    """
+    ranges = _ranges(texts)
+    width = SLOT_BITS - ranges.bit_length() + 1
+    small = np.uint8 if least < 256 else np.uint32
+
+    def frequent(runs: pd.DataFrame) -> pd.DataFrame:
+        slots, counts = [], []
+        for low, high, n in zip(runs["low"], runs["high"], runs["counts"], strict=True):
+            gaps = np.frombuffer(low, np.uint16).astype(_U) | np.frombuffer(high, np.uint32).astype(_U) << _U(16)
+            slots.append(np.cumsum(gaps, dtype=_U))
+            counts.append(np.frombuffer(n, small).astype(np.int64))
+        slot, count = np.concatenate(slots), np.concatenate(counts)
+        order = np.argsort(slot, kind="stable")
+        slot, count = slot[order], count[order]
+        new = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        found = slot[new][np.add.reduceat(count, new) >= least] | _U(int(runs["range"].iloc[0])) << _U(width)
+        return pd.DataFrame({"bit": _filter_bits_of(found).astype(np.int64)})
+
+    runs = texts.mapInPandas(_slot_runs(lengths, least, ranges), "range int, low binary, high binary, counts binary")
+    return shared_bits(runs.groupBy("range").applyInPandas(frequent, "bit long"), "bit", FILTER_BITS)
+
+
+def _merged(least: int):
+    """Add up the runs of a prefix partition of one language, and keep what is frequent."""
+
+    def merge(runs: pd.DataFrame) -> pd.DataFrame:
+        found: Counter = Counter()
+        for phrases, counts in zip(runs["phrases"], runs["counts"], strict=True):
+            for phrase, n in zip(phrases, counts.tolist(), strict=True):
+                found[phrase] += n
+        kept = [(p, n) for p, n in found.items() if n >= least or not p]
+        lang = str(runs["lang"].iloc[0])
+        rows = [(lang, p, p.count(" ") + 1, n) for p, n in kept]
+        return pd.DataFrame(np.array(rows, dtype=object).reshape(len(rows), 4), columns=["lang", "phrase", "words", "f"]).astype({"words": "int32", "f": "int64"})
+
+    return merge
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, burst: int = BURST, room: int = ROOM) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, f`` of all phrases of one to four words with at least ``least`` occurrences, and ``lang, n`` of all words.
 
-    Three passes count words, word pairs, and longer phrases. Each task keeps a
-    ``PhraseTrie`` and writes its subtrees as sorted runs, which stay on the shared
-    folder; a range shuffle of the runs by phrase deals them into prefix
-    partitions of like size, where equal phrases are added up. A phrase is as
-    rare as its rarest part, so a pass counts only phrases whose words and pairs pass the filter of frequent
-    ones: a bitmap of fixed size that may pass too much, never too little.
+    A first pass counts phrases by hash and leaves a filter of the frequent ones:
+    a bitmap of fixed size that may pass too much, never too little. The second
+    pass counts what passes. Each task keeps a ``PhraseTrie`` and sends
+    its subtrees as sorted runs to prefix partitions, many more than tasks, where
+    equal phrases are added up: one run per task and spill, however often a phrase occurs.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("_lang"), F.col(text_col).alias("_text")).filter("_text is not null")
-
-    def merged(lengths: tuple[int, ...], filter_bits) -> DataFrame:
-        runs = stored(texts.mapInPandas(_counter(lengths, filter_bits, burst, room), _RUN_TYPES), "runs")
-        return runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("f"))
-
-    words = stored(merged((1,), None), "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = words.filter(F.col("f") >= least)
-    shared = _frequent_filter(frequent)
-    pairs = stored(merged((2,), shared).filter(F.col("f") >= least), "pairs")
-    shared.destroy()
-    shared = _frequent_filter(frequent.unionByName(pairs))
-    longer = stored(merged((3, 4), shared).filter(F.col("f") >= least), "longer")
+    lengths = tuple(range(1, LONGEST + 1))
+    shared = _frequent_filter(texts, lengths, least)
+    runs = texts.mapInPandas(_counter(lengths, shared, burst, room, _ranges(texts)), _RUN_TYPES)
+    counts = stored(runs.groupBy("part", "lang").applyInPandas(_merged(least), "lang string, phrase string, words int, f long"), "counts")
     shared.destroy()
-    return frequent.unionByName(pairs).unionByName(longer), totals
+    return counts.filter("phrase <> ''"), counts.filter("phrase = ''").select("lang", F.col("f").alias("n"))
 
 
 def _counted(cuts: DataFrame, counts: DataFrame, part: str, name: str, salts: int = 16) -> DataFrame:
