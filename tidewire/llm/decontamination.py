@@ -64,8 +64,8 @@ def spaced_seed_overlaps(
     so the documents are read once and their texts never shuffled.
 
     Before the join, document hashes pass a bitmap of ``2**filter_bits`` bits
-    folded from the benchmark's hashes. It is broadcast as at most
-    ``2**filter_bits / 64`` rows, whatever the benchmark's size; false positives
+    folded from the benchmark's hashes. It is broadcast in pieces of 4 KB, 2 MB in
+    all, whatever the benchmark's size; false positives
     fall at the join. Passages that many documents share make hot hashes, so both
     sides of the join carry a salt.
     """
@@ -76,14 +76,18 @@ def spaced_seed_overlaps(
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("_text"))
     seeds = _positions(items, ["item_id"], "_text", shortest).filter("_p is not null")
     seeds = seeds.select("item_id", F.explode(F.array(*[F.struct(_hash(i, m).alias("h"), _around(window, m).alias("item_words")) for i, m in enumerate(masks)])).alias("s")).select("item_id", "s.*").filter("h is not null")
-    bitmap = seeds.select(F.col("h").bitwiseAND(fold).alias("b")).select(F.shiftright("b", 6).cast("int").alias("_slot"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    bits = seeds.select(F.col("h").bitwiseAND(fold).alias("b")).select(F.shiftright("b", 6).cast("int").alias("_slot"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    # pieces of 512 words, so that the broadcast has few rows
+    words = F.map_from_entries(F.collect_list(F.struct(F.col("_slot").bitwiseAND(511).alias("i"), "_bits")))
+    bitmap = bits.groupBy(F.shiftright("_slot", 9).alias("_piece")).agg(words.alias("_m")).select("_piece", F.transform(F.sequence(F.lit(0), F.lit(511)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0).cast("long"))).alias("_bits"))
 
     spots = _positions(docs.select(*row_keys(id_col, text_col), F.col(text_col).alias("_text")), ["_k1", "_k2"], "_text", shortest).filter("_p is not null")
     spots = spots.select("*", *[_hash(i, m).alias(f"_h{i}") for i, m in enumerate(masks)])
     for i in range(len(masks)):
-        slot = F.shiftright(F.col(f"_h{i}").bitwiseAND(fold), 6).cast("int")
-        spots = spots.withColumn(f"_s{i}", slot).join(F.broadcast(bitmap.select(F.col("_slot").alias(f"_s{i}"), F.col("_bits").alias(f"_b{i}"))), f"_s{i}", "left").drop(f"_s{i}")
-        hit = F.bit_get(F.col(f"_b{i}"), F.col(f"_h{i}").bitwiseAND(63).cast("int")) == 1
+        slot = F.col(f"_h{i}").bitwiseAND(fold)
+        piece = bitmap.select(F.col("_piece").alias(f"_s{i}"), F.col("_bits").alias(f"_b{i}"))
+        spots = spots.withColumn(f"_s{i}", F.shiftright(slot, 15).cast("int")).join(F.broadcast(piece), f"_s{i}", "left").drop(f"_s{i}")
+        hit = F.bit_get(F.get(f"_b{i}", F.shiftright(slot, 6).bitwiseAND(511).cast("int")), slot.bitwiseAND(63).cast("int")) == 1
         spots = spots.withColumn(f"_b{i}", F.coalesce(hit, F.lit(False)))
     likely = spots.filter(" or ".join(f"_b{i}" for i in range(len(masks))))
     proposals = likely.select("_k1", "_k2", F.explode(F.array(*[F.when(F.col(f"_b{i}"), F.struct(F.col(f"_h{i}").alias("h"), _around(window, m).alias("words"))) for i, m in enumerate(masks)])).alias("s")).filter("s is not null").select("_k1", "_k2", "s.*")
