@@ -36,3 +36,18 @@ def test_empty_dictionary_and_no_texts(spark):
     assert matching.dictionary_hits(df, none).count() == 0
     assert matching.with_dictionary_hits(df, none).collect()[0]["_listed"] == []
     assert matching.dictionary_hits(df.limit(0), spark.createDataFrame([("a", "A", "ORG", 0)], SCHEMA)).count() == 0
+
+
+def test_joined_ontology_says_the_same_as_rows(spark):
+    from tidewire.operators import topics
+
+    rng = random.Random(9)
+    words = ["alpha", "beta", "gamma", "delta", "new", "york", "city"]
+    ontology = [("One", ("alpha", "new york"), 1.0), ("Two", ("beta", "New  York city", "alpha"), 2.0), ("Three", ("gamma delta",), 0.5)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 15))).title() for _ in range(80)] + [None, "", "nothing here"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0], texts[0]])], "id long, text string")
+    frame = spark.createDataFrame([(i, label, w, k) for i, (label, ks, w) in enumerate(ontology) for k in ks] + [(9, None, 1.0, "alpha"), (9, "Nine", 1.0, None)], "ord int, label string, weight double, keyword string")
+    keep = ["id", "primary_topic", "primary_topic_confidence", "topic_count", "topic_classification"]
+    both = [sorted(str(r) for r in topics.ontology_topics(df, o).select(*keep).collect()) for o in (ontology, frame)]
+    assert both[0] == both[1]
+    assert {r["primary_topic"] for r in topics.ontology_topics(df, frame.limit(0)).collect()} == {"other"}

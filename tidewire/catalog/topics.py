@@ -9,7 +9,8 @@ from tidewire.catalog.messages import messages, texts
 from tidewire.catalog.registry import query, view
 from tidewire.catalog.text_scores import sql_list
 from tidewire.operators import discovery, models, topics
-from tidewire.sources.tables import read_table
+from tidewire.sources.dictionaries import read_ontology
+from tidewire.sources.tables import read_table, work_folder
 
 LABELS = [label for label, _, _ in topics.ONTOLOGY] + ["other"]
 view(
@@ -50,6 +51,16 @@ def message_topics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("P01 P03 S11", "SELECT msg_id, primary_topic, round(confidence, 6) AS confidence, topic_count FROM v_topics")
+def file_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """Topics by an ontology file, written and read back; its keywords are joined."""
+    rows = spark.createDataFrame([(label, list(words), weight) for label, words, weight in topics.ONTOLOGY], "label string, keywords array<string>, weight double")
+    path = work_folder(spark, "ontology")
+    rows.coalesce(1).agg(F.to_json(F.collect_list(F.struct("label", "keywords", "weight"))).alias("value")).write.text(path)
+    found = topics.ontology_topics(texts(spark, folder), read_ontology(spark, f"{path}/*.txt"))
+    return found.select("msg_id", "primary_topic", F.round("primary_topic_confidence", 6).alias("confidence"), "topic_count")
+
+
 @query(
     "P04 A11",
     """SELECT primary_topic, count(*) AS count FROM v_topics GROUP BY primary_topic

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions import lexicons as lex
+from tidewire.functions.bitmap import bitmap, only_in
 from tidewire.functions.spans import sql_text
 from tidewire.functions.text import TOKEN
+from tidewire.operators.matching import text_keys
 
 # (label, keywords, weight)
 Topic = tuple[str, tuple[str, ...], float]
@@ -46,14 +48,32 @@ def keyword_hits(text: str, ontology: Sequence[Topic]) -> Column:
     )
 
 
-def topic_rows(ontology: Sequence[Topic] | DataFrame) -> list[Topic]:
-    """Topics in order, from a sequence or from the frame of ``read_ontology``, which is one file."""
-    if not isinstance(ontology, DataFrame):
-        return list(ontology)
-    found: dict[int, tuple[str, list[str], float]] = {}
-    for r in ontology.select("ord", "label", "keyword", "weight").filter("label IS NOT NULL AND keyword IS NOT NULL").collect():
-        found.setdefault(r["ord"], (r["label"], [], r["weight"]))[1].append(r["keyword"])
-    return [(label, tuple(sorted(words)), weight) for _, (label, words, weight) in sorted(found.items())]
+def _joined_shares(df: DataFrame, ontology: DataFrame, text: str, salts: int = 16) -> DataFrame:
+    """``_t1, _t2`` (see ``text_keys``) and ``_shares`` for texts with a keyword, from an ontology of any size.
+
+    Token runs as long as some keyword pass a bitmap of fixed size and meet the keywords in a salted join. Only the
+    numbers of words that keywords have, a few, reach the driver. Copies of a text are counted together, which leaves their shares as they are.
+    """
+    phrase = F.trim(F.regexp_replace(F.lower("keyword"), r"\s+", " "))
+    known = ontology.filter("label IS NOT NULL AND keyword IS NOT NULL").select("ord", "label", F.col("weight").cast("double").alias("weight"), phrase.alias("phrase")).filter("phrase <> ''")
+    known = known.distinct().withColumns({"size": F.size(F.split("phrase", " ")), "h": F.xxhash64("phrase")})
+    sizes = [r["size"] for r in known.select("size").distinct().collect()]
+    if not sizes:
+        return df.sparkSession.createDataFrame([], "_t1 long, _t2 long, _shares array<struct<confidence:double,ord:int,topic:string>>")
+    rows = df.select(*text_keys(text), F.expr(f"regexp_extract_all(lower({text}), {sql_text(TOKEN)}, 0)").alias("_w")).filter("_w IS NOT NULL")
+    bits, found = bitmap(known, "h"), None
+    for size in sizes:
+        spots = rows.select("_t1", "_t2", "_w", F.explode(F.when(F.size("_w") >= size, F.sequence(F.lit(1), F.size("_w") - (size - 1)))).alias("_p"))
+        spots = spots.select("_t1", "_t2", F.array_join(F.slice("_w", F.col("_p"), size), " ").alias("phrase")).withColumn("h", F.xxhash64("phrase"))
+        part = only_in(spots, "h", bits).select("_t1", "_t2", "phrase")
+        found = part if found is None else found.unionByName(part)
+    counts = found.groupBy("_t1", "_t2", "phrase").agg(F.count(F.lit(1)).alias("n")).withColumn("_salt", F.pmod("_t1", F.lit(salts)).cast("int"))
+    side = known.select("ord", "label", "weight", "phrase").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    scores = counts.join(side, ["phrase", "_salt"]).groupBy("_t1", "_t2", "ord").agg(F.first("label").alias("topic"), (F.sum("n") * F.first("weight")).alias("s"))
+    every = scores.groupBy("_t1", "_t2").agg(F.array_sort(F.collect_list(F.struct("ord", "topic", "s"))).alias("_all"))
+    total = F.aggregate("_all", F.lit(0.0), lambda a, x: a + x["s"])
+    shares = F.transform("_all", lambda x: F.struct((x["s"] / total).alias("confidence"), (-x["ord"]).cast("int").alias("ord"), x["topic"].alias("topic")))
+    return every.select("_t1", "_t2", F.filter(shares, lambda x: x["confidence"] > 0).alias("_shares"))
 
 
 def ontology_topics(
@@ -63,9 +83,13 @@ def ontology_topics(
 
     A topic's confidence is its share of all weighted matches. Topics at or above
     the threshold are kept; the primary topic is the best, earlier topics winning
-    ties, and ``other`` with 0.0 when nothing matched.
+    ties, and ``other`` with 0.0 when nothing matched. An ontology given as rows is
+    tested inside the row; one given as the frame of ``read_ontology`` is joined and may have any size.
     """
-    ontology = topic_rows(ontology)
+    if isinstance(ontology, DataFrame):
+        first, second = text_keys(text)
+        keyed = df.withColumns({"_t1": first, "_t2": second}).join(_joined_shares(df, ontology, text), ["_t1", "_t2"], "left")
+        return add_topic_columns(keyed, "_shares", threshold).drop("_t1", "_t2", "_shares")
     scores = [
         F.struct(
             F.lit(label).alias("topic"),
