@@ -79,10 +79,34 @@ def op6_adaptive_dimension_search(spark: SparkSession, folder: str) -> DataFrame
     return neighbours.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def _components_sql(k: int, p: int, more: str = "") -> str:
+    """Only repeated shingles can link two documents; components by the smallest reachable id, along links between different sets."""
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(w[i:i + {k} - 1], ' '))) END AS g
+  FROM d),
+k AS (SELECT doc_id, len(g) AS n, md5(array_to_string(list_sort(g), chr(10))) AS h, g FROM s),
+c AS (SELECT h, min(doc_id) AS doc_id, any_value(n) AS n, any_value(g) AS g FROM k WHERE n > 0 GROUP BY h),
+u AS (SELECT doc_id, n, hash(unnest(g)) AS x FROM c),
+l AS (
+  SELECT a.doc_id AS p, b.doc_id AS q FROM u AS a JOIN u AS b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= {p} * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {p} * (a.n + b.n - count(*))),
+e AS (SELECT p, q FROM l UNION ALL SELECT q, p FROM l),
+r(node, low) AS (SELECT doc_id, doc_id FROM c UNION SELECT e.q, r.low FROM r JOIN e ON e.p = r.node WHERE r.low < e.q),
+m AS (SELECT node, min(low) AS low FROM r GROUP BY node)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.low, k.doc_id) AS component_id{more} FROM k LEFT JOIN c ON c.h = k.h AND k.n > 0 LEFT JOIN m ON m.node = c.doc_id
+"""
+
+
 def op7_odd_sketch_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, folder, "documents"))
 
 
+OP7_SQL = _components_sql(5, 75, ", coalesce(m.low, k.doc_id) = k.doc_id AS kept")
+
+
 def op8_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -163,24 +187,7 @@ def op13_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.jaccard_components(_table(spark, folder, "documents"))
 
 
-#: Only repeated shingles can link two documents; components by the smallest reachable id, along links between different sets.
-OP13_SQL = r"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (
-  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g
-  FROM d),
-k AS (SELECT doc_id, len(g) AS n, md5(array_to_string(list_sort(g), chr(10))) AS h, g FROM s),
-c AS (SELECT h, min(doc_id) AS doc_id, any_value(n) AS n, any_value(g) AS g FROM k WHERE n > 0 GROUP BY h),
-u AS (SELECT doc_id, n, hash(unnest(g)) AS x FROM c),
-l AS (
-  SELECT a.doc_id AS p, b.doc_id AS q FROM u AS a JOIN u AS b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
-e AS (SELECT p, q FROM l UNION ALL SELECT q, p FROM l),
-r(node, low) AS (SELECT doc_id, doc_id FROM c UNION SELECT e.q, r.low FROM r JOIN e ON e.p = r.node WHERE r.low < e.q),
-m AS (SELECT node, min(low) AS low FROM r GROUP BY node)
-SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.low, k.doc_id) AS component_id FROM k LEFT JOIN c ON c.h = k.h AND k.n > 0 LEFT JOIN m ON m.node = c.doc_id
-"""
+OP13_SQL = _components_sql(4, 85)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
@@ -193,6 +200,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
 ORACLE: dict[str, str] = {
     "op2_spaced_seed_decontamination": OP2_SQL,
     "op3_line_hashing": OP3_SQL,
+    "op7_odd_sketch_near_duplicates": OP7_SQL,
     "op9_systematic_mixing": OP9_SQL,
     "op11_trie_collocations": OP11_SQL,
     "op13_parity_sketch_join": OP13_SQL,
