@@ -183,6 +183,43 @@ def _repair_digest(raw: DataFrame, repaired: conversations.Repair) -> DataFrame:
     return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+#: CRC-32 byte by byte, then one row after the other: the best way to each of the four states.
+OP12_SQL = r"""
+WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+f AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS f FROM raw),
+d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN f = 3 THEN [1, 2] ELSE [1] END) FROM f WHERE f > 0)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
+m AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'B' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'D'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'T' ELSE '' END AS kind, role[1:1] AS c, lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'B') AS blank, count(*) FILTER (kind = 'D') AS duplicate,
+    count(*) FILTER (kind = 'T') AS truncated, count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM m GROUP BY conv_id),
+p AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': '', 't': ''} AS e, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS s, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS u, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS v FROM g
+  UNION ALL
+  SELECT conv_id, i,
+    CASE WHEN e IS NOT NULL THEN {'c': e.c + 4, 'a': e.a || 'D', 't': e.t} END,
+    list_min([CASE WHEN s IS NOT NULL THEN {'c': s.c + 4, 'a': s.a || 'D', 't': s.t} END, CASE WHEN free AND r = 's' AND e IS NOT NULL THEN {'c': e.c + x, 'a': e.a || 'K', 't': e.t || chr(10) || line} END]),
+    list_min([CASE WHEN u IS NOT NULL THEN {'c': u.c + 4, 'a': u.a || 'D', 't': u.t} END] || list_transform([e, s, v], lambda q: CASE WHEN free AND q IS NOT NULL THEN CASE WHEN r = 'u' THEN {'c': q.c + x, 'a': q.a || 'K', 't': q.t || chr(10) || line} ELSE {'c': q.c + x + 3, 'a': q.a || 'R', 't': q.t || chr(10) || 'user:' || text} END END)),
+    list_min([CASE WHEN v IS NOT NULL THEN {'c': v.c + 4, 'a': v.a || 'D', 't': v.t} END, CASE WHEN free AND u IS NOT NULL THEN CASE WHEN r = 'a' THEN {'c': u.c + x, 'a': u.a || 'K', 't': u.t || chr(10) || line} ELSE {'c': u.c + x + 3, 'a': u.a || 'R', 't': u.t || chr(10) || 'assistant:' || text} END END])
+  FROM (
+    SELECT q.conv_id, m.i, m.kind IN ('', 'T') AS free, CASE WHEN m.kind = 'T' THEN 3 ELSE 0 END AS x, m.c AS r, m.role || ':' || m.text AS line, m.text, q.e, q.s, q.u2 AS u,
+      list_min([q.v, CASE WHEN q.u2 IS NOT NULL THEN {'c': q.u2.c + 3, 'a': q.u2.a || 'I', 't': q.u2.t || chr(10) || 'assistant:'} END]) AS v
+    FROM (SELECT *, list_min([u] || list_transform([e, s, v], lambda q: CASE WHEN q IS NOT NULL THEN {'c': q.c + 3, 'a': q.a || 'I', 't': q.t || chr(10) || 'user:'} END)) AS u2 FROM p) q
+    JOIN m ON m.conv_id IS NOT DISTINCT FROM q.conv_id AND m.i = q.i + 1)),
+z AS (
+  SELECT p.conv_id, list_min([e, v, CASE WHEN u IS NOT NULL THEN {'c': u.c + 3, 'a': u.a || 'I', 't': u.t || chr(10) || 'assistant:'} END]) AS best FROM p JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id AND g.n = p.i)
+SELECT r.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) r LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM r.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
 def op13_parity_sketch_join(spark: SparkSession, folder: str) -> DataFrame:
     return parity_join.jaccard_components(_table(spark, folder, "documents"))
 
@@ -203,5 +240,6 @@ ORACLE: dict[str, str] = {
     "op7_odd_sketch_near_duplicates": OP7_SQL,
     "op9_systematic_mixing": OP9_SQL,
     "op11_trie_collocations": OP11_SQL,
+    "op12_lightest_repair": OP12_SQL,
     "op13_parity_sketch_join": OP13_SQL,
 }
