@@ -4,6 +4,7 @@ import numpy as np
 
 from tidewire.llm import parity_join as pj
 from tidewire.llm import queries
+from tidewire.llm.linking import folded
 
 
 def word(rng):
@@ -76,7 +77,7 @@ def test_null_ids_repeats_and_no_rows(spark):
 def test_any_linked_pair_shares_a_bucket_and_passes_the_sketch():
     rng = np.random.default_rng(1)
     for percent in (85, 70):
-        for n in (7, 8, 12, 13, 20, 47, 100, 333, 2000):
+        for n in (7, 8, 12, 13, 20, 47, 100, 333, 1010, 4100):
             for _ in range(30):
                 gone = int(rng.integers(0, n * (100 - percent) // 100 + 1))
                 more = int(rng.integers(0, n * (100 - percent) // 100 + 1))
@@ -88,7 +89,8 @@ def test_any_linked_pair_shares_a_bucket_and_passes_the_sketch():
                 (x, *least), (y, *most) = pj.buckets_of(a, percent), pj.buckets_of(b, percent)
                 shared = np.intersect1d(x, y) & 1
                 assert any(np.count_nonzero(shared == side) >= max(1, least[side], most[side]) for side in (0, 1))
-                x, y = (np.frombuffer(pj.parity_sketch(s)[1], np.uint64)[None] for s in (a, b))
+                sketches = [pj.parity_sketch(s)[1] for s in (a, b)]
+                x, y = (folded([k], min(map(len, sketches))) for k in sketches)
                 sizes = np.array([len(a)]), np.array([len(b)])
                 assert pj.hamming_slack(percent, x, y, *sizes, *sizes)[0] >= 0
                 assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * both

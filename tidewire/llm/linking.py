@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,9 +18,15 @@ Slack = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np
 _BLOCK_ROW = "block long, node long, comp long, inside boolean, outside boolean, n int, samples int, sketch binary"
 
 
-def bit_rows(column: pd.Series) -> np.ndarray:
-    """Sketches of equal length as rows of 64-bit words."""
-    return np.frombuffer(b"".join(column), dtype=np.uint64).reshape(len(column), -1) if len(column) else np.zeros((0, 1), np.uint64)
+def folded(sketches: Sequence[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, longer ones folded to ``size`` bytes: the parts are XORed, so a fold differs in no more bits than the whole."""
+    lengths = np.fromiter(map(len, sketches), dtype=np.int64, count=len(sketches))
+    out = np.zeros((len(sketches), size // 8), dtype=np.uint64)
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        parts = np.frombuffer(b"".join([sketches[i] for i in at]), dtype=np.uint64).reshape(len(at), length // size, size // 8)
+        out[at] = np.bitwise_xor.reduce(parts, axis=1)
+    return out
 
 
 def shared_buckets(entries: DataFrame) -> DataFrame:
@@ -59,14 +65,18 @@ def _by_block(answer):
 def _likely_partners(rows: pd.DataFrame, similarity: float, slack: Slack) -> Iterator[tuple[int, int, np.ndarray]]:
     """Block number, an outsider's row and the rows of all members of other components that its sketch may be linked with, the likeliest first."""
     block, comp, n, c, inside, outside = (rows[k].to_numpy() for k in ("block", "comp", "n", "samples", "inside", "outside"))
-    sketches = bit_rows(rows["sketch"])
+    texts = rows["sketch"].tolist()
     edges = np.flatnonzero(np.diff(block)) + 1
     for number, (start, end) in enumerate(zip([0, *edges], [*edges, len(rows)], strict=True)):
         others = start + np.flatnonzero(inside[start:end])
-        for i in start + np.flatnonzero(outside[start:end]):
+        asked = start + np.flatnonzero(outside[start:end])
+        if not len(others) or not len(asked):
+            continue
+        sketches = folded(texts[start:end], min(map(len, texts[start:end])))
+        for i in asked:
             fits = others[(comp[others] != comp[i]) & (np.minimum(n[others], n[i]) >= similarity * np.maximum(n[others], n[i]))]
             if len(fits):
-                room = slack(sketches[fits], sketches[i], n[fits], n[i], c[fits], c[i])
+                room = slack(sketches[fits - start], sketches[i - start], n[fits], n[i], c[fits], c[i])
                 fits = fits[np.argsort(-room, kind="stable")][: np.count_nonzero(room >= 0)]
                 if len(fits):
                     yield number, i, fits
@@ -161,7 +171,12 @@ def linked_classes(members: DataFrame, sets: DataFrame, percent: int, slack: Sla
     def likely(a: pd.Series, b: pd.Series, n1: pd.Series, n2: pd.Series, c1: pd.Series, c2: pd.Series) -> pd.Series:
         n1, n2 = n1.to_numpy(), n2.to_numpy()
         fits = np.minimum(n1, n2) >= similarity * np.maximum(n1, n2)
-        return pd.Series(fits & (slack(bit_rows(a), bit_rows(b), n1, n2, c1.to_numpy(), c2.to_numpy()) >= 0))
+        sizes = np.minimum(a.map(len).to_numpy(), b.map(len).to_numpy())
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size)
+            x, y = folded(a.iloc[at].tolist(), size), folded(b.iloc[at].tolist(), size)
+            fits[at] &= slack(x, y, n1[at], n2[at], c1.to_numpy()[at], c2.to_numpy()[at]) >= 0
+        return pd.Series(fits)
 
     stars = members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     stars = _beside(stars, sets, ["n", "samples", "sketch"]).filter(likely("sketch_a", "sketch_b", "n_a", "n_b", "samples_a", "samples_b"))

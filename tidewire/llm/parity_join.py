@@ -15,8 +15,10 @@ from tidewire.llm.linking import linked_classes, shared_buckets
 from tidewire.llm.near_duplicates import NO_ID, SIGNED, WordHashes, bucket_members, classes_of, decided, digest, full_sets, mix, placed_texts, shingle_set
 
 WORDS = 4
-#: Bits of a block of the wide sketch, as a power of two, and bits of the narrow one that is compared as a whole.
-BLOCK_BITS, BITS = 16, 4096
+#: Bits of a block of the wide sketch, as a power of two.
+BLOCK_BITS = 16
+#: Bits of the narrow sketch, which is compared as a whole, of sets of up to so many elements.
+NARROW = ((1000, 1024), (4000, 4096), (16_000, 16_384), (1 << 62, 65_536))
 
 _U = np.uint64
 
@@ -89,8 +91,9 @@ def buckets_of(s: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
 
 
 def parity_sketch(s: np.ndarray) -> tuple[int, bytes]:
-    """The set's size, and one bit per hash value, flipped by each element: two sketches differ in no more bits than the sets in elements."""
-    odd = np.bincount((mix(s + _U(3)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
+    """The set's size, and one bit per hash value, flipped by each element: two sketches, the longer one folded, differ in no more bits than the sets in elements."""
+    bits = next(b for most, b in NARROW if len(s) <= most)
+    odd = np.bincount((mix(s + _U(3)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return len(s), np.packbits(odd.astype(np.uint8)).tobytes()
 
 
