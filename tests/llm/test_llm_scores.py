@@ -118,6 +118,24 @@ def test_quality_of_held_out_documents(tables):
     assert sum(a == b for a, b in checked) / len(checked) > 0.95
 
 
+def test_ridge_equals_direct_least_squares(spark, tables):
+    docs, labels, _ = tables
+    model = quality.fit(docs.union(docs), labels.union(labels).repartition(5), ridge=1e-2)
+    known = {}
+    for r in labels.collect():
+        if r["doc_id"] is not None and r["quality"] is not None and not held(r["doc_id"]) and zlib.crc32(str(r["doc_id"]).encode()) % 5 != 4:
+            known[r["doc_id"]] = max(known.get(r["doc_id"], 0), r["quality"])
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ids = [i for i in known if i in texts]
+    x, y = np.vstack([quality.statistics(texts[i]) for i in ids]), np.array([known[i] for i in ids], dtype=float)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0), atol=1e-6)
+    a = model.features(x)
+    # least squares with one more row per weight says the same as the ridge penalty
+    extra = np.sqrt(1e-2 * len(ids)) * np.eye(a.shape[1])[:-1]
+    direct = np.linalg.lstsq(np.vstack([a, extra]), np.concatenate([y, np.zeros(len(extra))]), rcond=None)[0]
+    assert len(ids) > 100 and np.allclose(model.raw(x), a @ direct, atol=1e-6)
+
+
 def test_quality_of_empty_tables(tables):
     docs, labels, _ = tables
     assert {r["score"] for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}

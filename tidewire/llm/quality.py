@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.bits import bits_set, shared_bits
 from tidewire.llm.keys import held_out, stored
 
 #: Byte classes whose shares of the text are statistics.
@@ -75,6 +76,55 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.vstack(column.to_numpy()) if len(column) else np.zeros((0, N_STATISTICS))
 
 
+def _statistics_of(wanted) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Statistics of the texts whose slot is set in the broadcast bitmap, a few hundred at a time."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.frombuffer(wanted.value, dtype=np.uint8)
+        for batch in batches:
+            chosen = batch[bits_set(bits, batch["_slot"].to_numpy())]
+            for start in range(0, len(chosen), 512):
+                part = chosen.iloc[start : start + 512]
+                yield pd.DataFrame({"_id": part["_id"], "_tag": part["_tag"], "_x": [statistics(t) for t in part["_text"]]})
+
+    return read
+
+
+def _labelled_statistics(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, bits: int = 26) -> DataFrame:
+    """``_last, _x, _y`` of one text of each labelled id: of several texts the one of smallest hash.
+
+    A bitmap of fixed size tells most labelled texts from the others before they
+    are read; the join with the labels, in which vectors but no texts are shuffled, is exact.
+    """
+    key = F.col(id_col).cast("string")
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << bits)).alias("_slot")
+    wanted = shared_bits(known.select(slot), "_slot", bits)
+    texts = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(key.alias("_id"), slot, F.xxhash64(text_col).alias("_tag"), F.col(text_col).alias("_text"))
+    vectors = texts.mapInPandas(_statistics_of(wanted), "_id string, _tag long, _x array<double>")
+    rows = vectors.join(known.select(key.alias("_id"), "_y"), "_id").groupBy("_id").agg(F.min_by("_x", "_tag").alias("_x"), F.first("_y").alias("_y"))
+    rows = stored(rows.select((F.crc32(F.col("_id").cast("binary")) % 5 == 4).alias("_last"), "_x", "_y"), "statistics")
+    wanted.destroy()
+    return rows
+
+
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The partitions' arrays ``i, row`` added up, as rows of a matrix."""
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"i": [key[0]], "row": [np.sum(np.vstack(rows["row"].to_numpy()), axis=0)]})
+
+    return np.array([r["row"] for r in sorted(parts.groupBy("i").applyInPandas(add, "i int, row array<double>").collect(), key=lambda r: r["i"])])
+
+
+def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Count, sums and sums of squares of a partition."""
+    total = np.zeros((3, N_STATISTICS))
+    for batch in batches:
+        x = _matrix(batch["_x"])
+        total += np.vstack([np.full(N_STATISTICS, len(x)), x.sum(axis=0), (x * x).sum(axis=0)])
+    yield pd.DataFrame({"i": range(3), "row": list(total)})
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     n_features: int = 160, width: float = 4.0, ridge: float = 1e-3, bins: int = 512, seed: int = 10,
@@ -82,29 +132,24 @@ def fit(
     """Learn from every labelled row that is not held out.
 
     Of the four folds of such rows, three fit the ridge scores and one the
-    calibration. Statistics are joined with labels, texts are not shuffled. Each
-    partition sums its own normal equations, ``n_features + 1`` rows of
+    calibration. Only labelled texts are read, and none is shuffled. Each
+    partition sums its own moments and normal equations, ``n_features + 1`` rows of
     that many numbers, which are added up row by row; the driver solves one
-    system of that size. Without labels every score is 0.5.
+    system of that size. Repeated labels of an id count once, as good if any is, and
+    repeated documents of an id as the one whose text has the smallest hash. Without labels every score is 0.5.
     """
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).cast("double").alias("_y"))
-
-    @F.pandas_udf("array<double>")
-    def stats(texts: pd.Series) -> pd.Series:
-        return pd.Series([statistics(t) for t in texts], dtype=object)
-
-    texts = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(id_col, stats(F.col(text_col)).alias("_x"))
-    rows = stored(texts.join(known, id_col).select((F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 4).alias("_last"), "_x", "_y"), "statistics")
+    rows = _labelled_statistics(docs, known, id_col, text_col)
     training = rows.filter("not _last")
-    moments = training.select([F.get("_x", i).alias(f"x{i}") for i in range(N_STATISTICS)]).agg(
-        F.count(F.lit(1)), *[F.avg(f"x{i}") for i in range(N_STATISTICS)], *[F.stddev_pop(f"x{i}") for i in range(N_STATISTICS)],
-    ).first()
+    moments = _summed(training.select("_x").mapInPandas(_moments, "i int, row array<double>"))
+    count = moments[0, 0] if len(moments) else 0.0
     rng = np.random.default_rng(seed)
     frequencies, phases = rng.normal(size=(N_STATISTICS, n_features)) / width, rng.uniform(0, 2 * np.pi, n_features)
-    if not moments[0]:
+    if not count:
         nothing = np.zeros(N_STATISTICS)
         return QualityModel(nothing, nothing + 1, frequencies, phases, np.zeros(n_features + 1), np.array([0.0]), np.array([0.5]))
-    mean, scale = np.array(moments[1 : 1 + N_STATISTICS], dtype=float), np.array(moments[1 + N_STATISTICS :], dtype=float)
+    mean = moments[1] / count
+    scale = np.sqrt(np.maximum(moments[2] / count - mean * mean, 0.0))
     model = QualityModel(mean, np.where(scale > 1e-9, scale, 1.0), frequencies, phases, np.zeros(n_features + 1), np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def normal_equations(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,12 +159,8 @@ def fit(
             total += a.T @ np.column_stack([a, batch["_y"].to_numpy()])
         yield pd.DataFrame({"i": range(len(total)), "row": list(total)})
 
-    def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": [key[0]], "row": [np.sum(np.vstack(parts["row"].to_numpy()), axis=0)]})
-
-    sums = training.select("_x", "_y").mapInPandas(normal_equations, "i int, row array<double>").groupBy("i").applyInPandas(add, "i int, row array<double>")
-    system = np.array([r["row"] for r in sorted(sums.collect(), key=lambda r: r["i"])])
-    penalty = np.eye(n_features + 1) * ridge * moments[0]
+    system = _summed(training.select("_x", "_y").mapInPandas(normal_equations, "i int, row array<double>"))
+    penalty = np.eye(n_features + 1) * ridge * count
     penalty[-1, -1] = 0.0
     model.weights = np.linalg.lstsq(system[:, :-1] + penalty, system[:, -1], rcond=None)[0]
 
@@ -139,7 +180,8 @@ def scored(docs: DataFrame, model: QualityModel, text_col: str = "text", name: s
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.vstack([statistics(t) for t in texts])) if len(texts) else [], dtype="float64")
+        out = [model.score(np.vstack([statistics(t) for t in texts[start : start + 512]])) for start in range(0, len(texts), 512)]
+        return pd.Series(np.concatenate(out) if out else [], dtype="float64")
 
     return docs.withColumn(name, score(F.col(text_col)))
 
