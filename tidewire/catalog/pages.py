@@ -198,3 +198,16 @@ def page_record_fields(spark: SparkSession, folder: str) -> DataFrame:
     rows = page_records(spark, folder).select("page_id", F.from_json("record", shape).alias("r"))
     contact = [F.col(f"r.contact.{c}").alias(c) for c in ("about", "link", "name", "mail", "phone")]
     return rows.select("page_id", "r.source_url", "r.page_code", "r.title", *contact, F.when(F.col("r.items").isNotNull(), F.size("r.items").cast("long")).alias("items"))
+
+
+@query(
+    "H03 H04 H09",
+    """SELECT page_id, i AS pos, part, try_cast(nullif(regexp_extract(part, '\\d+'), '') AS BIGINT) AS number FROM (
+    SELECT page_id, unnest(ps) AS part, generate_subscripts(ps, 1) AS i FROM (SELECT page_id, list_filter(list_transform(regexp_split_to_array(text,
+      '(?i)[,\\n•/]| og | eller '), lambda x: nullif(trim(x), '')), lambda x: x IS NOT NULL) AS ps FROM v_sections WHERE text IS NOT NULL))""",
+)
+def page_section_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts of the text below each page's own first heading, and the first number in each."""
+    found = sections.sections(contact_pages(spark, folder), tag="h1")
+    rows = found.select("page_id", F.posexplode(split_list("text")).alias("p", "part"))
+    return rows.select("page_id", (F.col("p") + 1).cast("long").alias("pos"), "part", pages.first_integer("part").alias("number"))
