@@ -13,6 +13,7 @@ from tidewire.catalog.registry import query, view
 from tidewire.catalog.stance import with_stance
 from tidewire.functions import lexicons as lex
 from tidewire.operators import evaluation, intervals
+from tidewire.sources.tables import cut_lineage
 
 TYPES = lex.ERROR_CATEGORIES
 
@@ -22,33 +23,36 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold(df: DataFrame) -> DataFrame:
+    """Annotations of the parts that ``df`` has."""
     n = F.col("msg_id").cast("long")
-    spans = F.transform(
-        F.filter("quote_spans", lambda s, i: ~((n % 4 == 1) & (i == 1))),
-        lambda s: s.withField("end", F.when(n % 3 == 0, s["start"] + F.floor((s["end"] - s["start"]) * 0.7).cast("int")).otherwise(s["end"]))
-        .withField("speaker", F.when((n % 5 == 2) & (s["span_type"] != "author"), F.lit("Somebody Else")).otherwise(s["speaker"]))
-        .withField("span_type", F.when((n % 6 == 5) & (s["span_type"] == "author"), F.lit("quoted")).otherwise(s["span_type"])),
-    )
-    entities = F.transform(
-        F.filter("entities", lambda e, i: ~((n % 5 == 3) & (i == 0))),
-        lambda e, i: F.struct(
-            e["text"].alias("text"), (e["start"] + F.when(n % 3 == 1, 1).otherwise(0)).alias("start"), e["end"].alias("end"),
-            F.when((n % 4 == 2) & (i == 0), F.lit("ORG")).otherwise(e["type"]).alias("type"),
-            F.when(n % 7 == 0, F.upper(e["text"])).otherwise(e["text"]).alias("canonical_name"),
-        ),
-    )
-    edges = F.transform(
-        F.filter("stance_edges", lambda e: n % 11 != 0),
-        lambda e: F.struct(
-            F.when(n % 8 == 6, F.lit("other")).otherwise(e["speaker"]).alias("speaker"), e["target"].alias("target"),
-            F.when(n % 5 == 0, F.lit("neutral")).otherwise(e["label"]).alias("label"), e["score"].alias("confidence"),
-        ),
-    )
+    truth = {
+        "quote_spans": lambda: F.transform(
+            F.filter("quote_spans", lambda s, i: ~((n % 4 == 1) & (i == 1))),
+            lambda s: s.withField("end", F.when(n % 3 == 0, s["start"] + F.floor((s["end"] - s["start"]) * 0.7).cast("int")).otherwise(s["end"]))
+            .withField("speaker", F.when((n % 5 == 2) & (s["span_type"] != "author"), F.lit("Somebody Else")).otherwise(s["speaker"]))
+            .withField("span_type", F.when((n % 6 == 5) & (s["span_type"] == "author"), F.lit("quoted")).otherwise(s["span_type"])),
+        ).alias("spans"),
+        "entities": lambda: F.transform(
+            F.filter("entities", lambda e, i: ~((n % 5 == 3) & (i == 0))),
+            lambda e, i: F.struct(
+                e["text"].alias("text"), (e["start"] + F.when(n % 3 == 1, 1).otherwise(0)).alias("start"), e["end"].alias("end"),
+                F.when((n % 4 == 2) & (i == 0), F.lit("ORG")).otherwise(e["type"]).alias("type"),
+                F.when(n % 7 == 0, F.upper(e["text"])).otherwise(e["text"]).alias("canonical_name"),
+            ),
+        ).alias("entities"),
+        "stance_edges": lambda: F.transform(
+            F.filter("stance_edges", lambda e: n % 11 != 0),
+            lambda e: F.struct(
+                F.when(n % 8 == 6, F.lit("other")).otherwise(e["speaker"]).alias("speaker"), e["target"].alias("target"),
+                F.when(n % 5 == 0, F.lit("neutral")).otherwise(e["label"]).alias("label"), e["score"].alias("confidence"),
+            ),
+        ).alias("stance_edges"),
+    }
     kind = F.get(F.array(*[F.lit(t) for t in TYPES]), (n % len(TYPES)).cast("int"))
     return df.filter(n % 10 != 9).select(
         n.alias("message_id"),
-        "text",
-        F.struct(spans.alias("spans"), entities.alias("entities"), edges.alias("stance_edges")).alias("ground_truth"),
+        *[c for c in ("text",) if c in df.columns],
+        F.struct(*[make() for part, make in truth.items() if part in df.columns]).alias("ground_truth"),
         F.struct(F.array(kind).alias("error_types")).alias("metadata"),
     )
 
@@ -58,6 +62,12 @@ def aligned(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.align(df, gold(df))
 
 
+def aligned_spans(spark: SparkSession, folder: str, chars: int = 0) -> DataFrame:
+    """The spans of both sides, worked out once; no more of their texts than ``chars`` characters is stored or shuffled."""
+    df = cut_lineage(with_quotes(texts(spark, folder)).select("msg_id", evaluation.light_spans("quote_spans", chars).alias("quote_spans")))
+    return evaluation.align(df, gold(df))
+
+
 view(
     "v_pspans",
     """SELECT *, row_number() OVER (PARTITION BY msg_id ORDER BY start, stop DESC) - 1 AS pos, CAST(msg_id AS BIGINT) AS n FROM (
@@ -151,28 +161,28 @@ _ERRORS = metrics_sql(
 
 @query("J03 V02 V03", "SELECT msg_id, CAST(p AS INTEGER) AS p, CAST(g AS INTEGER) AS g, round(iou, 6) AS iou FROM v_matches_5")
 def span_matches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = intervals.matched_spans(aligned(spark, folder), "pred_spans", "gold_spans", 0.5)
+    rows = intervals.matched_spans(aligned_spans(spark, folder), "pred_spans", "gold_spans", 0.5)
     return rows.select("msg_id", "p", "g", F.round("iou", 6).alias("iou"))
 
 
 @query("V04", _SPANS)
 def span_accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.span_metrics(aligned(spark, folder))
+    return evaluation.span_metrics(aligned_spans(spark, folder))
 
 
 @query("V05", _MESSAGES)
 def message_accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.message_metrics(aligned(spark, folder))
+    return evaluation.message_metrics(aligned_spans(spark, folder))
 
 
 @query("V06", _QUOTES)
 def quote_detection(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.quote_metrics(aligned(spark, folder))
+    return evaluation.quote_metrics(aligned_spans(spark, folder))
 
 
 @query("V07", _ERRORS)
 def attribution_errors(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.attribution_errors(aligned(spark, folder))
+    return evaluation.attribution_errors(aligned_spans(spark, folder))
 
 
 @query(
@@ -180,7 +190,7 @@ def attribution_errors(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT msg_id, ptext[1:100] AS text, ptype AS predicted_type, gtype AS gold_type FROM v_matches_3 WHERE ptype <> gtype ORDER BY msg_id, pstart LIMIT 10",
 )
 def attribution_error_examples(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.type_error_examples(aligned(spark, folder))
+    return evaluation.type_error_examples(aligned_spans(spark, folder, chars=100))
 
 
 @query(
@@ -190,7 +200,7 @@ def attribution_error_examples(spark: SparkSession, folder: str) -> DataFrame:
     (SELECT msg_id, count(*) AS n FROM v_gspans GROUP BY 1) g USING (msg_id)""",
 )
 def aligned_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return aligned(spark, folder).select(
+    return aligned_spans(spark, folder).select(
         "msg_id", F.size("pred_spans").cast("long").alias("predicted_spans"), F.size("gold_spans").cast("long").alias("gold_spans")
     )
 

@@ -19,17 +19,21 @@ QUOTED = ("quoted", "forwarded")
 STANCES = ("support", "oppose", "neutral")
 
 
+def light_spans(spans: Column | str, chars: int = 0) -> Column:
+    """Spans with the first ``chars`` characters of their text: the texts of a message's spans are as long as the message."""
+    return F.transform(spans, lambda s: s.withField("text", F.substring(s["text"], 1, chars)))
+
+
 def align(predictions: DataFrame, gold: DataFrame) -> DataFrame:
-    """Inner join on the message id as text: ``pred_*`` and ``gold_*`` columns."""
+    """Inner join on the message id as text: ``pred_*`` and ``gold_*`` columns, for the parts that either side has."""
     p = predictions.select(
         F.col("msg_id").cast("string").alias("msg_id"),
         *[F.col(c).alias(f"pred_{n}") for c, n in (("quote_spans", "spans"), ("entities", "entities"), ("stance_edges", "edges")) if c in predictions.columns],
     )
+    parts = gold.schema["ground_truth"].dataType.names
     g = gold.select(
         F.col("message_id").cast("string").alias("msg_id"),
-        F.col("ground_truth.spans").alias("gold_spans"),
-        F.col("ground_truth.entities").alias("gold_entities"),
-        F.col("ground_truth.stance_edges").alias("gold_edges"),
+        *[F.col(f"ground_truth.{c}").alias(f"gold_{n}") for c, n in (("spans", "spans"), ("entities", "entities"), ("stance_edges", "edges")) if c in parts],
         F.col("metadata.error_types").alias("error_types"),
     )
     return p.join(g, "msg_id")
@@ -148,7 +152,8 @@ def attribution_errors(aligned: DataFrame) -> DataFrame:
 
 
 def type_error_examples(aligned: DataFrame, limit: int = 10) -> DataFrame:
-    rows = matched_spans(aligned, "pred_spans", "gold_spans", 0.3).filter(F.col("pred.span_type") != F.col("gold.span_type"))
+    shown = aligned.withColumns({c: light_spans(c, 100) for c in ("pred_spans", "gold_spans")})
+    rows = matched_spans(shown, "pred_spans", "gold_spans", 0.3).filter(F.col("pred.span_type") != F.col("gold.span_type"))
     return rows.orderBy("msg_id", "pred.start").limit(limit).select(
         "msg_id", F.substring("pred.text", 1, 100).alias("text"),
         F.col("pred.span_type").alias("predicted_type"), F.col("gold.span_type").alias("gold_type"),
@@ -259,10 +264,13 @@ def error_categories(aligned: DataFrame) -> DataFrame:
 
 
 def system_stats(predictions: DataFrame, gold: DataFrame) -> DataFrame:
-    """Coverage, quotes, entities and stance totals of the predictions."""
+    """Coverage, quotes, entities and stance totals of the predictions, which are worked out once."""
+    predictions = cut_lineage(predictions.select(
+        "has_quotes", "multi_speaker", F.col("entities.text").alias("names"), F.col("stance_edges.label").alias("labels"),
+    ))
     rows = predictions.select(
         F.col("has_quotes").cast("int").alias("q"), F.col("multi_speaker").cast("int").alias("m"),
-        F.size("entities").alias("e"), F.size("stance_edges").alias("s"),
+        F.size("names").alias("e"), F.size("labels").alias("s"),
     )
     main = _metrics(
         rows, "system",
@@ -273,9 +281,9 @@ def system_stats(predictions: DataFrame, gold: DataFrame) -> DataFrame:
         },
     )
     unique = _metrics(
-        unnest(predictions, "entities.text", "t"), "system", {"unique_entities": F.countDistinct("t")}
+        unnest(predictions, "names", "t"), "system", {"unique_entities": F.countDistinct("t")}
     )
-    labels = unnest(predictions, "stance_edges.label", "label").groupBy("label").agg(F.count("*").cast("double").alias("value"))
+    labels = unnest(predictions, "labels", "label").groupBy("label").agg(F.count("*").cast("double").alias("value"))
     stances = labels.select(F.lit("system").alias("section"), F.concat(F.lit("stance_"), "label").alias("metric"), "value")
     size = gold.agg(F.count("*").alias("g"))
     coverage = predictions.agg(F.count("*").alias("p")).join(F.broadcast(size), F.lit(True)).select(
@@ -292,11 +300,12 @@ def _counts(df: DataFrame, section: str, metric: Column, count: str) -> DataFram
 def full_report(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     """All sections as (section, metric, value), the confusion table as ``gold|predicted|method`` and the error types of wrong messages included.
 
-    The sections read the same enriched rows, so these are stored once.
+    The sections read the same enriched rows, so these are stored once, without the texts of spans and of evidence, which no section reads.
     """
-    needed = ["msg_id", "quote_spans", "entities", "stance_edges", "has_quotes", "multi_speaker"]
-    predictions = cut_lineage(predictions.select(*needed))
-    aligned = cut_lineage(align(predictions, gold))
+    edges = F.transform("stance_edges", lambda e: F.struct(*[e[c].alias(c) for c in ("speaker", "target", "label", "score", "method")]))
+    predictions = cut_lineage(predictions.select("msg_id", light_spans("quote_spans").alias("quote_spans"), "entities", edges.alias("stance_edges"), "has_quotes", "multi_speaker"))
+    truth = F.col("ground_truth").withField("spans", light_spans("ground_truth.spans"))
+    aligned = cut_lineage(align(predictions, gold.withColumn("ground_truth", truth)))
     parts = [
         span_metrics(aligned), message_metrics(aligned), quote_metrics(aligned), attribution_errors(aligned),
         entity_metrics(aligned), stance_metrics(aligned), system_stats(predictions, gold),
