@@ -51,3 +51,16 @@ def test_joined_ontology_says_the_same_as_rows(spark):
     both = [sorted(str(r) for r in topics.ontology_topics(df, o).select(*keep).collect()) for o in (ontology, frame)]
     assert both[0] == both[1]
     assert {r["primary_topic"] for r in topics.ontology_topics(df, frame.limit(0)).collect()} == {"other"}
+
+
+def test_a_key_travels_once_per_text_and_without_it(spark):
+    # letters of two bytes, so that runs which cut a character pass the bitmap of so many keys now and then
+    rng = random.Random(5)
+    keys = sorted({"".join(rng.choice("abcdéü") for _ in range(rng.randint(3, 9))) for _ in range(3000)})
+    texts = ["".join(rng.choice("abcdéü") for _ in range(3000)) for _ in range(20)] + [keys[0] * 1000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    hits = matching.row_hits(df, spark.createDataFrame([(k, k, "ORG", i) for i, k in enumerate(keys)], SCHEMA), "text", ["id"])
+    rows = [(r["id"], r["alias_key"], r["start"]) for r in hits.collect()]
+    assert sorted(rows) == sorted((i, k, t.index(k)) for i, t in enumerate(texts) for k in keys if k in t)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "around" not in plan and hits.columns == ["id", "alias_key", "canonical", "alias_type", "ord", "start"]
