@@ -85,3 +85,34 @@ def test_too_few_rows_are_outliers(data):
     _, vectors, _, _ = data
     rows = discovery.cluster_embeddings(vectors.limit(3), key="msg_id").collect()
     assert {(r["discovery_topic_id"], r["discovery_status"]) for r in rows} <= {(-1, "too_few_rows"), (-1, "no_vector")}
+
+
+def test_pairs_of_rare_words_are_left_out_before_the_counting(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tidewire.operators import discovery
+
+    rng = random.Random(4)
+    common, rare = [f"word{i}" for i in range(12)], [f"rare{i}" for i in range(400)]
+    rows = [(t, " ".join(rng.choice(common if rng.random() < 0.7 else rare) for _ in range(60))) for t in (-1, 1, 2, 3) for _ in range(30)]
+    df = spark.createDataFrame(rows, "topic int, text string")
+    counts = discovery._term_counts(df, "topic", "text", 2, 20, discovery.STOP_WORDS)
+    exact: dict = {}
+    for t, text in rows:
+        w = text.split()
+        for term in [*w, *map(" ".join, zip(w, w[1:]))]:
+            exact[t, term] = exact.get((t, term), 0) + 1
+    got = {(r["topic"], r["word"]): r["n"] for r in counts.collect()}
+    assert all(exact[k] == n for k, n in got.items()) and len(got) < len(exact) / 2
+
+    def best(c):
+        total: dict = {}
+        for (t, term), n in c.items():
+            f, d = total.get(term, (0, 0))
+            total[term] = (f + n, d + 1)
+        return sorted((-f, term) for term, (f, d) in total.items() if d >= 2)[:20]
+
+    assert best(got) == best(exact) and any(" " in term for _, term in best(exact))
+    assert discovery.topic_words(df.filter(F.lit(False)), "topic").count() == 0

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import bind, strip, tokens
-from tidewire.sources.tables import cut_lineage
+from tidewire.sources.tables import cut_lineage, work_folder
 
 OUTLIER = -1
 # Common English words left out of topic words.
@@ -147,15 +147,30 @@ def reduce_topics(clusters: DataFrame, nr_topics: int) -> DataFrame:
     ).drop("_kept")
 
 
-def _terms(text: str, stop_words: Sequence[str]) -> Column:
-    """One- and two-word terms of at least two characters each, stop words removed."""
-    kept = F.filter(tokens(text), lambda t: (F.length(t) > 1) & ~t.isin(*stop_words))
-    return bind(
-        kept,
-        lambda w: F.concat(
-            w, F.transform(F.slice(w, 2, F.size(w)), lambda x, i: F.concat_ws(" ", F.get(w, i), x))
-        ),
-    )
+def _kept_words(text: str, stop_words: Sequence[str]) -> Column:
+    """Words of at least two characters, stop words removed."""
+    return F.filter(tokens(text), lambda t: (F.length(t) > 1) & ~t.isin(*stop_words))
+
+
+def _term_counts(df: DataFrame, topic: str, text: str, min_df: int, max_features: int, stop_words: Sequence[str]) -> DataFrame:
+    """(topic, word, n) of all words, and of the neighbouring pairs of words that may be among the ``max_features`` most frequent terms.
+
+    A pair is found no oftener and in no more topics than either of its words. So a pair with a word rarer than the
+    ``max_features``-th word cannot be chosen; it is left out before the counting, which the other pairs go through whole.
+    """
+    words = df.select(F.col(topic).alias("topic"), F.explode(_kept_words(text, stop_words)).alias("word"))
+    singles = cut_lineage(words.groupBy("topic", "word").agg(F.count("*").alias("n")))
+    known = singles.groupBy("word").agg(F.sum("n").alias("f"), F.count("*").alias("df")).filter(F.col("df") >= min_df)
+    least, found = known.orderBy(F.desc("f")).limit(max_features).agg(F.min("f"), F.count("*")).first()
+    # stored, so that Spark knows its size when it joins
+    path = work_folder(df.sparkSession, "terms")
+    known.filter(F.col("f") >= (least if found == max_features else 0)).select("word").write.parquet(path)
+    frequent = df.sparkSession.read.parquet(path)
+    pairs = bind(_kept_words(text, stop_words), lambda w: F.transform(F.slice(w, 2, F.size(w)), lambda x, i: F.struct(F.get(w, i).alias("a"), x.alias("b"))))
+    both = df.select(F.col(topic).alias("topic"), F.explode(pairs).alias("p")).select("topic", "p.a", "p.b")
+    both = both.join(frequent.withColumnRenamed("word", "a"), "a", "left_semi").join(frequent.withColumnRenamed("word", "b"), "b", "left_semi")
+    doubles = both.groupBy("topic", "a", "b").agg(F.count("*").alias("n")).select("topic", F.concat_ws(" ", "a", "b").alias("word"), "n")
+    return singles.unionByName(cut_lineage(doubles))
 
 
 def topic_words(
@@ -173,10 +188,9 @@ def topic_words(
     topics are dropped, the ``max_features`` most frequent stay, and a term weighs
     its count in the topic times log(1 + A / f), with A the mean number of terms
     per topic and f the term's total count. Counting combines per task; the rest
-    works on (topic, term) counts.
+    works on (topic, term) counts, which are stored.
     """
-    rows = df.select(F.col(topic).alias("topic"), F.explode(_terms(text, stop_words)).alias("word"))
-    counts = rows.groupBy("topic", "word").agg(F.count("*").alias("n"))
+    counts = _term_counts(df, topic, text, min_df, max_features, stop_words)
     total = counts.groupBy("word").agg(F.sum("n").alias("f"), F.count("*").alias("df")).filter(F.col("df") >= min_df)
     features = total.orderBy(F.desc("f"), "word").limit(max_features)
     chosen = counts.join(F.broadcast(features), "word")
@@ -227,6 +241,7 @@ def topic_details(df: DataFrame, labels: DataFrame, topic: str = "discovery_topi
 def map_to_ontology(words: DataFrame, topics: DataFrame, keywords: DataFrame, threshold: float = 0.3, number_new: bool = False) -> DataFrame:
     """(topic, ontology_topic): the ontology topic with the largest share of the topic
     words' weight, if at least ``threshold``; otherwise ``other`` or ``NEW_TOPIC_n``."""
+    words = cut_lineage(words)
     total = words.groupBy("topic").agg(F.sum("weight").alias("total"))
     found = words.join(keywords.select("ord", "label", F.lower("keyword").alias("word")), "word").groupBy("topic", "ord", "label").agg(
         F.sum("weight").alias("w")
