@@ -91,3 +91,26 @@ def test_inflections():
 def test_split_list(spark):
     row = spark.range(1).select(split_list(F.lit("a, b/c og d\n\n e")).alias("x")).first()
     assert row.x == ["a", "b", "c", "d", "e"]
+
+
+def test_cheap_forms_equal_the_plain_patterns(spark):
+    import re
+
+    from tidewire.functions import lexicons as lex
+    from tidewire.functions.text import TOKEN, one_of, tokens
+    from tidewire.operators import links, stance
+
+    texts = [
+        None, "", " ", "...", "  Éa_1 b'c-D, 中文。x ", "a.b", "a. b", "A.B", "www.-x", "http://", "HTTPS://x", "see x.y.com/z, e.g. this.", "1.2 a.b1 .com a..b", "ſ.ab K.ab ab.ſx",
+        "x://y", "www.!", "-.ab", "a-.ab.cd",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = df.select(
+        tokens("text"), F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)),
+        links.extract_urls("text"), F.regexp_extract_all("text", F.lit(lex.ANY_URL), F.lit(0)),
+    ).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in got) and sum(bool(r[2]) for r in got) >= 5
+    verbs = {*stance.SUPPORT_FORMS, *stance.OPPOSE_FORMS}
+    pattern = re.compile(one_of(verbs))
+    tried = verbs | {v[:-1] for v in verbs} | {v + "s" for v in verbs} | {"", "s"}
+    assert {t for t in tried if pattern.fullmatch(t)} == verbs
