@@ -114,3 +114,20 @@ def test_cheap_forms_equal_the_plain_patterns(spark):
     pattern = re.compile(one_of(verbs))
     tried = verbs | {v[:-1] for v in verbs} | {v + "s" for v in verbs} | {"", "s"}
     assert {t for t in tried if pattern.fullmatch(t)} == verbs
+
+
+def test_texts_without_targets_give_no_speaker_stance(spark):
+    from tidewire.catalog.entities import ALIASES
+
+    texts = [
+        'Barack Obama said: "we love the Democrats, always" and left.', 'x supportJoe Biden said: "nobody here"', None, "",
+        "I don't support Joe Biden on the border.", "We might endorse Donald Trump, perhaps.", "Joe Biden xsupports us", 'nobody said: "we love the plan very much"', 'Jane Roe said: "xsupport\u2019 us" \u2018hate Joe Biden so\u2019',
+    ]
+    rows = spark.createDataFrame([(str(i), t, None) for i, t in enumerate(texts)], "msg_id string, text string, forwarded_from string")
+    named = entities.rule_entities(rows, ALIASES)
+    want, got = (
+        sorted(tuple(r) for r in stance.speaker_stance(quotes.quote_columns(df)).select("msg_id", "start", "speaker", "target", "label", "score").collect())
+        for df in (named, stance.targeted(named))
+    )
+    assert got == want and len(want) >= 2
+    assert stance.targeted(named).filter("text IS NOT NULL").count() < sum(bool(t) for t in texts)

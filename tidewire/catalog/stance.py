@@ -187,7 +187,7 @@ _stance_views("v_ss", "v_span_texts", 0.1)
     target, label, round(score, 6) AS score FROM v_ss_rule WHERE score > 0.7""",
 )
 def speaker_stance(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stance.speaker_stance(with_quotes(with_entities(texts(spark, folder))))
+    rows = stance.speaker_stance(with_quotes(stance.targeted(with_entities(texts(spark, folder)))))
     return rows.select("msg_id", "start", "speaker", "target", "label", F.round("score", 6).alias("score"))
 
 
