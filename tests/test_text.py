@@ -131,3 +131,24 @@ def test_texts_without_targets_give_no_speaker_stance(spark):
     )
     assert got == want and len(want) >= 2
     assert stance.targeted(named).filter("text IS NOT NULL").count() < sum(bool(t) for t in texts)
+
+
+def test_extended_summary_reads_its_messages_once(spark):
+    from datetime import datetime
+
+    from tidewire.operators import rollups
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(x):
+        read.add(1)
+        return float(x)
+
+    rows = [(datetime(2024, 1, 1 + i % 2), i / 4, 1, "a" if i < 3 else "b", [("n%d" % (i % 3),)]) for i in range(8)]
+    df = spark.createDataFrame(rows, "date timestamp, x double, stance_edge_count long, primary_topic string, entities array<struct<text:string>>")
+    scored = df.select("*", score("x").alias("sentiment_score"), F.col("x").alias("toxicity_score"))
+    scored = scored.filter(F.col("sentiment_score") >= 0)
+    got = sorted(tuple(r) for r in rollups.daily_summary_extended(scored).collect())
+    assert [(g[1], g[4], g[5], g[6]) for g in got] == [(4, 4, 3, "a"), (4, 4, 3, "b")]
+    assert read.value <= 2 * len(rows)
