@@ -1,8 +1,9 @@
+import hashlib
 import random
 
 import pytest
 
-from tidewire.llm import decontamination, lines
+from tidewire.llm import decontamination, lines, queries
 
 
 def words(rng, n):
@@ -176,3 +177,39 @@ def test_planted_passages_go_and_clean_texts_stay(spark):
     got = {r["doc_id"]: r for r in lines.without_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     gone = {i: sum(len(docs[i][1][a:b].split()) for a, b in r["removed"]) for i, r in got.items()}
     assert all(50 <= gone[i] <= 62 for i in dirty) and not any(n for i, n in gone.items() if i not in dirty)
+
+
+def ends_piece(word):
+    return hashlib.md5(word.encode()).hexdigest()[0] in "0123"
+
+
+def still(rng, n):
+    """Words none of which ends a piece."""
+    return [w for w in words(rng, 4 * n + 40) if not ends_piece(w)][:n]
+
+
+def test_passages_without_an_end_of_piece_go(spark, tmp_path):
+    rng = random.Random(21)
+    passage, over, short = still(rng, 45), still(rng, 1) * 60, still(rng, 39)
+    tail = [w for w in words(rng, 100) if ends_piece(w)][:8]
+    texts = {
+        0: " ".join(passage), 1: " ".join(passage).upper(),  # a copy that is one piece
+        2: "\n".join(["one two", " ".join(passage), "three four"]),  # one line among others
+        3: " ".join(still(rng, 3) + passage + still(rng, 4)),  # begins and ends inside a piece
+        4: " ".join(over), 5: " ".join(still(rng, 2) + over[:50]), 6: " ".join(over[:39]),  # one word over and over
+        7: " ".join(short), 8: " ".join(short),  # too few words
+        9: " ".join(still(rng, 2) + passage + tail), 10: " ".join(still(rng, 5) + passage + tail),  # goes on in short pieces
+        11: "\n".join([" ".join(still(rng, 41))] * 2), 12: None, 13: "",
+    }
+    want = {1: [0], 2: [8], 3: [len(texts[3].split(passage[0])[0])], 5: [len(texts[5].split(over[0])[0])], 9: [len(texts[9].split(passage[0])[0])], 10: [len(texts[10].split(passage[0])[0])]}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in lines.without_passages(df, within=False).collect()}
+    assert {i: [s["start"] for s in r["removed"]] for i, r in got.items() if r["removed"]} == want
+    assert got[1]["kept_text"] == "" and got[2]["kept_text"] == "one two\nthree four" and got[3]["kept_text"].split() == texts[3].split()[:3] + texts[3].split()[-4:]
+    assert got[10]["kept_text"].split() == texts[10].split()[:5] and got[9]["kept_text"].split() == texts[9].split()[:2] + tail
+    both = {r["doc_id"]: r for r in lines.without_passages(df).collect()}
+    assert both[11]["kept_text"] == texts[11].split("\n")[0] + "\n" and got[11]["kept_text"] == texts[11]
+    assert all(both[i]["kept_text"] == got[i]["kept_text"] for i in texts if i != 11)
+    df.selectExpr("*", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op3_line_hashing"](spark, str(tmp_path)).collect()}
+    assert {i for i, r in rows.items() if r["n_removed"]} == set(want) and rows[1]["kept_chars"] == 0

@@ -149,78 +149,113 @@ class _Powers:
 _ON, _OFF = _Powers(_STEP), _Powers(_BACK)
 
 
-def pair_digests(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64 bits that name each piece together with the next one."""
-    if len(starts) < 3:
-        return np.zeros(0, _U)
+def names(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64 bits that name the words from each of ``a`` up to ``b``, wherever they stand."""
     sums = np.zeros(len(hashes) + 1, _U)
     np.cumsum(hashes * _ON.upto(len(hashes)), out=sums[1:])
-    a, b = starts[:-2], starts[2:]
     x = (sums[b] - sums[a]) * _OFF.upto(len(hashes))[a] + (b - a).astype(_U) * _U(0xD6E8FEB86659FD93)
     x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
     return x ^ (x >> _U(32))
 
 
-def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known = _Words()
+def window_names(hashes: np.ndarray, start: int, end: int, size: int) -> np.ndarray:
+    """Names of all windows of ``size`` words in the piece from ``start`` to ``end``."""
+    a = np.arange(end - start - size + 1)
+    return names(hashes[start:end], a, a + size)
 
-    def rows(found: list[np.ndarray], ranks: list[int], keys: list[int]) -> pd.DataFrame:
+
+def unit_names(hashes: np.ndarray, starts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and names of the units: 2w for the piece that begins at word w with the next one, 2w + 1 for the window of
+    ``min_words`` words at w inside a piece that has as many. Of the equal windows of a piece only the first is given."""
+    places, found = [2 * starts[:-2]], [names(hashes, starts[:-2], starts[2:])]
+    for j in np.flatnonzero(np.diff(starts) >= min_words):
+        d, first = np.unique(window_names(hashes, starts[j], starts[j + 1], min_words), return_index=True)
+        places.append(2 * (starts[j] + first) + 1)
+        found.append(d)
+    return np.concatenate(places).astype(np.int32), np.concatenate(found)
+
+
+def _units(min_words: int):
+    def rows(places: list[np.ndarray], found: list[np.ndarray], ranks: list[int], keys: list[int]) -> pd.DataFrame:
         sizes = np.array([len(d) for d in found])
-        ends = np.cumsum(sizes)
         return pd.DataFrame({
             "_rank": np.repeat(np.array(ranks, np.int64), sizes), "_key": np.repeat(np.array(keys, np.int64), sizes),
-            "_pos": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32), "_d": np.concatenate(found).view(np.int64),
+            "_pos": np.concatenate(places), "_d": np.concatenate(found).view(np.int64),
         })
 
-    for batch in batches:
-        found: list[np.ndarray] = []
-        ranks: list[int] = []
-        keys: list[int] = []
-        held = 0
-        for rank, key, text in zip(batch["_rank"].tolist(), batch["_key"].tolist(), batch["_text"], strict=True):
-            d = pair_digests(*pieces(text, known))
-            found.append(d)
-            ranks.append(rank)
-            keys.append(key)
-            held += len(d)
-            if held >= 300_000:
-                yield rows(found, ranks, keys)
-                found, ranks, keys, held = [], [], [], 0
-        if found:
-            yield rows(found, ranks, keys)
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Words()
+        for batch in batches:
+            places: list[np.ndarray] = []
+            found: list[np.ndarray] = []
+            ranks: list[int] = []
+            keys: list[int] = []
+            held = 0
+            for rank, key, text in zip(batch["_rank"].tolist(), batch["_key"].tolist(), batch["_text"], strict=True):
+                at, d = unit_names(*pieces(text, known), min_words)
+                places.append(at)
+                found.append(d)
+                ranks.append(rank)
+                keys.append(key)
+                held += len(d)
+                if held >= 300_000:
+                    yield rows(places, found, ranks, keys)
+                    places, found, ranks, keys, held = [], [], [], [], 0
+            if found:
+                yield rows(places, found, ranks, keys)
+
+    return digests
 
 
 def removed_spans(text: str, repeated: list[int], min_words: int, words: _Words) -> list[tuple[int, int]]:
-    """Start and end (code points) of the runs of at least ``min_words`` words whose pieces are repeated in company; a span ends where the next word begins."""
-    _, starts = pieces(text, words)
-    found: list[tuple[int, int]] = []
-    run: list[int] = []
-    for j in [*sorted(repeated), None]:
-        if run and j != run[-1] + 1:
-            a, b = int(starts[run[0]]), int(starts[run[-1] + 2])
-            if b - a >= min_words:
-                found.append((a, b))
-            run = []
-        if j is not None:
-            run.append(j)
+    """Start and end (code points) of the runs of at least ``min_words`` words whose units are repeated, given their places; a span ends where the next word begins."""
+    hashes, starts = pieces(text, words)
+    runs: list[list[int]] = []
+    for j in np.searchsorted(starts, sorted(p >> 1 for p in repeated if not p & 1)).tolist():
+        if runs and j == runs[-1][1] - 1:
+            runs[-1][1] = j + 2
+        else:
+            runs.append([j, j + 2])
+    taken = {j for a, b in runs for j in range(a, b)}
+    parts = [(int(starts[a]), int(starts[b]), False) for a, b in runs]
+    windows: dict[int, list[int]] = {}
+    for w in (p >> 1 for p in repeated if p & 1):
+        j = int(np.searchsorted(starts, w, "right")) - 1
+        if j not in taken:
+            windows.setdefault(j, []).append(w - int(starts[j]))
+    for j, at in windows.items():
+        d = window_names(hashes, starts[j], starts[j + 1], min_words)
+        again = starts[j] + np.flatnonzero(np.isin(d, d[at]))
+        gaps = np.flatnonzero(np.diff(again) > min_words)
+        parts += [(a, b + min_words, True) for a, b in zip(again[np.append(0, gaps + 1)].tolist(), again[np.append(gaps, -1)].tolist(), strict=True)]
+    found: list[tuple[int, int, bool]] = []
+    for a, b, inside in sorted(parts):
+        if found and found[-1][1] == a and (inside or found[-1][2]):
+            found[-1] = (found[-1][0], b, inside)
+        else:
+            found.append((a, b, inside))
+    found = [x for x in found if x[1] - x[0] >= min_words]
     if not found:
         return []
     at = [m.start() for m in _WORD.finditer(text)] + [len(text)]
-    return [(at[a], at[b]) for a, b in found]
+    return [(at[a], at[b]) for a, b, _ in found]
 
 
 def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 40, within: bool = True) -> DataFrame:
     """All columns of ``docs`` with ``kept_text`` and ``removed``, the spans taken out as code point offsets in the original text (an empty array where none are).
 
     Lines are cut into pieces of a few words (``pieces``). A piece is hashed
-    together with the next one, and the digests are grouped globally. The earliest
+    together with the next one, and so is every window of ``min_words`` words inside a
+    piece that has as many; the digests are grouped globally. The earliest
     occurrence has the smallest integer id (null last), then the smallest hash of the text, then the
     first position. What comes later is removed if it belongs to a run of neighbours
     that are all repeated and have at least ``min_words`` words in all, so common
-    phrases and short lines stay while passages go wherever they begin in a line. With ``within=False`` only what another
-    document has before counts as repeated, not what the document itself has.
+    phrases and short lines stay while passages go wherever they begin in a line. Parts of pieces at the ends of a passage
+    stay if they have fewer than ``min_words`` words, and a passage with fewer whole pieces than that is missed. With ``within=False`` only what another
+    document has before counts as repeated, not what the document itself has. What one piece repeats of itself (a word said over and
+    over) counts for other documents and other pieces only.
 
-    Texts are compared by words, A-Z lower-cased. A digest has 64 bits; one that collides can at most lengthen a run by a piece. Null texts stay null; a text that
+    Texts are compared by words, A-Z lower-cased. A digest has 64 bits; one that collides can lengthen a run by a piece or take one window. Null texts stay null; a text that
     goes whole becomes empty. Rows equal in id and text count as one occurrence and are treated alike. Columns of
     ``docs`` named ``kept_text`` or ``removed`` are replaced. No rows give no rows. The digests are dealt out once, for the grouping
     and for the join back; a very common one is split by the adaptive skew join.
@@ -230,7 +265,7 @@ def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     key = F.xxhash64(F.lit(29), F.col(text_col)).alias("_key")
     texts = docs.select(rank, key, F.col(text_col).alias("_text")).filter("_text is not null")
     # stored, and the same columns for the grouping and for the join, so that Spark reads the texts and deals the digests out once
-    dealt = stored(texts.mapInPandas(_pairs, "_rank long, _key long, _pos int, _d long"), "pairs").repartition("_d")
+    dealt = stored(texts.mapInPandas(_units(min_words), "_rank long, _key long, _pos int, _d long"), "units").repartition("_d")
     place = F.struct("_rank", "_key", "_pos")
     kinds = dealt.groupBy("_d").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
 
