@@ -213,3 +213,27 @@ def test_passages_without_an_end_of_piece_go(spark, tmp_path):
     df.selectExpr("*", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
     rows = {r["doc_id"]: r for r in queries.QUERIES["op3_line_hashing"](spark, str(tmp_path)).collect()}
     assert {i for i, r in rows.items() if r["n_removed"]} == set(want) and rows[1]["kept_chars"] == 0
+
+
+def test_repeats_within_documents_equal_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(5)
+    quiet, loud = still(rng, 6), [w for w in words(rng, 100) if ends_piece(w)][:6]
+    passages = [[rng.choice(quiet if rng.random() < 0.97 else loud) for _ in range(90)] for _ in range(4)]
+    docs = []
+    for i in range(80):
+        text = words(rng, rng.randint(0, 12))
+        for _ in range(rng.randint(0, 4)):
+            passage, a = rng.choice(passages + [quiet[:1] * 90]), rng.randint(0, 40)
+            text += passage[a : a + rng.choice([30, 45, 60])] + words(rng, rng.choice([0, 1, 5])) + rng.choice([[], ["\n"]])
+        docs.append((i, " ".join(text)))
+    docs += [(100, None), (101, ""), (102, " ".join(passages[0] * 2))]
+    docs += [(200 + i, "\n".join([" ".join(own), "between", " ".join(own)])) for i in range(12) for own in [words(rng, 50 + i) if i % 2 else still(rng, 40 + i)]]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(connection.execute(queries.ORACLE["line_hashing_within"]).fetchall())
+    got = {name: sorted(tuple(r) for r in queries.QUERIES[name](spark, str(tmp_path)).collect()) for name in ("line_hashing_within", "op3_line_hashing")}
+    assert got["line_hashing_within"] == want
+    assert sum(g != o for g, o in zip(want, got["op3_line_hashing"], strict=True)) > 5

@@ -43,7 +43,15 @@ SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_it
 
 
 def op3_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
-    kept = lines.without_passages(_table(spark, folder, "documents"), within=False)
+    return _kept_digest(lines.without_passages(_table(spark, folder, "documents"), within=False))
+
+
+def line_hashing_within(spark: SparkSession, folder: str) -> DataFrame:
+    """As op3, but what a document repeats of itself goes too."""
+    return _kept_digest(lines.without_passages(_table(spark, folder, "documents")))
+
+
+def _kept_digest(kept: DataFrame) -> DataFrame:
     return kept.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.length("kept_text").cast("long").alias("kept_chars"), F.md5(F.col("kept_text").cast("binary")).alias("kept_md5"))
 
 
@@ -64,6 +72,34 @@ d AS (SELECT t.doc_id, coalesce(n_removed, 0) AS n_removed, CASE WHEN text IS NO
 SELECT doc_id, n_removed, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM d
 """
 
+#: Units as in ``lines``: pairs of pieces, and windows of 40 words inside a piece; parts that touch count together if one of them is inside a piece.
+LINE_HASHING_WITHIN_SQL = r"""
+WITH t AS (SELECT doc_id, text, regexp_extract(text, '^[\x20\x09-\x0D]*') AS lead, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS g FROM documents),
+g AS (SELECT doc_id, generate_subscripts(g, 1) AS i, unnest(g) AS g FROM t),
+w AS (SELECT *, translate(regexp_extract(g, '^[^\x20\x09-\x0D]+'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM g),
+e AS (SELECT *, CAST(md5(w) < '4' OR contains(g, chr(10)) AS INTEGER) AS last FROM w),
+n AS (SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS j FROM e),
+u AS (SELECT doc_id, j, count(*) AS n, min(i) AS i0, list(w ORDER BY i) AS u FROM n GROUP BY doc_id, j),
+p AS (SELECT *, lead(u) OVER (PARTITION BY doc_id ORDER BY j) AS v FROM u),
+x AS (
+  SELECT doc_id, j, i0 AS i, 0 AS inside, array_to_string(u || v, ' ') AS s FROM p WHERE v IS NOT NULL
+  UNION ALL SELECT doc_id, j, i, 1, array_to_string(u[i - i0 + 1:i - i0 + 40], ' ') FROM (SELECT *, unnest(range(i0, i0 + n - 39)) AS i FROM p WHERE n >= 40)),
+y AS (SELECT *, {'d': doc_id, 'i': min(i) OVER (PARTITION BY doc_id, j, inside, s), 'k': inside} AS place FROM x),
+f AS (SELECT *, place > min(place) OVER (PARTITION BY s) AS again FROM y),
+r AS (SELECT doc_id, j, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS run FROM f WHERE again AND inside = 0),
+c AS (SELECT doc_id, min(j) AS a, max(j) + 1 AS b FROM r GROUP BY doc_id, run),
+h AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id, j ORDER BY i) <= 40 THEN 0 ELSE 1 END AS fresh FROM f WHERE again AND inside = 1 AND NOT EXISTS (SELECT 1 FROM c WHERE c.doc_id = f.doc_id AND f.j BETWEEN c.a AND c.b)),
+o AS (
+  SELECT doc_id, min(i) AS a, max(i) + 40 AS b, 1 AS inside FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, j ORDER BY i) AS part FROM h) GROUP BY doc_id, j, part
+  UNION ALL SELECT c.doc_id, min(i0), max(i0 + n), 0 FROM c JOIN p ON p.doc_id = c.doc_id AND p.j BETWEEN c.a AND c.b GROUP BY c.doc_id, c.a),
+q AS (SELECT *, CASE WHEN a = lag(b) OVER o1 AND (inside = 1 OR lag(inside) OVER o1 = 1) THEN 0 ELSE 1 END AS fresh FROM o WINDOW o1 AS (PARTITION BY doc_id ORDER BY a)),
+s AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS part FROM q) GROUP BY doc_id, part HAVING max(b) - min(a) >= 40),
+m AS (SELECT doc_id, count(*) AS n_removed FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(g, '' ORDER BY i) AS kept FROM n WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.doc_id = n.doc_id AND n.i >= s.a AND n.i < s.b) GROUP BY doc_id),
+d AS (SELECT t.doc_id, coalesce(n_removed, 0) AS n_removed, CASE WHEN text IS NOT NULL THEN lead || coalesce(kept, '') END AS kept FROM t LEFT JOIN m USING (doc_id) LEFT JOIN k USING (doc_id))
+SELECT doc_id, n_removed, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM d
+"""
+
 
 def op4_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = sharding.shuffled_shards(_table(spark, folder, "documents"), 24)
@@ -231,7 +267,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nnpu_toxicity, op2_spaced_seed_decontamination, op3_line_hashing, op4_hypergeometric_shards,
     op5_crf_main_text, op6_adaptive_dimension_search, op7_odd_sketch_near_duplicates,
     op8_two_tier_token_counts, op9_systematic_mixing, op10_fourier_ridge_quality,
-    op11_trie_collocations, op12_lightest_repair, op13_parity_sketch_join,
+    op11_trie_collocations, op12_lightest_repair, op13_parity_sketch_join, line_hashing_within,
 )}
 
 ORACLE: dict[str, str] = {
@@ -242,4 +278,5 @@ ORACLE: dict[str, str] = {
     "op11_trie_collocations": OP11_SQL,
     "op12_lightest_repair": OP12_SQL,
     "op13_parity_sketch_join": OP13_SQL,
+    "line_hashing_within": LINE_HASHING_WITHIN_SQL,
 }
