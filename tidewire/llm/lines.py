@@ -251,7 +251,7 @@ def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first position. What comes later is removed if it belongs to a run of neighbours
     that are all repeated and have at least ``min_words`` words in all, so common
     phrases and short lines stay while passages go wherever they begin in a line. Parts of pieces at the ends of a passage
-    stay if they have fewer than ``min_words`` words, and a passage with fewer whole pieces than that is missed. With ``within=False`` only what another
+    stay if they have fewer than ``min_words`` words; a passage that has fewer without them is missed. With ``within=False`` only what another
     document has before counts as repeated, not what the document itself has. What one piece repeats of itself (a word said over and
     over) counts for other documents and other pieces only.
 
