@@ -56,6 +56,34 @@ def test_contamination_equals_brute_force(spark):
     assert decontamination.contamination(df.limit(0), bench).count() == 0
 
 
+def test_many_items_are_neither_broadcast_nor_compared_one_by_one(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [" ".join(words(rng, 20)) for _ in range(4)]
+    items = [(i, texts[i % 3].upper() if i % 2 else texts[i % 3]) for i in range(60)] + [(None, texts[0]), (None, texts[1]), (0, texts[1])]
+    docs = [(0, texts[0]), (1, texts[1] + " " + texts[2]), (2, texts[3]), (3, None)] + [(9, texts[2])] * 2
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/items")
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.read.parquet(f"{tmp_path}/items")
+    got = {r["doc_id"]: (r["n_items"], r["first_item"], r["equal_words"]) for r in decontamination.contamination(df, bench).collect()}
+    assert got == {0: (21, 0, 12), 1: (42, 0, 12), 2: (0, None, None), 3: (0, None, None), 9: (20, 2, 12)}
+    # Spark knows the size of the table of items only, the seeds of which are many times as large
+    pairs = decontamination.spaced_seed_overlaps(df, bench)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [h" in plan and "BroadcastHashJoin [h" not in plan
+    assert pairs.filter("item_id = 0").count() == 2
+
+
+def test_filter_grows_and_loses_no_hash(spark):
+    from pyspark.sql import functions as F
+
+    hashes = spark.range(20000).select(F.xxhash64("id").alias("h"))
+    assert decontamination._bits_for(0, 24) == 24 and decontamination._bits_for(2_000_000, 24) == 26 and decontamination._bits_for(1 << 40, 24) == 28
+    made = decontamination._filter_of(hashes, 18)
+    assert made[0].count() == 8
+    rows = spark.range(0, 40000).select("id", F.xxhash64("id").alias("h")).unionByName(spark.createDataFrame([(-1, None)], "id long, h long"))
+    flags = {r["id"]: r["hit"] for r in decontamination._flagged(rows, "h", made, "hit").collect()}
+    assert all(flags[i] for i in range(20000)) and not flags[-1] and sum(flags[i] for i in range(20000, 40000)) < 2000
+
+
 @pytest.mark.parametrize("unit", ["line", "paragraph"])
 def test_lines_equal_brute_force(spark, unit):
     rng = random.Random(8)
