@@ -64,3 +64,23 @@ def test_a_key_travels_once_per_text_and_without_it(spark):
     assert sorted(rows) == sorted((i, k, t.index(k)) for i, t in enumerate(texts) for k in keys if k in t)
     plan = hits._jdf.queryExecution().optimizedPlan().toString()
     assert "around" not in plan and hits.columns == ["id", "alias_key", "canonical", "alias_type", "ord", "start"]
+
+
+def test_only_the_leading_names_of_a_text_leave_its_task(spark, monkeypatch):
+    rng = random.Random(11)
+    keys = sorted({"".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6))) for _ in range(900)})
+    rng.shuffle(keys)
+    # several keys of one name, of names that differ in case only, and of one name with two types
+    aliases = [(k, rng.choice(["Ann", "ANN", f"N{i}", f"N{i // 7}", "Bo"]), rng.choice(["ORG", "MISC"]), i) for i, k in enumerate(keys)]
+    texts = ["".join(rng.choice("abcdéX ") for _ in range(rng.choice([0, 4, 10, 500]))) for _ in range(60)] + [None, keys[5], keys[5]]
+    df, frame = spark.createDataFrame(list(enumerate(texts)), "msg_id long, text string"), spark.createDataFrame(aliases, SCHEMA)
+    want = sorted((r["msg_id"], str(r["entities"])) for r in entities.rule_entities(df, aliases, max_entities=5).collect())
+    for listed in (1 << 20, 40, 0):
+        monkeypatch.setattr(matching, "LISTED", listed)
+        assert sorted((r["msg_id"], str(r["entities"])) for r in entities.rule_entities(df, frame, max_entities=5).collect()) == want
+    every = matching.row_hits(df, frame, "text", ["msg_id"]).count()
+    monkeypatch.setattr(matching, "LISTED", 1 << 20)
+    assert matching.row_hits(df, frame, "text", ["msg_id"], names=5).count() < every / 5
+    twice = spark.createDataFrame([("ab", "Late", "ORG", 9), ("ab", "Early", "ORG", 0), ("cd", "Null", "ORG", None), ("ef", "Mid", "ORG", 4)], SCHEMA)
+    found = matching.row_hits(spark.createDataFrame([(1, "ab cd ef")], "msg_id long, text string"), twice, "text", ["msg_id"], names=2)
+    assert {r["canonical"] for r in found.collect()} == {"Null", "Early", "Late"}
