@@ -72,6 +72,19 @@ def test_many_items_are_neither_broadcast_nor_compared_one_by_one(spark, tmp_pat
     assert pairs.filter("item_id = 0").count() == 2
 
 
+def test_pipeline_stage_joins_the_seeds_without_broadcasting_them(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    text = " ".join(words(rng, 30))
+    spark.createDataFrame([(i, text) for i in range(30)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "a " + text), (2, "b " * 20), (3, None)], "doc_id long, text string")
+    kept = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [h" in plan and "BroadcastHashJoin [h" not in plan
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
+
+
 def test_filter_grows_and_loses_no_hash(spark):
     from pyspark.sql import functions as F
 
